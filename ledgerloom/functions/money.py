@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import AMOUNT, MONEY, parse_decimal_comma
 
@@ -18,6 +19,23 @@ def product(amount_text: Column | str, rate_text: Column | str) -> Column:
     return parse_decimal_comma(amount_text) * parse_decimal_comma(rate_text)
 
 
+def cents(c: Column | str) -> Column:
+    """A 2-decimal amount as a long count of cents.
+
+    Sums of longs stay in primitive arithmetic inside generated code, where a
+    decimal sum buffer is a BigDecimal; overflow raises under ANSI mode.
+    A converted amount is below 10^16, so its cents fit a long.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return (c * F.lit(100)).cast("long")
+
+
+def from_cents(c: Column | str) -> Column:
+    """Long cents → decimal(18,2), exact."""
+    c = F.col(c) if isinstance(c, str) else c
+    return (c.cast(T.DecimalType(18, 0)) / F.lit(100)).cast(MONEY)
+
+
 def money(c: Column | str) -> Column:
     """Mart measure type: decimal(18,2)."""
     c = F.col(c) if isinstance(c, str) else c

@@ -15,3 +15,13 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def bounded_broadcasts(*items: tuple[DataFrame, int]) -> list[DataFrame]:
+    """``bounded_broadcast`` for several frames with a single counting job."""
+    from functools import reduce
+
+    parts = [df.limit(m + 1).select(F.lit(i).alias("i")) for i, (df, m) in enumerate(items)]
+    union = reduce(DataFrame.unionAll, parts)
+    counts = {r["i"]: r["n"] for r in union.groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [F.broadcast(df) if counts.get(i, 0) <= m else df for i, (df, m) in enumerate(items)]

@@ -27,7 +27,7 @@ def latest_per_currency(rates: DataFrame) -> DataFrame:
     """
     dated = rates.filter(F.col("RateDate").isNotNull())
     newest = dated.groupBy("Currency").agg(F.max("RateDate").alias("RateDate"))
-    return dated.join(bounded_broadcast(newest, MAX_RATE_ROWS), ["Currency", "RateDate"])
+    return dated.join(newest, ["Currency", "RateDate"])
 
 
 def latest_per_currency_ranked(rates: DataFrame) -> DataFrame:
@@ -56,14 +56,21 @@ def reduce_rates(rates: DataFrame, policy: str) -> DataFrame:
 
 
 def attach_rate(operations: DataFrame, rates: DataFrame, policy: str,
-                keep_unrated: bool = False) -> DataFrame:
+                keep_unrated: bool = False, checked: DataFrame | None = None) -> DataFrame:
     """Operations with the policy's ``Rate`` text column (broadcast join).
 
     ``keep_unrated`` keeps operations whose currency has no rate (Rate NULL).
+    ``checked`` is an already size-checked reduced rate table.
     """
-    reduced = reduce_rates(rates, policy).select("Currency", "Rate")
+    reduced = checked if checked is not None else bounded_broadcast(
+        reduced_rates(rates, policy), MAX_RATE_ROWS)
     how = "left" if keep_unrated else "inner"
-    return operations.join(bounded_broadcast(reduced, MAX_RATE_ROWS), "Currency", how)
+    return operations.join(reduced, "Currency", how)
+
+
+def reduced_rates(rates: DataFrame, policy: str) -> DataFrame:
+    """(Currency, Rate) rows the policy applies, not yet broadcast."""
+    return reduce_rates(rates, policy).select("Currency", "Rate")
 
 
 def convert_operations(operations: DataFrame, rates: DataFrame,

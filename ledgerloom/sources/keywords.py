@@ -47,6 +47,21 @@ def load_words(keywords: DataFrame, column: str, trim: bool = False,
     return sorted(words)
 
 
+def load_lists(keywords: DataFrame, trim: bool = False,
+               max_words: int = MAX_WORDS) -> dict[str, list[str]]:
+    """Every ``List_*`` column's words with one small job: {column: words}."""
+    cols = [c for c in keywords.columns if c.lower().startswith("list_")]
+    rows = long_form(keywords).limit(max_words * len(cols) + 1).collect()
+    out: dict[str, list[str]] = {c: [] for c in cols}
+    for r in rows:
+        out[r["list"]].append(_java_trim(r["word"]) if trim else r["word"])
+    for c, words in out.items():
+        if len(words) > max_words:
+            raise DictionaryTooLarge(f"{c}: more than {max_words} words")
+        out[c] = sorted(words)
+    return out
+
+
 def _java_trim(s: str) -> str:
     # String.trim removes every leading/trailing char <= U+0020.
     i, j = 0, len(s)

@@ -30,9 +30,21 @@ def read_csv(spark: SparkSession, path: str, table: str | None = None,
     return reader.csv(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A whole parquet directory (SRC2)."""
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None,
+                 spread_by: str | None = None) -> DataFrame:
+    """A whole parquet directory (SRC2).
+
+    ``min_partitions``: when the scan yields fewer splits (e.g. one file
+    with a single row group), spread the rows over that many partitions so
+    downstream narrow work is not serialised on one core - hashed on
+    ``spread_by`` (deterministic, no pre-sort) or round-robin. Large inputs
+    already have many splits and are left untouched.
+    """
+    df = spark.read.parquet(path)
+    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+        df = (df.repartition(min_partitions, spread_by) if spread_by
+              else df.repartition(min_partitions))
+    return df
 
 
 def ingested_schema(table: str) -> T.StructType:
