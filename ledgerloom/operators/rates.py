@@ -27,7 +27,7 @@ def latest_per_currency(rates: DataFrame) -> DataFrame:
     """
     dated = rates.filter(F.col("RateDate").isNotNull())
     newest = dated.groupBy("Currency").agg(F.max("RateDate").alias("RateDate"))
-    return dated.join(newest, ["Currency", "RateDate"])
+    return dated.join(newest, ["Currency", "RateDate"]).select(*rates.columns)
 
 
 def latest_per_currency_ranked(rates: DataFrame) -> DataFrame:

@@ -77,7 +77,7 @@ def read_partitioned(spark: SparkSession, path: str, table: str,
 
 def read_wholetext(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: ``path``, ``value`` (the file's whole text) (SRC5)."""
-    return (spark.read.option("wholetext", True).text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.input_file_name().alias("path"), F.col("value")))
 
 
