@@ -56,3 +56,16 @@ def test_partition_count_independence(spark, sf001_tables):
         assert base.exceptAll(other).count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_sql_text_chain_equals_sql_dialect(spark, sf001_tables):
+    from ledgerloom.operators import account_mart, info_mart
+    from ledgerloom.plans.sql_chain import run_sql_marts
+
+    marts = run_sql_marts(spark, sf001_tables)
+    pay = payments_mart(sf001_tables, "sql")
+    acc = account_mart(pay, sf001_tables, "sql")
+    info = info_mart(acc, sf001_tables)
+    for got, want in ((marts["payments"], pay), (marts["account"], acc), (marts["info"], info)):
+        got = got.select(*want.columns)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
