@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
+def row_counts(*frames: DataFrame) -> list[int]:
+    """Exact row counts of several frames in one distributed job.
 
-    The count stops after ``max_rows + 1`` rows, so checking a large input
-    is cheap; above the bound the join is left to Spark (shuffle join with
-    AQE, which may still broadcast after measuring the real size).
+    Each frame is reduced to a constant tag column (column pruning leaves
+    the scans nearly free) and counted with a partial aggregate, so only one
+    small row per partition and frame is shuffled.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    parts = [df.select(F.lit(i).alias("i")) for i, df in enumerate(frames)]
+    union = reduce(DataFrame.unionAll, parts)
+    got = {r["i"]: r["n"] for r in union.groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [got.get(i, 0) for i in range(len(frames))]
 
 
-def bounded_broadcasts(*items: tuple[DataFrame, int]) -> list[DataFrame]:
-    """``bounded_broadcast`` for several frames with a single counting job."""
-    from functools import reduce
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
 
-    parts = [df.limit(m + 1).select(F.lit(i).alias("i")) for i, (df, m) in enumerate(items)]
-    union = reduce(DataFrame.unionAll, parts)
-    counts = {r["i"]: r["n"] for r in union.groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [F.broadcast(df) if counts.get(i, 0) <= m else df for i, (df, m) in enumerate(items)]
+    Above the bound the join is left to Spark (shuffle join under AQE, which
+    may still broadcast after measuring the real size at run time).
+    """
+    (n,) = row_counts(df)
+    return F.broadcast(df) if n <= max_rows else df

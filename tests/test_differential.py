@@ -69,3 +69,14 @@ def test_sql_text_chain_equals_sql_dialect(spark, sf001_tables):
     for got, want in ((marts["payments"], pay), (marts["account"], acc), (marts["info"], info)):
         got = got.select(*want.columns)
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("dialect", ["frame", "sql_v1"])
+def test_shuffle_path_equals_broadcast_path(sf001_tables, dialect, monkeypatch):
+    from ledgerloom.operators import legs
+
+    a = payments_mart(sf001_tables, dialect)
+    monkeypatch.setattr(legs, "MAX_BROADCAST_ACCOUNTS", 0)
+    monkeypatch.setattr(legs, "MAX_RATE_ROWS", 0)
+    b = payments_mart(sf001_tables, dialect)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
