@@ -30,8 +30,21 @@ from .sources.readers import json_value, read_csv, read_parquet, read_partitione
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_TABLES: dict[tuple[int, str], tuple[SparkSession, object]] = {}
+
+
 def _t(spark: SparkSession, sf_dir: str):
-    return fixtures.ledger_tables(spark, sf_dir)
+    """Ledger tables of one fixture folder, defined once per session.
+
+    The frames are lazy plans; defining them once saves re-listing files and
+    re-analysing the mapping for every query of a session.
+    """
+    key = (id(spark), sf_dir)
+    hit = _TABLES.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, fixtures.ledger_tables(spark, sf_dir))
+        _TABLES[key] = hit
+    return hit[1]
 
 
 def _money_ops(df: DataFrame) -> DataFrame:
