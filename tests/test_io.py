@@ -107,3 +107,18 @@ def test_streaming_ingest_is_incremental(spark):
     ingest_stream(spark, land, out, ckpt, "operations")
     n2 = read_partitioned(spark, out, "operations").count()
     assert n1 == first.count() and n2 == ops.count()
+
+
+def test_reload_of_chosen_dates_by_dynamic_overwrite(spark, sf001_tables):
+    from ledgerloom.operators import payments_mart
+
+    t = sf001_tables
+    path = scratch_path(spark, "reload")
+    full = payments_mart(t, "frame")
+    write_partitioned(full, path, "CutoffDt")
+    day = dt.date(1997, 3, 1)
+    # Recompute one cutoff date from its own operations and replace only it.
+    one = payments_mart(t.with_(operations=t.operations.filter(F.col("DateOp") == F.lit(day))), "frame")
+    write_partitioned(one, path, "CutoffDt", dynamic_overwrite=True)
+    back = spark.read.schema(full.schema).parquet(path).select(*full.columns)
+    assert back.exceptAll(full).count() == 0 and full.exceptAll(back).count() == 0
