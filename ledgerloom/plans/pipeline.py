@@ -10,12 +10,11 @@ downstream mart and preview).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.dialects import Dialect, get_dialect
 from ..operators.legs import payments_mart
 from ..operators.marts import account_mart, info_mart
-from ..schemas import PARTITION_KEYS, RAW_COLUMNS, LedgerTables, validate
+from ..schemas import PARTITION_KEYS, LedgerTables, validate
 from ..sinks.writers import write_jdbc, write_partitioned
 from ..sources.readers import read_csv, read_partitioned
 
@@ -93,9 +92,3 @@ def publish(spark: SparkSession, paths: dict[str, str], url: str, properties: di
     for name, path in paths.items():
         write_jdbc(spark.read.parquet(path), url, JDBC_TABLES[name], properties, driver,
                    num_partitions=num_partitions)
-
-
-def raw_to_typed(df: DataFrame, table: str) -> DataFrame:
-    """Landing-CSV frame with ISO date text → typed table."""
-    key = PARTITION_KEYS.get(table)
-    return df.select(*[F.to_date(c).alias(c) if c == key else F.col(c) for c in RAW_COLUMNS[table]])

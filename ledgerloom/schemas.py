@@ -37,31 +37,6 @@ def string_schema(table: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS[table]])
 
 
-DATE_COLUMNS = {
-    "clients": ["RegisterDate"],
-    "accounts": ["DateOpen"],
-    "operations": ["DateOp"],
-    "rates": ["RateDate"],
-    "keywords": [],
-}
-
-
-def typed(table: str, df: DataFrame) -> DataFrame:
-    """Raw string table → typed table: dates parsed, everything else text.
-
-    Amounts and rates stay text (decimal comma); they are parsed where they
-    are used so that bad values can be counted (see ``amount_rejects``).
-    """
-    cols = []
-    for c in RAW_COLUMNS[table]:
-        if c in DATE_COLUMNS[table]:
-            cols.append(F.to_date(F.col(c).cast("string")).alias(c) if dict(df.dtypes).get(c) == "string"
-                        else F.col(c).cast("date").alias(c))
-        else:
-            cols.append(F.col(c).cast("string").alias(c))
-    return df.select(*cols)
-
-
 @dataclass(frozen=True)
 class LedgerTables:
     """The five inputs of the marts (typed, see FIXTURES.md §1)."""

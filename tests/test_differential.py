@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
 from ledgerloom import fixtures
 from ledgerloom.operators import payments_mart
 from ledgerloom.operators.measures import naive_payments_mart, naive_payments_mart_v1
