@@ -123,6 +123,32 @@ def keywords(spark: SparkSession) -> DataFrame:
     return _values(spark, FIXTURE_KEYWORDS, KEYWORDS_SCHEMA)
 
 
+def rate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A long rate history derived from ``orders`` (one rate per order).
+
+    Many rates share a (Currency, RateDate), so the newest date of a currency
+    usually carries several rates (ties), which the policies must keep.
+    """
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    return o.select(
+        F.when(k % 3 == 0, "USD").when(k % 3 == 1, "EU").otherwise("RUB").alias("Currency"),
+        F.concat((F.col("o_custkey") % 100).cast("string"), F.lit(","),
+                 F.lpad((k % 100).cast("string"), 2, "0")).alias("Rate"),
+        F.col("o_orderdate").cast("date").alias("RateDate"),
+    )
+
+
+def part_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A two-column keyword file derived from ``part`` names, padded with NULLs."""
+    p = read_table(spark, sf_dir, "part")
+    words = F.split(F.col("p_name"), " ")
+    return p.select(
+        F.when(F.col("p_partkey") % 2 == 0, F.get(words, 0)).alias("List_1"),
+        F.get(words, 1).alias("List_2"),
+    )
+
+
 def ledger_tables(spark: SparkSession, sf_dir: str) -> LedgerTables:
     return LedgerTables(
         clients=clients(spark, sf_dir),
@@ -164,5 +190,14 @@ WITH accounts AS (
          ('EU', '90,10', DATE '1998-01-01'), ('RUB', '1', DATE '2001-01-01')
 ), keywords(List_1, List_2) AS (
   VALUES ('widget', 'ring'), ('giz', 'rod'), (NULL, 'anvi')
+), rate_history AS (
+  SELECT CASE o_orderkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EU' ELSE 'RUB' END AS Currency,
+         CAST(o_custkey % 100 AS VARCHAR) || ',' || lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0') AS Rate,
+         CAST(o_orderdate AS DATE) AS RateDate
+  FROM orders
+), part_dictionary AS (
+  SELECT CASE WHEN p_partkey % 2 = 0 THEN NULLIF(split_part(p_name, ' ', 1), '') END AS List_1,
+         NULLIF(split_part(p_name, ' ', 2), '') AS List_2
+  FROM part
 )
 """

@@ -221,6 +221,18 @@ ORACLE: dict[str, str] = {
     "kw_token": _kw("token"),
     "kw_contains": _kw("contains"),
     "kw_not_any": _kw("not_any"),
+    "rate_latest_rank": _with() + """
+SELECT Currency, Rate, RateDate FROM (
+  SELECT *, rank() OVER (PARTITION BY Currency ORDER BY RateDate DESC) AS rk
+  FROM rate_history WHERE RateDate IS NOT NULL) x
+WHERE rk = 1""",
+    "rate_latest_global": _with() + """
+SELECT Currency, Rate, RateDate FROM rate_history
+WHERE RateDate = (SELECT max(RateDate) FROM rate_history)""",
+    "kw_list": _with() + """
+SELECT 'List_1' AS list, List_1 AS word FROM part_dictionary WHERE List_1 IS NOT NULL
+UNION ALL
+SELECT 'List_2' AS list, List_2 AS word FROM part_dictionary WHERE List_2 IS NOT NULL""",
     "acct_prefix": _with() + """
 SELECT AccountId, AccountNum, substring(AccountNum, 1, 5) AS BalanceCode,
        substring(AccountNum, 1, 5) = '40702' AS IsTax, substring(AccountNum, 1, 5) = '40802' AS IsClear

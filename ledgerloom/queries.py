@@ -20,11 +20,11 @@ from .operators.dialects import FRAME, SQL
 from .operators.kernel import ledger_ids, ledger_kernel
 from .operators.legs import payments_mart
 from .operators.marts import account_mart, info_mart
-from .operators.rates import convert_operations
+from .operators.rates import convert_operations, latest_global, latest_per_currency
 from .plans.pipeline import ingest_table
 from .session import scratch_path
 from .sinks.writers import write_flat, write_partitioned, write_sorted_csv
-from .sources.keywords import load_words
+from .sources.keywords import load_words, long_form
 from .sources.readers import json_value, read_csv, read_parquet, read_partitioned
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,6 +141,21 @@ def _kw(mode: str, trim: bool):
     return q
 
 
+def rate_latest_rank(spark, sf_dir):
+    """Newest rate(s) of every currency over a long derived rate history."""
+    return latest_per_currency(fixtures.rate_history(spark, sf_dir))
+
+
+def rate_latest_global(spark, sf_dir):
+    """Rates dated on the newest date of the whole derived history."""
+    return latest_global(fixtures.rate_history(spark, sf_dir))
+
+
+def kw_list(spark, sf_dir):
+    """Dictionary columns → (list, word) rows, NULL padding dropped."""
+    return long_form(fixtures.part_dictionary(spark, sf_dir))
+
+
 def acct_prefix(spark, sf_dir):
     acc = fixtures.accounts(spark, sf_dir)
     code = balance_code("AccountNum")
@@ -245,6 +260,9 @@ QUERIES: dict[str, Query] = {
     "kw_token": _kw("token", False),
     "kw_contains": _kw("contains", False),
     "kw_not_any": _kw("not_any", False),
+    "rate_latest_rank": rate_latest_rank,
+    "rate_latest_global": rate_latest_global,
+    "kw_list": kw_list,
     "acct_prefix": acct_prefix,
     "ledger_ids": q_ledger_ids,
     "kernel": kernel,
