@@ -43,7 +43,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1].split(",") if len(sys.argv) > 1 else HEADLINE
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), driver_memory="16g",
+    spark = local_session(cpus, shuffle_partitions=cpus, driver_memory="16g",
                           app="ledgerloom-bench")
     spark.sparkContext.setLogLevel("ERROR")
     for n in names:
