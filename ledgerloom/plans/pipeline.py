@@ -47,12 +47,20 @@ def ingest(spark: SparkSession, csv_dir: str, parquet_dir: str,
     return out
 
 
-def load_tables(spark: SparkSession, parquet_dir: str, keywords_csv: str) -> LedgerTables:
-    """Ingested tables (dates restored from partitions) plus the keyword dictionary."""
-    def part(t: str) -> DataFrame:
-        return read_partitioned(spark, f"{parquet_dir.rstrip('/')}/{LANDING_FILES[t][1]}", t)
+def load_tables(spark: SparkSession, parquet_dir: str, keywords_csv: str,
+                cutoff_from=None, cutoff_to=None) -> LedgerTables:
+    """Ingested tables (dates restored from partitions) plus the keyword dictionary.
+
+    ``cutoff_from``/``cutoff_to`` (inclusive) restrict the operations to those
+    dates; they become partition filters, so only those ``DateOp=``
+    directories are read. With ``build_and_write(dynamic_overwrite=True)``
+    this reloads the chosen cutoff dates of existing marts.
+    """
+    def part(t: str, lo=None, hi=None) -> DataFrame:
+        return read_partitioned(spark, f"{parquet_dir.rstrip('/')}/{LANDING_FILES[t][1]}", t, lo, hi)
     return LedgerTables(
-        clients=part("clients"), accounts=part("accounts"), operations=part("operations"),
+        clients=part("clients"), accounts=part("accounts"),
+        operations=part("operations", cutoff_from, cutoff_to),
         rates=part("rates"), keywords=read_csv(spark, keywords_csv, "keywords"),
     )
 
