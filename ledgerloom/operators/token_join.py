@@ -1,0 +1,80 @@
+"""Token-mode keyword matching for large dictionaries (JN10 at scale).
+
+``comment LIKE '% w,%'`` holds exactly when ``w`` equals a suffix of a
+comma-terminated segment of the comment that starts right after a blank.
+So instead of testing every word against every comment, each distinct
+comment emits those suffixes - at most as many tokens long as the longest
+dictionary word - and an equi join with the dictionary finds the hits.
+The dictionary never reaches the driver; the join is broadcast only below
+a counted bound and otherwise shuffled (AQE splits a hot token).
+
+Words the equi join cannot express exactly (a comma, LIKE wildcards or the
+escape character inside the word) are few and go through the literal
+``LIKE`` path; the two results are OR-ed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.text import matches
+from ..sources.keywords import long_form
+from .broadcast import row_counts
+
+# Dictionaries with more words than this use the join; smaller ones are
+# compiled into one expression.
+JOIN_MIN_WORDS = 512
+MAX_BROADCAST_WORDS = 5_000_000
+_SPECIAL = r"[,%_\\]"
+
+
+def _candidates(comment: str, max_tokens: int) -> F.Column:
+    """Blank-preceded suffixes (≤ max_tokens tokens) of comma-terminated segments."""
+    return F.expr(f"""
+      flatten(transform(
+        slice(split({comment}, ','), 1, size(split({comment}, ',')) - 1),
+        seg -> CASE WHEN size(split(seg, ' ')) >= 2 THEN transform(
+                 sequence(greatest(2, size(split(seg, ' ')) - {max_tokens} + 1), size(split(seg, ' '))),
+                 j -> array_join(slice(split(seg, ' '), j, size(split(seg, ' ')) - j + 1), ' '))
+               ELSE array() END))""")
+
+
+def token_flags(comments: DataFrame, keywords: DataFrame, comment: str = "Comment") -> DataFrame:
+    """(comment, hit_<list> …) for every distinct non-NULL comment.
+
+    ``hit_<list>`` is True when the comment matches some word of that list
+    in token mode (``LIKE '% w,%'``); comments without any hit get False.
+    """
+    words = long_form(keywords)
+    lists = sorted({c for c in keywords.columns if c.lower().startswith("list_")})
+    plain = words.filter(~F.col("word").rlike(_SPECIAL))
+    special = words.filter(F.col("word").rlike(_SPECIAL))
+
+    max_tokens = plain.agg(F.max(F.size(F.split("word", " ")))).first()[0] or 1
+    distinct = comments.select(F.col(comment).alias("c")).filter(F.col("c").isNotNull()).distinct()
+    cands = distinct.select("c", F.explode(_candidates("c", max_tokens)).alias("word")).distinct()
+    (n_plain,) = row_counts(plain)
+    dictionary = plain.select("word", "list").distinct()
+    dictionary = F.broadcast(dictionary) if n_plain <= MAX_BROADCAST_WORDS else dictionary
+    hits = cands.join(dictionary, "word").select("c", "list").distinct()
+    flags = hits.groupBy("c").agg(*[
+        F.bool_or(F.col("list") == lst).alias(f"hit_{lst}") for lst in lists])
+    out = distinct.join(flags, "c", "left").select(
+        "c", *[F.coalesce(F.col(f"hit_{lst}"), F.lit(False)).alias(f"hit_{lst}") for lst in lists])
+
+    # The few words with commas, wildcards or escapes: literal LIKE test.
+    rest = special.limit(JOIN_MIN_WORDS + 1).collect()
+    if len(rest) > JOIN_MIN_WORDS:
+        raise ValueError("too many dictionary words with commas or LIKE wildcards")
+    for lst in lists:
+        extra = [r["word"] for r in rest if r["list"] == lst]
+        if extra:
+            lit_hit = F.coalesce(matches("c", extra, "token"), F.lit(False))
+            out = out.withColumn(f"hit_{lst}", F.col(f"hit_{lst}") | lit_hit)
+    return out.withColumnRenamed("c", comment)
+
+
+def dictionary_size(keywords: DataFrame) -> int:
+    (n,) = row_counts(long_form(keywords))
+    return n

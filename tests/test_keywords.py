@@ -43,3 +43,34 @@ def test_like_to_regex_escapes():
 def test_unknown_mode_rejected():
     with pytest.raises(ValueError):
         matches(F.col("c"), ["x"], "fuzzy")
+
+
+TOKEN_COMMENTS = ["оплата за small ring, договор 1", "x  ring,y", "ring,", " ring,", "a b c, d",
+                  "купил автомобиль , 2", "a,b c,d e,", None, "ring", "за  ring,"]
+TOKEN_WORDS = [("ring", "b c"), ("автомобиль ", ""), ("small ring", None), ("a%b", "c, d")]
+
+
+def test_token_join_equals_like(spark):
+    from ledgerloom.operators.token_join import token_flags
+
+    kw = spark.createDataFrame(TOKEN_WORDS, "List_1 string, List_2 string")
+    df = spark.createDataFrame([(c,) for c in TOKEN_COMMENTS], "Comment string")
+    w1 = [a for a, _ in TOKEN_WORDS if a is not None]
+    w2 = [b for _, b in TOKEN_WORDS if b is not None]
+    want = {r["Comment"]: (bool(r["a"]), bool(r["b"])) for r in df.select(
+        "Comment", F.coalesce(matches("Comment", w1, "token"), F.lit(False)).alias("a"),
+        F.coalesce(matches("Comment", w2, "token"), F.lit(False)).alias("b")).collect()
+        if r["Comment"] is not None}
+    got = {r["Comment"]: (r["hit_List_1"], r["hit_List_2"])
+           for r in token_flags(df, kw).collect()}
+    assert got == want
+
+
+def test_token_join_path_in_mart(sf001_tables, monkeypatch):
+    from ledgerloom.operators import legs, payments_mart
+
+    a = payments_mart(sf001_tables, "sql")
+    monkeypatch.setattr(legs, "JOIN_MIN_WORDS", 0)
+    b = payments_mart(sf001_tables, "sql")
+    assert "hit_List_1" in b._jdf.queryExecution().analyzed().toString()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
