@@ -52,6 +52,20 @@ def load_lists(keywords: DataFrame, trim: bool = False,
     """Every ``List_*`` column's words with one small job: {column: words}."""
     cols = [c for c in keywords.columns if c.lower().startswith("list_")]
     rows = long_form(keywords).limit(max_words * len(cols) + 1).collect()
+    return _group(rows, cols, trim, max_words)
+
+
+def load_lists_upto(keywords: DataFrame, total: int, trim: bool = False) -> dict[str, list[str]] | None:
+    """Like ``load_lists`` when the dictionary has at most ``total`` words,
+    else None (the caller then keeps the dictionary distributed)."""
+    cols = [c for c in keywords.columns if c.lower().startswith("list_")]
+    rows = long_form(keywords).limit(total + 1).collect()
+    if len(rows) > total:
+        return None
+    return _group(rows, cols, trim, MAX_WORDS)
+
+
+def _group(rows, cols: list[str], trim: bool, max_words: int) -> dict[str, list[str]]:
     out: dict[str, list[str]] = {c: [] for c in cols}
     for r in rows:
         out[r["list"]].append(_java_trim(r["word"]) if trim else r["word"])
