@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ..functions.text import matches
 from ..schemas import LedgerTables
 from ..sinks.writers import write_partitioned
-from ..sources.keywords import load_lists
+from ..operators.token_join import JOIN_MIN_WORDS, token_flags
+from ..sources.keywords import load_lists, load_lists_upto
 from ..sources.readers import register_views
 
 
@@ -27,7 +28,15 @@ def sql_text(name: str) -> str:
 
 
 def tag_operations(tables: LedgerTables, mode: str = "token", trim: bool = False) -> DataFrame:
-    lists = load_lists(tables.keywords, trim=trim)
+    """Operations plus ``kw_cars`` / ``kw_food`` flags (dictionary hits)."""
+    lists = load_lists_upto(tables.keywords, JOIN_MIN_WORDS, trim) if mode == "token" \
+        else load_lists(tables.keywords, trim=trim)
+    if lists is None:
+        flags = token_flags(tables.operations.select("Comment"), tables.keywords)
+        return tables.operations.join(flags, "Comment", "left").select(
+            *tables.operations.columns,
+            F.coalesce(F.col("hit_List_1"), F.lit(False)).alias("kw_cars"),
+            F.coalesce(F.col("hit_List_2"), F.lit(False)).alias("kw_food"))
     return tables.operations.select(
         "*",
         F.coalesce(matches("Comment", lists.get("List_1", []), mode, trim), F.lit(False)).alias("kw_cars"),

@@ -24,7 +24,7 @@ from .operators.rates import convert_operations, latest_global, latest_per_curre
 from .plans.pipeline import ingest_table
 from .session import scratch_path
 from .sinks.writers import write_flat, write_partitioned, write_sorted_csv
-from .sources.keywords import load_words, long_form
+from .sources.keywords import load_lists, load_words, long_form
 from .sources.readers import json_value, read_csv, read_parquet, read_partitioned
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,8 +147,8 @@ def ops_converted_sql(spark, sf_dir):
 def _kw(mode: str, trim: bool):
     def q(spark, sf_dir):
         t = _t(spark, sf_dir)
-        w1 = load_words(t.keywords, "List_1", trim=trim)
-        w2 = load_words(t.keywords, "List_2", trim=trim)
+        lists = load_lists(t.keywords, trim=trim)
+        w1, w2 = lists["List_1"], lists["List_2"]
         return t.operations.select(
             "AccountDB", "AccountCR", "DateOp", "Comment",
             F.coalesce(matches("Comment", w1, mode, trim), F.lit(False)).alias("List1Hit"),

@@ -79,3 +79,13 @@ def test_shuffle_path_equals_broadcast_path(sf001_tables, dialect, monkeypatch):
     monkeypatch.setattr(legs, "MAX_RATE_ROWS", 0)
     b = payments_mart(sf001_tables, dialect)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_sql_text_chain_token_join_path(spark, sf001_tables, monkeypatch):
+    from ledgerloom.plans import sql_chain
+    from ledgerloom.plans.sql_chain import run_sql_marts
+
+    want = run_sql_marts(spark, sf001_tables)["payments"].collect()
+    monkeypatch.setattr(sql_chain, "JOIN_MIN_WORDS", 0)
+    got = run_sql_marts(spark, sf001_tables)["payments"].collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
