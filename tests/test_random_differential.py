@@ -28,7 +28,7 @@ def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck),
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck),
           phases=[Phase.explicit, Phase.reuse, Phase.generate])
 @given(ops=OPS)
 @example(ops=[("A", "B", None, "1,00", "RUB", "x"), ("A", None, None, "1,00", "RUB", "x")])
