@@ -132,3 +132,22 @@ def test_reload_of_chosen_dates_by_dynamic_overwrite(spark, sf001_tables):
     write_partitioned(one, path, "CutoffDt", dynamic_overwrite=True)
     back = spark.read.schema(full.schema).parquet(path).select(*full.columns)
     assert back.exceptAll(full).count() == 0 and full.exceptAll(back).count() == 0
+
+
+def test_publish_wiring_without_a_database(spark, monkeypatch):
+    """Each written mart goes to its table; no connection is opened here."""
+    from ledgerloom.plans import pipeline
+
+    calls = []
+    monkeypatch.setattr(pipeline, "write_jdbc",
+                        lambda df, url, table, props, driver, num_partitions=None:
+                        calls.append((df.count(), url, table, props, driver, num_partitions)))
+    paths = {}
+    for name in ("payments", "account", "info"):
+        p = scratch_path(spark, name)
+        spark.range(3).write.parquet(p)
+        paths[name] = p
+    pipeline.publish(spark, paths, "jdbc:postgresql://db/marts", {"user": "u"}, "org.postgresql.Driver", 4)
+    assert sorted(c[2] for c in calls) == ["CorporateAccount", "CorporateInfo", "CorporatePayments"]
+    assert all(c[0] == 3 and c[1] == "jdbc:postgresql://db/marts" and c[4] == "org.postgresql.Driver"
+               and c[5] == 4 for c in calls)
