@@ -151,3 +151,11 @@ def test_publish_wiring_without_a_database(spark, monkeypatch):
     assert sorted(c[2] for c in calls) == ["CorporateAccount", "CorporateInfo", "CorporatePayments"]
     assert all(c[0] == 3 and c[1] == "jdbc:postgresql://db/marts" and c[4] == "org.postgresql.Driver"
                and c[5] == 4 for c in calls)
+
+
+def test_preview_and_clean_keys(spark, sf001_tables):
+    from ledgerloom.schemas import validate
+    from ledgerloom.sinks.writers import preview
+
+    validate(sf001_tables)                      # fixture keys are unique: no error
+    assert preview(sf001_tables.operations).count() == 20
