@@ -69,13 +69,18 @@ def summaries(digests: DataFrame, k: int = COUNTERS) -> DataFrame:
     return digests.select("digest").mapInArrow(run, "digest binary, n long")
 
 
-def heavy_hitters(digests: DataFrame, k: int = COUNTERS) -> DataFrame:
-    """Verified winners ``digest, keep (doc_id, key), group_size``: at most k rows."""
+def candidates(digests: DataFrame, k: int = COUNTERS) -> DataFrame:
+    """At most k digests, among them all with more than 2N/(k+1) rows."""
     n = digests.count()
-    found = (summaries(digests, k).groupBy("digest").agg(F.sum("n").alias("n"))
-             .where(F.col("n") * (k + 1) > F.lit(n)).select("digest"))
-    exact = (digests.join(F.broadcast(found), "digest", "left_semi")
-             .groupBy("digest").agg(F.max(F.struct("doc_id", "key")).alias("keep"),
+    return (summaries(digests, k).groupBy("digest").agg(F.sum("n").alias("n"))
+            .where(F.col("n") * (k + 1) > F.lit(n)).select("digest"))
+
+
+def heavy_hitters(digests: DataFrame, k: int = COUNTERS, least: bool = False) -> DataFrame:
+    """Verified winners ``digest, keep (doc_id, key), group_size``: at most k rows."""
+    first = F.min if least else F.max
+    exact = (digests.join(F.broadcast(candidates(digests, k)), "digest", "left_semi")
+             .groupBy("digest").agg(first(F.struct("doc_id", "key")).alias("keep"),
                                     F.count(F.lit(1)).alias("group_size")))
     return checkpointed(exact.where(F.col("group_size") > 1))
 

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, exact_dedup, mixing, simhash, toxicity
+from ledgerloom.llm import (
+    bpe,
+    embedding_dedup,
+    exact_dedup,
+    html_extract,
+    licenses,
+    mixing,
+    secret_scan,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
 from ledgerloom.llm.common import read
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -42,10 +53,30 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "words", "rate", "copies", *(F.round(F.col("p")[i], 6).alias(f"p_{d}") for i, d in enumerate(names)))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(read(spark, sf_dir, "documents"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -54,7 +85,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
+    "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_html": op5_html,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_secrets": op7_secrets,
     "op8_simhash": op8_simhash,
+    "op9_licenses": op9_licenses,
     "op10_toxicity": op10_toxicity,
 }
 
