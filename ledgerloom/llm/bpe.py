@@ -47,13 +47,40 @@ SPECIAL = "<|endoftext|>"
 
 
 def words(text: str | Column) -> Column:
-    """The words of a text, in order; a special token is a word of its own."""
+    """The words of a text, in order; a special token is a word of its own.
+
+    Null for a text with characters newer than the Java runtime's Unicode
+    tables: those are split by the library itself (``word_lists``).
+    """
     text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
     cut = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
     parts = F.transform(F.split(text, r"<\|endoftext\|>", -1), lambda s, i: F.concat(
         F.when(i > 0, F.array(F.lit(SPECIAL))).otherwise(F.array().cast("array<string>")),
         F.regexp_extract_all(s, F.lit(PATTERN), F.lit(0))))
-    return F.when(text.contains(SPECIAL), F.flatten(parts)).otherwise(cut)
+    return (F.when(text.rlike(r"\p{Cn}"), F.lit(None))
+            .when(text.contains(SPECIAL), F.flatten(parts)).otherwise(cut))
+
+
+def cut(docs: DataFrame, *columns: Column) -> DataFrame:
+    """The given columns, then ``w`` (words) and ``raw`` (the text where w is null)."""
+    w = words("text")
+    return docs.select(*columns, w.alias("w"), F.when(w.isNull(), F.col("text")).alias("raw"))
+
+
+def word_lists(lists: pa.Array, raw: pa.Array, path: str) -> pa.Array:
+    """Fill in the null word lists from the raw texts, by the library's own splitter."""
+    if not lists.null_count:
+        return lists
+    split = tokenizer(path).pre_tokenizer.pre_tokenize_str
+
+    def own(text: str) -> list[str]:
+        out = []
+        for i, part in enumerate(text.split(SPECIAL)):
+            out += [SPECIAL] * (i > 0) + [part[a:b] for _, (a, b) in split(part)]
+        return out
+
+    return pa.array([own(r.as_py()) if x.as_py() is None else x.as_py()
+                     for x, r in zip(lists, raw, strict=True)], lists.type)
 
 
 @lru_cache(maxsize=2)
@@ -66,15 +93,15 @@ def tokenizer(path: str):
     return t
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
+def word_counts(docs: DataFrame, path: str) -> DataFrame:
     """``word, n``: distinct words, counted in the map tasks first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seen = pc.value_counts(b.column(0).flatten())
+            seen = pc.value_counts(word_lists(b.column(0), b.column(1), path).flatten())
             yield pa.RecordBatch.from_arrays([seen.field(0), seen.field(1)], ["word", "n"])
 
-    return (docs.select(words("text").alias("w")).mapInArrow(run, "word string, n long")
+    return (cut(docs).mapInArrow(run, "word string, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
@@ -153,13 +180,13 @@ def decode(ids: np.ndarray, table: Ragged) -> bytes:
 
 
 def head_of(table: DataFrame, head: int) -> tuple[pa.Array, Ragged]:
-    """The most frequent short words in order, and their ids: at most ``head`` rows."""
+    """The most frequent short words in order, and their ids from row 1 on (row 0: none)."""
     short = table.where(F.octet_length("word") <= HEAD_BYTES)
     top = short.orderBy(F.desc("n"), "word").limit(head).select("word", "ids").toArrow()
     ids = top.column("ids").combine_chunks()
     n = pc.binary_length(ids).to_numpy(zero_copy_only=False) // 4 if len(ids) else np.zeros(0, np.int64)
     flat = np.frombuffer(b"".join(ids.to_pylist()), "<u4").copy()
-    return top.column("word").combine_chunks(), Ragged(flat, n)
+    return top.column("word").combine_chunks(), Ragged(flat, np.concatenate(([0], n)))
 
 
 def encode(docs: DataFrame, path: str, head: int = HEAD) -> DataFrame:
@@ -184,22 +211,22 @@ def digests(docs: DataFrame, path: str, head: int = HEAD) -> DataFrame:
 def _encoded(docs: DataFrame, path: str, head: int, result, schema: str, kinds: list) -> tuple[DataFrame, str]:
     """Apply ``result`` to every document's ids; one output row per document."""
     docs, key = keyed(docs.select("doc_id", "text"))
-    table = stored(encode_words(word_counts(docs), path), "bpe-words")
+    table = stored(encode_words(word_counts(docs, path), path), "bpe-words")
     known, ids_of = head_of(table, head)
     shared = docs.sparkSession.sparkContext.broadcast((known, ids_of))  # bounded by head * HEAD_BYTES
     types = dict(docs.dtypes)
-    cut = docs.select(F.col(key).alias("key"), F.col("doc_id").alias("doc_id"), words("text").alias("w"))
+    texts = cut(docs, F.col(key).alias("key"), F.col("doc_id").alias("doc_id"))
     out = f"key {types[key]}, doc_id {types['doc_id']}, {schema}"
     names = ["key", "doc_id", *(x.split()[0] for x in schema.split(", "))]
 
     def ranks(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-        """Number of words by row, the words' ranks (-1: not in the head), the words."""
-        lists = b.column(2)
+        """Number of words by row, the words' ranks from 1 on (0: not in the head), the words."""
+        lists = word_lists(b.column(2), b.column(3), path)
         flat = lists.flatten()
         if not len(flat):
             return np.zeros(len(b), np.int64), np.zeros(0, np.int64), flat
         coded = flat.dictionary_encode()
-        rank = pc.index_in(coded.dictionary, value_set=shared.value[0]).fill_null(-1).to_numpy(zero_copy_only=False)
+        rank = pc.index_in(coded.dictionary, value_set=shared.value[0]).fill_null(-1).to_numpy(zero_copy_only=False) + 1
         n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         return n, rank[coded.indices.to_numpy(zero_copy_only=False)].astype(np.int64), flat
 
@@ -216,12 +243,12 @@ def _encoded(docs: DataFrame, path: str, head: int, result, schema: str, kinds:
                 made = [result(shared.value[1].take(rank[e - k:e])[0]) for k, e in zip(n, ends, strict=True)]
                 yield rows_of(b.column(0), b.column(1), made)
 
-        return cut.mapInArrow(direct, out), key
+        return texts.mapInArrow(direct, out), key
 
     def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, rank, flat = ranks(b)
-            at = np.flatnonzero(rank < 0)
+            at = np.flatnonzero(rank == 0)
             row = np.repeat(np.arange(len(b)), n)[at]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(row)), pa.array((at - (np.cumsum(n) - n)[row]).astype(np.int32)),
@@ -230,19 +257,18 @@ def _encoded(docs: DataFrame, path: str, head: int, result, schema: str, kinds:
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, rank, _ = ranks(b)
-            code = rank + 1  # 0: a word that comes by position
             ends = np.cumsum(n)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1),
-                 pa.array([pack(code[e - k:e]).tobytes() for k, e in zip(n, ends, strict=True)], pa.binary())],
+                 pa.array([pack(rank[e - k:e]).tobytes() for k, e in zip(n, ends, strict=True)], pa.binary())],
                 ["key", "doc_id", "code"])
 
     # Words outside the head: (key, pos, word) -> ids -> per document, in order.
     rare = table.select("word", "ids")
-    by_doc = (cut.mapInArrow(tails, f"key {types[key]}, pos int, word string").join(rare, "word")
+    by_doc = (texts.mapInArrow(tails, f"key {types[key]}, pos int, word string").join(rare, "word")
               .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("got"))
               .select(F.col("key").alias("tkey"), F.col("got.ids").alias("tail")))
-    codes = cut.mapInArrow(packed, f"key {types[key]}, doc_id {types['doc_id']}, code binary")
+    codes = texts.mapInArrow(packed, f"key {types[key]}, doc_id {types['doc_id']}, code binary")
     whole = codes.join(by_doc, F.col("key") == F.col("tkey"), "left").select("key", "doc_id", "code", "tail")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,12 +276,11 @@ def _encoded(docs: DataFrame, path: str, head: int, result, schema: str, kinds:
         for b in batches:
             made = []
             for code, tail in zip(b.column(2), b.column(3), strict=True):
-                rank = unpack(code.as_py()) - 1
+                rank = unpack(code.as_py())
                 got = tail.as_py() or []
-                flat, n = head_ids.take(np.maximum(rank, 0))
-                here = rank < 0
+                flat, n = head_ids.take(rank)
+                here = rank == 0
                 if got:
-                    flat = flat[np.repeat(~here, n)]
                     n[here] = [len(x) // 4 for x in got]
                     ids = np.empty(n.sum(), np.uint32)
                     late = np.repeat(here, n)

@@ -156,12 +156,21 @@ def units(text: str) -> Iterator[tuple[int, int]]:
 
 
 def matches(text: str, templates: Templates) -> list[tuple[str, float, int, int]]:
-    """``license, dice, start, end`` of every unit that matches, by position."""
-    found = []
-    for a, b in units(text):
-        if (got := templates.best(bigrams(text[a:b]))) is not None:
-            found.append((got[1], round(got[0], 6), a, b))
-    return sorted(found, key=lambda x: (x[2], x[3]))
+    """``license, dice, start, end`` of the units that match, by position.
+
+    Of a unit and its parts the one of the larger coefficient counts, and of
+    equal ones the shorter.
+    """
+    found = [(-got[0], b - a, got[1], a, b) for a, b in units(text)
+             if (got := templates.best(bigrams(text[a:b]))) is not None]
+    taken: list[tuple[int, int]] = []
+    out = []
+    for score, _, name, a, b in sorted(found):
+        i = bisect_left(taken, (a, a))
+        if (i == 0 or taken[i - 1][1] <= a) and (i == len(taken) or taken[i][0] >= b):
+            taken.insert(i, (a, b))
+            out.append((name, round(-score, 6), a, b))
+    return sorted(out, key=lambda x: x[2])
 
 
 def scan(docs: DataFrame, texts: dict[str, list[str]] = TEMPLATES, dice: float = DICE) -> DataFrame:

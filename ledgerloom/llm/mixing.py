@@ -151,9 +151,11 @@ def solve(soft: DataFrame, domains: list[str], targets: dict[str, float], most:
     ``anchor`` domain, to the size at which that domain keeps its words.
     """
     k = len(domains)
+    if k < 2:
+        return [], np.zeros(k), np.zeros(k)
     have = totals(soft, k, [], most)
     share = np.array([max(0.0, targets.get(d, 0.0)) for d in domains]) * (have > 0)
-    if k < 2 or not share.sum():
+    if not share.sum():
         return [], have, have
     share /= share.sum()
     size = have.sum()

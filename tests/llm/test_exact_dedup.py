@@ -1,0 +1,60 @@
+import hashlib
+from collections import Counter, defaultdict
+
+import pytest
+from helpers import ODD, documents, rows
+
+from ledgerloom.llm import exact_dedup
+
+LOWER = str.maketrans(exact_dedup.UPPER, exact_dedup.UPPER.lower())
+
+
+def brute(pairs):
+    groups = defaultdict(list)
+    for i, t in pairs:
+        groups[hashlib.sha256((t or "").translate(LOWER).encode()).hexdigest()].append(i)
+    out = Counter()
+    for h, ids in groups.items():
+        keep = max((i for i in ids if i is not None), default=None)
+        left = 1
+        for i in sorted(ids, key=lambda i: (i is None, i or 0)):
+            kept = i == keep and left > 0
+            left -= kept
+            out[(i, keep, len(ids), kept, h)] += 1
+    return out
+
+
+@pytest.mark.parametrize("counters", [3, exact_dedup.COUNTERS])
+def test_flags_match_brute_force(spark, counters):
+    hot = [(100 + i, "a frequent text" if i % 3 else f"text {i}") for i in range(400)]
+    pairs = ODD + hot
+    got = exact_dedup.flags(documents(spark, pairs, clashes=True), counters).collect()
+    assert Counter(tuple(r) for r in got) == brute(pairs)
+
+
+def test_whole_table(spark):
+    pairs = [(r["doc_id"], r["text"]) for r in rows("documents")]
+    got = exact_dedup.flags(documents(spark, pairs)).collect()
+    assert Counter(tuple(r) for r in got) == brute(pairs)
+
+
+@pytest.mark.parametrize("counters", [3, exact_dedup.COUNTERS])
+def test_dedup_keeps_one_row_of_each_group(spark, counters):
+    pairs = ODD + [(200 + i, "hot" if i % 3 else f"t{i}") for i in range(90)]
+    docs = documents(spark, pairs, clashes=True)
+    got = exact_dedup.dedup(docs, counters)
+    assert got.columns == docs.columns
+    want = sorted((k[0] is None, k[0] or 0) for k, n in brute(pairs).items() if k[3] for _ in range(n))
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got.collect()) == want
+
+
+def test_empty(spark):
+    docs = documents(spark, [])
+    assert exact_dedup.flags(docs).count() == 0 and exact_dedup.dedup(docs).count() == 0
+
+
+def test_misra_gries_keeps_every_frequent_digest(spark):
+    data = [(bytes([i % 7]) if i % 2 else i.to_bytes(3, "big"),) for i in range(3000)]
+    df = spark.createDataFrame(data, "digest binary").repartition(6)
+    found = {bytes(r["digest"]) for r in exact_dedup.candidates(df, 20).collect()}
+    assert {bytes([i]) for i in range(7)} <= found and len(found) <= 20
