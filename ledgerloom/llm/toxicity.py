@@ -36,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ from ledgerloom.llm.common import fresh, stored
 
 #: Labelled rows that the index is fitted on, at most about so many.
 EXAMPLES = 20_000
-TERMS = 2_048
+TERMS = 1_024
 MIN_CHI2 = 40.0
 MIN_ROWS = 5
 NEAREST = 16
@@ -132,17 +133,20 @@ def vocabulary(rows: DataFrame, terms: int = TERMS, min_chi2: float = MIN_CHI2)
     return {r["term"]: math.log((1 + n) / (1 + r["p"] + r["q"])) + 1 for r in top.collect()}
 
 
+Vector = tuple[np.ndarray, np.ndarray]  # term numbers in order, weights
+
+
 def vectors(idf: dict[str, float]):
-    """A function from a text to its unit vector: sorted ``(term, weight)`` pairs."""
+    """A function from a text to its unit vector."""
     number = {t: i for i, t in enumerate(sorted(idf))}
     known: dict[int, dict[str, dict]] = {}  # by length, prefix: its terms by octave, None for the plain one
     for t, i in number.items():
         if t[0] == "^":
             prefix, _, o = t[1:].partition("#")
             known.setdefault(len(prefix), {}).setdefault(prefix, {})[int(o) if o else None] = i
-    weight = [idf[t] for t in sorted(idf)]
+    weight = np.array([idf[t] for t in sorted(idf)])
 
-    def vector(text: str) -> tuple:
+    def vector(text: str) -> Vector:
         tf: dict[int, int] = {}
         met: dict[str, int] = {}
         words = Counter(WORDS.findall(text.lower()))
@@ -157,24 +161,24 @@ def vectors(idf: dict[str, float]):
             for o in (None, octave(n, words.total())):
                 if (i := terms.get(o)) is not None:
                     tf[i] = n
-        if not tf:
-            return ()
-        raw = [(i, (1 + math.log(n)) * weight[i]) for i, n in sorted(tf.items())]
-        norm = math.sqrt(sum(x * x for _, x in raw))
-        return tuple((i, round(x / norm, 9)) for i, x in raw)
+        terms = np.array(sorted(tf), np.int32)
+        raw = (1 + np.log([tf[i] for i in terms.tolist()])) * weight[terms] if tf else np.zeros(0)
+        return terms, (raw / np.sqrt((raw * raw).sum())).round(9) if tf else raw
 
     return vector
 
 
 @dataclass
 class Model:
-    """The fitted examples: entries, their votes, and the calibration steps."""
+    """The fitted examples: distinct vectors end to end, their votes, and the calibration steps."""
 
     idf: dict[str, float]
-    entries: list[tuple]
-    n: list[int]
-    toxic: list[int]
-    example: list[int]
+    terms: np.ndarray
+    weights: np.ndarray
+    lengths: np.ndarray
+    n: np.ndarray
+    toxic: np.ndarray
+    example: np.ndarray
     base: float = 0.0
     empty: float = 0.0
     steps: tuple[list[float], list[float]] = ((), ())
@@ -185,44 +189,57 @@ class Model:
 
 
 class BlockMaxIndex:
-    """Postings of the entries by term and block, with each block's largest weight."""
-
-    def __init__(self, entries: list[tuple], terms: int, block: int = BLOCK):
-        self.block, self.size = block, len(entries)
-        blocks = -(-len(entries) // block)
-        self.peak = np.zeros((terms, blocks), np.float64)
-        lists: dict[tuple[int, int], list] = {}
-        for e, vec in enumerate(entries):
-            for t, w in vec:
-                lists.setdefault((t, e // block), []).append((e % block, w))
-                self.peak[t, e // block] = max(self.peak[t, e // block], w)
-        self.postings = {k: (np.array([e for e, _ in v]), np.array([w for _, w in v])) for k, v in lists.items()}
-
-    def nearest(self, vec: tuple, k: int) -> list[tuple[float, int]]:
+    """Postings of the entries by block and term, and each term's largest weight by block."""
+
+    def __init__(self, terms: np.ndarray, weights: np.ndarray, lengths: np.ndarray, n_terms: int,
+                 block: int = BLOCK):
+        self.block = block
+        entry = np.repeat(np.arange(len(lengths)), lengths)
+        order = np.lexsort((entry, terms, entry // block))
+        terms, self.weights, entry = terms[order], weights[order], entry[order]
+        blocks = -(-len(lengths) // block)
+        self.peak = np.zeros((n_terms, blocks))
+        np.maximum.at(self.peak, (terms, entry // block), self.weights)
+        self.at = entry % block
+        # One list of postings for each block and term that meet, in order of block * n_terms + term.
+        cell = (entry // block).astype(np.int64) * n_terms + terms
+        first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else np.zeros(0, int)
+        self.cells, self.starts = cell[first], first
+        self.sizes = np.diff(np.concatenate((first, [len(cell)])))
+        self.n_terms = n_terms
+
+    def nearest(self, vec: Vector, k: int) -> list[tuple[float, int]]:
         """The k entries of largest cosine above 0, as ``(cosine, entry)``; ties by entry."""
-        bound = np.zeros(self.peak.shape[1])
-        for t, w in vec:
-            bound += w * self.peak[t]
+        terms, weights = vec
+        bound = weights @ self.peak[terms]
         best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) >= k and bound[b] < -best[k - 1][0] - 1e-9:
+        for b in np.argsort(-bound, kind="stable").tolist():
+            if bound[b] <= 0 or len(best) >= k and bound[b] < -best[-1][0] - 1e-8:
                 break
-            score = np.zeros(self.block)
-            for t, w in vec:
-                if (p := self.postings.get((t, int(b)))) is not None:
-                    score[p[0]] += w * p[1]
-            best += [(-float(score[e]), int(b) * self.block + int(e)) for e in np.flatnonzero(score)]
-            best = sorted((round(s, 9), e) for s, e in best)[:k]
+            score = self.scores(b, terms, weights).round(9)
+            hit = np.flatnonzero(score)
+            best += zip((-score[hit]).tolist(), (b * self.block + hit).tolist(), strict=True)
+            best = sorted(best)[:k]
         return [(-s, e) for s, e in best]
 
+    def scores(self, b: int, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Cosines of a block's entries, from the lists of the query's terms."""
+        want = b * self.n_terms + terms.astype(np.int64)
+        i = np.searchsorted(self.cells, want)
+        has = np.flatnonzero(self.cells[np.minimum(i, len(self.cells) - 1)] == want)
+        i = i[has]
+        size = self.sizes[i]
+        at = np.repeat(self.starts[i] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return np.bincount(self.at[at], self.weights[at] * np.repeat(weights[has], size), self.block)
 
-def vote(found: list[tuple[float, int]], model: Model, without: tuple[int, int] | None = None) -> float:
-    """Share of toxic among the nearest, by cosine**4; ``without``: an entry and label to leave out once."""
+
+def vote(found: list[tuple[float, int]], model: Model, label: int | None = None) -> float:
+    """Share of toxic among the nearest, by cosine**4; ``label``: of an example left out of the first entry."""
     up, down = model.base, 1.0
-    for s, e in found:
-        n, y = model.n[e], model.toxic[e]
-        if without and e == without[0]:
-            n, y = n - 1, y - without[1]
+    for i, (s, e) in enumerate(found):
+        n, y = int(model.n[e]), int(model.toxic[e])
+        if label is not None and i == 0:
+            n, y = n - 1, y - label
         up, down = up + s**4 * y, down + s**4 * n
     return up / down
 
@@ -249,35 +266,52 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
         for b in batches:
             got = [vector(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array([[i for i, _ in v] for v in got], pa.list_(pa.int32())),
-                 pa.array([[w for _, w in v] for v in got], pa.list_(pa.float64()))],
-                ["doc_id", "toxic", "terms", "weights"])
+                [b.column(0), b.column(2), pa.array([i for i, _ in got], pa.list_(pa.int32())),
+                 pa.array([w for _, w in got], pa.list_(pa.float64()))], ["doc_id", "toxic", "terms", "weights"])
 
-    made = (rows.select("doc_id", "text", "toxic").mapInArrow(
+    made = stored(rows.select("doc_id", "text", "toxic").mapInArrow(
         run, f"doc_id {kind}, toxic int, terms array<int>, weights array<double>")
         .groupBy("terms", "weights").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"),
-                                         F.min("doc_id").alias("example")))
-    found = sorted(made.collect(), key=lambda r: (r["terms"], r["weights"]))  # at most EXAMPLES entries
-    total, bad = sum(r["n"] for r in found), sum(r["toxic"] for r in found)
-    if not total:
-        return Model({}, [], [], [], [])
-    none = [r for r in found if not r["terms"]]
-    some = [r for r in found if r["terms"]]
-    model = Model(idf, [tuple(zip(r["terms"], r["weights"], strict=True)) for r in some], [r["n"] for r in some],
-                  [r["toxic"] for r in some], [r["example"] for r in some], base=bad / total)
-    n0, y0 = sum(r["n"] for r in none), sum(r["toxic"] for r in none)
-    model.empty = (y0 + model.base) / (n0 + 1)
-    index = BlockMaxIndex(model.entries, len(idf))
-    points = []
-    for e, vec in enumerate(model.entries):
-        near = index.nearest(vec, NEAREST)
-        for y, n in ((1, model.toxic[e]), (0, model.n[e] - model.toxic[e])):
-            if n:
-                points.append((round(vote(near, model, (e, y)), 9), float(y), float(n)))
-    model.steps = isotonic(points)
+                                         F.min("doc_id").alias("example")), "toxic-entries")
+    all_ = made.agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).first()
+    none = made.where(F.size("terms") == 0).agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).first()
+    some = made.where(F.size("terms") > 0)
+    got = some.toArrow().sort_by("example").combine_chunks()  # at most EXAMPLES entries
+    terms, weights = (got.column(c).combine_chunks() for c in ("terms", "weights"))
+    model = Model(idf, terms.flatten().to_numpy(zero_copy_only=False), weights.flatten().to_numpy(zero_copy_only=False),
+                  pc.list_value_length(terms).to_numpy(zero_copy_only=False).astype(np.int64),
+                  *(got.column(c).to_numpy() for c in ("n", "toxic", "example")))
+    if not all_["n"]:
+        return model
+    model.base = all_["toxic"] / all_["n"]
+    model.empty = ((none["toxic"] or 0) + model.base) / ((none["n"] or 0) + 1)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Leave-one-out votes: the nearest entry is the vector itself, so the example is left out of that."""
+        m = shared.value
+        index = index_of(m)
+        for b in batches:
+            out = []
+            for t, w, n, y in zip(*b.columns, strict=True):
+                near = index.nearest((np.array(t.as_py(), np.int32), np.array(w.as_py())), NEAREST)
+                n, y = n.as_py(), y.as_py()
+                out += [(vote(near, m, label), float(label), float(k)) for label, k in ((1, y), (0, n - y)) if k]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()) for x in (zip(*out) if out else [[]] * 3)],
+                                             ["vote", "label", "n"])
+
+    points = some.select("terms", "weights", "n", "toxic").repartition(
+        docs.sparkSession.sparkContext.defaultParallelism).mapInArrow(votes, "vote double, label double, n double")
+    points = points.groupBy(F.round("vote", 6).alias("vote")).agg(
+        F.sum(F.col("label") * F.col("n")).alias("y"), F.sum("n").alias("n")).collect()
+    model.steps = isotonic([(r["vote"], r["y"] / r["n"], r["n"]) for r in points])
     return model
 
 
+def index_of(model: Model) -> BlockMaxIndex:
+    return BlockMaxIndex(model.terms, model.weights, model.lengths, len(model.idf))
+
+
 def scores(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, score, predicted, evidence`` of every row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most EXAMPLES short vectors
@@ -286,7 +320,7 @@ def scores(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
         model, score = shared.value, scorer(shared.value)
         for b in batches:
             got = [score(t.as_py() or "") for t in b.column(1)]
-            evidence = [[{"example": model.example[e], "cosine": s} for s, e in near[:3]] for _, near in got]
+            evidence = [[{"example": int(model.example[e]), "cosine": s} for s, e in near[:3]] for _, near in got]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([s for s, _ in got], pa.float64()),
                  pa.array([int(s >= threshold) for s, _ in got], pa.int32()),
@@ -326,11 +360,11 @@ def scorer(model: Model):
     """A function from a text to its score and nearest entries; built once per worker and model."""
     if id(model) not in _scorers:
         _scorers.clear()
-        vector, index = vectors(model.idf), BlockMaxIndex(model.entries, len(model.idf))
+        vector, index = vectors(model.idf), index_of(model)
 
         def score(text: str) -> tuple[float, list]:
             vec = vector(text)
-            near = index.nearest(vec, NEAREST) if vec else []
+            near = index.nearest(vec, NEAREST) if len(vec[0]) else []
             value = model.calibrated(vote(near, model)) if near else model.empty
             return min(1.0, max(0.0, value)), near
 

@@ -53,11 +53,14 @@ def test_index_returns_the_nearest_exactly():
     for e, v in enumerate(entries):
         for t, w in v:
             dense[e, t] = w
-    index = toxicity.BlockMaxIndex(entries, 40, block=16)
+    flat = [(t, w) for v in entries for t, w in v]
+    index = toxicity.BlockMaxIndex(np.array([t for t, _ in flat], np.int32), np.array([w for _, w in flat]),
+                                   np.array([len(v) for v in entries]), 40, block=16)
     for q in range(0, 700, 7):
         cos = (dense @ dense[q]).round(9)
         order = sorted((-c, e) for e, c in enumerate(cos) if c > 0)[:12]
-        got = index.nearest(entries[q], 12)
+        terms, weights = zip(*entries[q], strict=True)
+        got = index.nearest((np.array(terms, np.int32), np.array(weights)), 12)
         assert [e for _, e in got] == [e for _, e in order]
         assert np.allclose([c for c, _ in got], [-c for c, _ in order], atol=1e-8)
 
