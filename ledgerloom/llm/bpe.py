@@ -39,7 +39,8 @@ from ledgerloom.llm.common import fresh, keyed, stored
 HEAD = 1 << 19
 HEAD_BYTES = 64
 
-SPACE = r"\t-\r \u0085   -     　"
+# Fixed: Unicode white space.
+SPACE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 #: Fixed: the word pattern of byte-level BPE, white space as Unicode has it.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N}]+|["
            + SPACE + r"]+(?![^" + SPACE + r"])|[" + SPACE + r"]+")
