@@ -19,10 +19,10 @@ from .sources.readers import read_parquet
 # Fixed values of the test mapping (FIXTURES.md §2): rates per currency and
 # date (decimal comma as in the shipped CSV) and the two keyword lists.
 FIXTURE_RATES = [
-    ("USD", "80,23", dt.date(1995, 1, 1)),
-    ("EU", "91,27", dt.date(1995, 1, 1)),
+    ("USD", "79,40", dt.date(1995, 1, 1)),
+    ("EU", "88,15", dt.date(1995, 1, 1)),
     ("RUB", "1", dt.date(1995, 1, 1)),
-    ("USD", "81,50", dt.date(2001, 1, 1)),
+    ("USD", "82,75", dt.date(2001, 1, 1)),
     ("EU", "90,10", dt.date(1998, 1, 1)),
     ("RUB", "1", dt.date(2001, 1, 1)),
 ]
@@ -43,15 +43,8 @@ KEYWORDS_SCHEMA = T.StructType([
 ])
 
 
-# Tables big enough that a single-split scan would serialise the first stage.
-_SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if name in _SPREAD:
-        return read_parquet(spark, path, spark.sparkContext.defaultParallelism, _SPREAD[name])
-    return spark.read.parquet(path)
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _code(segment: F.Column) -> F.Column:
@@ -149,6 +142,17 @@ def part_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def large_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyword file that grows with the tables: part names, and contract numbers of some orders."""
+    p = read_table(spark, sf_dir, "part")
+    o = read_table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 13 == 0)
+    names = p.filter(F.col("p_partkey") % 5 == 0).select(
+        F.get(F.split("p_name", " "), 1).alias("List_1"), F.col("p_name").alias("List_2"))
+    contracts = o.select(F.concat(F.lit("договор "), F.col("o_orderkey").cast("string")).alias("List_1"),
+                         F.concat(F.lit("ring, договор "), F.col("o_orderkey").cast("string")).alias("List_2"))
+    return names.unionByName(contracts)
+
+
 def ledger_tables(spark: SparkSession, sf_dir: str) -> LedgerTables:
     return LedgerTables(
         clients=clients(spark, sf_dir),
@@ -185,8 +189,8 @@ WITH accounts AS (
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
                   JOIN part p ON l.l_partkey = p.p_partkey
 ), rates(Currency, Rate, RateDate) AS (
-  VALUES ('USD', '80,23', DATE '1995-01-01'), ('EU', '91,27', DATE '1995-01-01'),
-         ('RUB', '1', DATE '1995-01-01'), ('USD', '81,50', DATE '2001-01-01'),
+  VALUES ('USD', '79,40', DATE '1995-01-01'), ('EU', '88,15', DATE '1995-01-01'),
+         ('RUB', '1', DATE '1995-01-01'), ('USD', '82,75', DATE '2001-01-01'),
          ('EU', '90,10', DATE '1998-01-01'), ('RUB', '1', DATE '2001-01-01')
 ), keywords(List_1, List_2) AS (
   VALUES ('widget', 'ring'), ('giz', 'rod'), (NULL, 'anvi')
@@ -195,6 +199,11 @@ WITH accounts AS (
          CAST(o_custkey % 100 AS VARCHAR) || ',' || lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0') AS Rate,
          CAST(o_orderdate AS DATE) AS RateDate
   FROM orders
+), large_dictionary AS (
+  SELECT DISTINCT split_part(p_name, ' ', 2) AS List_1, p_name AS List_2 FROM part WHERE p_partkey % 5 = 0
+  UNION ALL
+  SELECT 'договор ' || CAST(o_orderkey AS VARCHAR), 'ring, договор ' || CAST(o_orderkey AS VARCHAR)
+  FROM orders WHERE o_orderkey % 13 = 0
 ), part_dictionary AS (
   SELECT CASE WHEN p_partkey % 2 = 0 THEN NULLIF(split_part(p_name, ' ', 1), '') END AS List_1,
          NULLIF(split_part(p_name, ' ', 2), '') AS List_2

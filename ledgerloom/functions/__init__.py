@@ -1,8 +1,8 @@
 from .money import (CLEARING_CODE, NATURAL_PERSON, TAX_CODE, balance_code, converted, money,
                     narrow_money, product)
-from .text import MODES, like_to_regex, matches
+from .text import MODES, matches
 
 __all__ = [
     "CLEARING_CODE", "NATURAL_PERSON", "TAX_CODE", "balance_code", "converted", "money",
-    "narrow_money", "product", "MODES", "like_to_regex", "matches",
+    "narrow_money", "product", "MODES", "matches",
 ]

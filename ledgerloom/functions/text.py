@@ -2,69 +2,43 @@
 
 Four modes, one per way the marts sort comments:
 
-* ``regex``    - ``trim(comment) RLIKE 'w1|w2|…'``: words are raw regex
-                 fragments, unanchored, case-sensitive (DataFrame dialect).
+* ``regex``    - ``comment RLIKE 'w1|w2|…'``: words are raw regex fragments,
+                 unanchored, case-sensitive (DataFrame dialect).
 * ``token``    - ``comment LIKE '% w,%'`` for some word: a blank before the
                  word and a comma right after it (SQL dialect).
 * ``contains`` - ``comment LIKE '%w%'`` for some word (first SQL query).
 * ``not_any``  - ``comment NOT LIKE '%w%'`` for *some* word, i.e. at least one
                  word is absent (first SQL query, vehicles list).
 
-All are plain JVM expressions built once from a bounded dictionary, so they
-stay inside whole-stage codegen. An empty dictionary matches nothing.
-NULL comments give NULL; callers decide with ``coalesce`` (D12).
+Words of the LIKE modes are patterns: ``%`` and ``_`` are wildcards, a
+backslash escapes those two and itself, and is itself before anything else.
+``matches`` compiles a word list into one JVM expression; dictionaries too
+large for that go through ``operators.keyword_join`` with the same answers.
+An empty dictionary matches nothing. NULL comments give NULL; callers decide
+with ``coalesce`` (D12).
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MODES = ("regex", "token", "contains", "not_any")
 
-# Above this many words a LIKE dictionary is compiled to one regex instead
-# of an OR chain, which keeps generated code small.
-LIKE_OR_LIMIT = 128
 
+def like_body(word: str) -> str:
+    """The word as a valid LIKE pattern: a stray backslash is doubled."""
+    return re.sub(r"\\([%_\\])|\\", lambda m: m.group(0) if m.group(1) else "\\\\", word)
 
-def like_to_regex(pattern: str, escape: str = "\\") -> str:
-    """Translate a Spark LIKE pattern into an anchored Java regex."""
-    out = []
-    i = 0
-    while i < len(pattern):
-        ch = pattern[i]
-        if ch == escape and i + 1 < len(pattern):
-            out.append(re.escape(pattern[i + 1]))
-            i += 2
-            continue
-        if ch == "%":
-            out.append(".*")
-        elif ch == "_":
-            out.append(".")
-        else:
-            out.append(re.escape(ch))
-        i += 1
-    return "(?s)^" + "".join(out) + "$"
 
-
-def _like_patterns(words: Sequence[str], mode: str) -> list[str]:
-    if mode == "token":
-        return [f"% {w},%" for w in words]
-    return [f"%{w}%" for w in words]
-
-
-def _like_any(c: Column, patterns: list[str]) -> Column:
-    if len(patterns) <= LIKE_OR_LIMIT:
-        expr = None
-        for p in patterns:
-            term = c.like(p)
-            expr = term if expr is None else (expr | term)
-        return expr
-    bodies = [like_to_regex(p)[len("(?s)^"):-1] for p in patterns]
-    return c.rlike("(?s)^(?:" + "|".join(bodies) + ")$")
+def _balanced(terms: list[Column], join: Callable[[Column, Column], Column]) -> Column:
+    """Terms joined as a balanced tree: depth grows with the logarithm of their number."""
+    while len(terms) > 1:
+        terms = [join(*terms[i:i + 2]) if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0]
 
 
 def matches(comment: Column | str, words: Sequence[str], mode: str,
@@ -75,17 +49,15 @@ def matches(comment: Column | str, words: Sequence[str], mode: str,
     c = F.col(comment) if isinstance(comment, str) else comment
     if trim_comment:
         c = F.trim(c)
-    words = [w for w in words if w is not None]
+    words = sorted({w for w in words if w is not None})
     if not words:
         # D13: an empty list matches nothing (NULL comments stay NULL).
         return F.when(c.isNull(), F.lit(None).cast("boolean")).otherwise(F.lit(False))
     if mode == "regex":
         return c.rlike("|".join(words))
-    if mode in ("token", "contains"):
-        return _like_any(c, _like_patterns(words, mode))
-    # not_any: some word is absent from the comment.
-    present_all = None
-    for p in _like_patterns(words, "contains"):
-        term = c.like(p)
-        present_all = term if present_all is None else (present_all & term)
-    return ~present_all
+    if mode == "token":
+        return _balanced([c.like(f"% {like_body(w)},%") for w in words], Column.__or__)
+    present = [c.like(f"%{like_body(w)}%") for w in words]
+    if mode == "contains":
+        return _balanced(present, Column.__or__)
+    return ~_balanced(present, Column.__and__)

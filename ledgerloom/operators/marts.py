@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import money, narrow_money
 from ..schemas import LedgerTables
 from .dialects import Dialect, get_dialect
-from .legs import payments_mart
 
 ACCOUNT_COLUMNS = ["AccountId", "AccountNum", "DateOpen", "ClientId", "ClientName", "TotalAmt", "CutoffDt"]
 INFO_COLUMNS = ["ClientId", "ClientName", "Type", "Form", "RegisterDate", "TotalAmt", "CutoffDt"]
 
 
+def _total(d: Dialect) -> Column:
+    if d.name == "frame":
+        return money(F.col("PaymentAmt") + F.col("EnrollmentAmt"))
+    return money(narrow_money("PaymentAmt") + narrow_money("EnrollmentAmt"))
+
+
 def account_mart(payments: DataFrame, tables: LedgerTables, dialect: str | Dialect = "frame") -> DataFrame:
     """Payments mart + account number, open date and client name.
 
@@ -24,15 +29,10 @@ def account_mart(payments: DataFrame, tables: LedgerTables, dialect: str | Diale
     d = get_dialect(dialect)
     acc = tables.accounts.select("AccountId", "AccountNum", "DateOpen")
     cl = tables.clients.select("ClientId", "ClientName")
-    if d.name == "frame":
-        how = "left"
-        total = F.col("PaymentAmt") + F.col("EnrollmentAmt")
-    else:
-        how = "inner"
-        total = narrow_money("PaymentAmt") + narrow_money("EnrollmentAmt")
+    how = "left" if d.name == "frame" else "inner"
     return (payments.join(acc, "AccountId", how).join(cl, "ClientId", how)
             .select("AccountId", "AccountNum", "DateOpen", "ClientId", "ClientName",
-                    money(total).alias("TotalAmt"), "CutoffDt"))
+                    _total(d).alias("TotalAmt"), "CutoffDt"))
 
 
 def info_mart(account: DataFrame, tables: LedgerTables) -> DataFrame:
@@ -50,8 +50,10 @@ def info_mart(account: DataFrame, tables: LedgerTables) -> DataFrame:
                     money("TotalAmt").alias("TotalAmt"), "CutoffDt"))
 
 
-def build_marts(tables: LedgerTables, dialect: str | Dialect = "frame") -> dict[str, DataFrame]:
-    """The three marts as lazy frames (no intermediate materialisation)."""
-    pay = payments_mart(tables, dialect)
-    acc = account_mart(pay, tables, dialect)
-    return {"payments": pay, "account": acc, "info": info_mart(acc, tables)}
+def info_from_payments(payments: DataFrame, dialect: str | Dialect = "frame") -> DataFrame:
+    """(ClientId, CutoffDt, TotalAmt) rows for ``info_mart``, straight from payments.
+
+    The account mart's attributes play no part in the rollup: accounts and clients are
+    not joined for it. ``sql`` drops clients that are not known, which ``info_mart`` does too.
+    """
+    return payments.select("ClientId", "CutoffDt", _total(get_dialect(dialect)).alias("TotalAmt"))

@@ -1,10 +1,8 @@
 """Each payments measure on its own (AG1-AG7, AG11-AG13, JN5-JN10, SO3).
 
 These are the measures as stand-alone operators, keyed by
-(AccountId, CutoffDt); ``naive_payments_mart`` assembles them the way the
-reference does (kernel ⟕ seven measures) and serves as the differential
-check of the one-pass plan in ``legs.py``. Operations and keys with NULL
-account or date never match the kernel and are left out.
+(AccountId, CutoffDt); each runs only the jobs it needs. Operations and keys
+with NULL account or date never match the kernel and are left out.
 """
 
 from __future__ import annotations
@@ -14,11 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions.money import (CLEARING_CODE, NATURAL_PERSON, TAX_CODE, balance_code, money,
                                product)
-from ..functions.text import matches
 from ..schemas import LedgerTables
-from ..sources.keywords import load_words
 from .dialects import Dialect, get_dialect
-from .kernel import ledger_kernel
+from .keyword_join import tag
 from .rates import attach_rate, convert_operations
 
 
@@ -36,16 +32,23 @@ def converted_ops(tables: LedgerTables, dialect: str | Dialect = "frame") -> Dat
     return convert_operations(tables.operations, tables.rates, get_dialect(dialect).rate_policy)
 
 
-def debit_legs(kernel: DataFrame, conv: DataFrame) -> DataFrame:
+def _legs(conv: DataFrame, accounts: DataFrame, side: str) -> DataFrame:
+    """Every operation with a key on that side has its kernel row, so the
+    kernel is not joined back: operations ⟕ accounts gives the same rows."""
+    own = accounts.select(F.col("AccountId").alias(side), "ClientId")
+    return (_keyed(conv, side).join(own, side, "left")
+            .select(F.col(side).alias("AccountId"), "ClientId", F.col("DateOp").alias("CutoffDt"),
+                    "AccountDB", "AccountCR", "Amount", "Comment"))
+
+
+def debit_legs(conv: DataFrame, accounts: DataFrame) -> DataFrame:
     """Kernel rows joined with the operations they pay from (JN5)."""
-    return (kernel.join(conv, (kernel.AccountId == conv.AccountDB) & (kernel.CutoffDt == conv.DateOp))
-            .select("AccountId", "ClientId", "CutoffDt", "AccountDB", "AccountCR", "Amount", "Comment"))
+    return _legs(conv, accounts, "AccountDB")
 
 
-def credit_legs(kernel: DataFrame, conv: DataFrame) -> DataFrame:
+def credit_legs(conv: DataFrame, accounts: DataFrame) -> DataFrame:
     """Kernel rows joined with the operations they receive (JN6)."""
-    return (kernel.join(conv, (kernel.AccountId == conv.AccountCR) & (kernel.CutoffDt == conv.DateOp))
-            .select("AccountId", "ClientId", "CutoffDt", "AccountDB", "AccountCR", "Amount", "Comment"))
+    return _legs(conv, accounts, "AccountCR")
 
 
 def payment(conv: DataFrame) -> DataFrame:
@@ -73,19 +76,20 @@ def clear(conv: DataFrame, tables: LedgerTables) -> DataFrame:
     return _sum_by(j, "AccountCR", F.col("Amount"), "ClearAmt")
 
 
-def ops_not_matching(conv: DataFrame, words: list[str], mode: str, trim_comment: bool) -> DataFrame:
-    """``conv EXCEPT conv[matching]``: distinct rows whose comment does not match."""
-    hit = F.coalesce(matches("Comment", words, mode, trim_comment), F.lit(False))
-    return conv.distinct().filter(~hit)
+def ops_not_matching(conv: DataFrame, tables: LedgerTables, d: Dialect) -> DataFrame:
+    """``conv EXCEPT conv[vehicles]``: distinct rows whose comment does not match."""
+    hit = tag(conv.distinct(), tables.keywords, {"List_1": d.cars_mode}, trim_comment=d.trim_comment,
+              trim_words=d.trim_words)
+    return hit.filter(~F.col("hit_List_1")).select(*conv.columns)
 
 
-def cars(conv: DataFrame, words: list[str], mode: str, trim_comment: bool) -> DataFrame:
-    return _sum_by(ops_not_matching(conv, words, mode, trim_comment), "AccountDB", F.col("Amount"), "CarsAmt")
+def cars(conv: DataFrame, tables: LedgerTables, d: Dialect) -> DataFrame:
+    return _sum_by(ops_not_matching(conv, tables, d), "AccountDB", F.col("Amount"), "CarsAmt")
 
 
-def food(conv: DataFrame, words: list[str], mode: str, trim_comment: bool) -> DataFrame:
-    hit = F.coalesce(matches("Comment", words, mode, trim_comment), F.lit(False))
-    rows = conv.filter(hit).select("AccountDB", "AccountCR", "DateOp", "Amount").distinct()
+def food(conv: DataFrame, tables: LedgerTables, d: Dialect) -> DataFrame:
+    hit = tag(conv, tables.keywords, {"List_2": d.food_mode}, trim_comment=d.trim_comment, trim_words=d.trim_words)
+    rows = hit.filter("hit_List_2").select("AccountDB", "AccountCR", "DateOp", "Amount").distinct()
     return _sum_by(rows, "AccountCR", F.col("Amount"), "FoodAmt")
 
 
@@ -97,31 +101,21 @@ def natural_person(conv: DataFrame, tables: LedgerTables) -> DataFrame:
     return _sum_by(j, "AccountDB", F.col("Amount"), "FLAmt")
 
 
-def all_measures(tables: LedgerTables, dialect: str | Dialect = "frame") -> dict[str, DataFrame]:
-    d = get_dialect(dialect)
-    conv = converted_ops(tables, d)
-    w1 = load_words(tables.keywords, "List_1", trim=d.trim_words)
-    w2 = load_words(tables.keywords, "List_2", trim=d.trim_words)
-    return {
-        "PaymentAmt": payment(conv),
-        "EnrollmentAmt": enrollment(conv),
-        "TaxAmt": tax(conv, tables),
-        "ClearAmt": clear(conv, tables),
-        "CarsAmt": cars(conv, w1, d.cars_mode, d.trim_comment),
-        "FoodAmt": food(conv, w2, d.food_mode, d.trim_comment),
-        "FLAmt": natural_person(conv, tables),
-    }
-
-
-def naive_payments_mart(tables: LedgerTables, dialect: str | Dialect = "frame") -> DataFrame:
-    """Kernel ⟕ seven measures: the reference's shape, for differential tests."""
+MEASURE = {
+    "PaymentAmt": lambda conv, t, d: payment(conv),
+    "EnrollmentAmt": lambda conv, t, d: enrollment(conv),
+    "TaxAmt": lambda conv, t, d: tax(conv, t),
+    "ClearAmt": lambda conv, t, d: clear(conv, t),
+    "CarsAmt": cars,
+    "FoodAmt": food,
+    "FLAmt": lambda conv, t, d: natural_person(conv, t),
+}
+
+
+def measure(name: str, tables: LedgerTables, dialect: str | Dialect = "frame") -> DataFrame:
+    """One measure by its mart column name."""
     d = get_dialect(dialect)
-    kernel = ledger_kernel(tables.operations, tables.accounts, keep_orphans=d.keep_orphans)
-    out = kernel
-    for name, m in all_measures(tables, d).items():
-        out = out.join(m, ["AccountId", "CutoffDt"], "left")
-    from .legs import MEASURES, PAYMENTS_COLUMNS
-    return out.fillna(0, subset=MEASURES).select(*PAYMENTS_COLUMNS)
+    return MEASURE[name](converted_ops(tables, d), tables, d)
 
 
 # --- first SQL query (V1) -------------------------------------------------------------
@@ -144,10 +138,6 @@ def payment_v1(tables: LedgerTables) -> DataFrame:
     return _round_sum_by(v1_ops(tables), "AccountDB", "PaymentAmt")
 
 
-def enrollment_v1(tables: LedgerTables) -> DataFrame:
-    return _round_sum_by(v1_ops(tables), "AccountCR", "EnrollmentAmt")
-
-
 def tax_v1(tables: LedgerTables) -> DataFrame:
     """Debit legs of accounts whose *own* number is a 40702 account (AG13)."""
     j = v1_ops(tables).join(_code_of(tables, "AccountDB"), "AccountDB") \
@@ -164,32 +154,11 @@ def clear_v1(tables: LedgerTables) -> DataFrame:
 
 def cars_v1(tables: LedgerTables) -> DataFrame:
     """Distinct (amount, converted) of debit legs missing some vehicle word (AG11)."""
-    words = load_words(tables.keywords, "List_1")
-    hit = F.coalesce(matches("Comment", words, "not_any"), F.lit(False))
-    rows = v1_ops(tables).filter(hit).select("AccountDB", "DateOp", "Amount", "res").distinct()
-    return _round_sum_by(rows, "AccountDB", "CarsAmt")
+    hit = tag(v1_ops(tables), tables.keywords, {"List_1": "not_any"}).filter("hit_List_1")
+    return _round_sum_by(hit.select("AccountDB", "DateOp", "Amount", "res").distinct(), "AccountDB", "CarsAmt")
 
 
 def food_v1(tables: LedgerTables) -> DataFrame:
     """Distinct (amount, converted) of credit legs containing a food word (AG11)."""
-    words = load_words(tables.keywords, "List_2")
-    hit = F.coalesce(matches("Comment", words, "contains"), F.lit(False))
-    rows = v1_ops(tables).filter(hit).select("AccountCR", "DateOp", "Amount", "res").distinct()
-    return _round_sum_by(rows, "AccountCR", "FoodAmt")
-
-
-def natural_person_v1(tables: LedgerTables) -> DataFrame:
-    acc = tables.accounts.select(F.col("AccountId").alias("AccountCR"), F.col("ClientId").alias("cp_client"))
-    cl = tables.clients.select(F.col("ClientId").alias("cp_client"), "Type")
-    j = v1_ops(tables).join(acc, "AccountCR").join(cl, "cp_client").filter(F.col("Type") == NATURAL_PERSON)
-    return _round_sum_by(j, "AccountDB", "FLAmt")
-
-
-def naive_payments_mart_v1(tables: LedgerTables) -> DataFrame:
-    kernel = ledger_kernel(tables.operations, tables.accounts, keep_orphans=False)
-    out = kernel
-    for m in (payment_v1(tables), enrollment_v1(tables), tax_v1(tables), clear_v1(tables),
-              cars_v1(tables), food_v1(tables), natural_person_v1(tables)):
-        out = out.join(m, ["AccountId", "CutoffDt"], "left")
-    from .legs import PAYMENTS_COLUMNS
-    return out.select(*PAYMENTS_COLUMNS)
+    hit = tag(v1_ops(tables), tables.keywords, {"List_2": "contains"}).filter("hit_List_2")
+    return _round_sum_by(hit.select("AccountCR", "DateOp", "Amount", "res").distinct(), "AccountCR", "FoodAmt")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import converted
+from ..schemas import parse_decimal_comma
 from .broadcast import bounded_broadcast
 
 POLICIES = ("latest_per_currency", "latest_global")
@@ -57,7 +58,7 @@ def reduce_rates(rates: DataFrame, policy: str) -> DataFrame:
 
 def attach_rate(operations: DataFrame, rates: DataFrame, policy: str,
                 keep_unrated: bool = False, checked: DataFrame | None = None) -> DataFrame:
-    """Operations with the policy's ``Rate`` text column (broadcast join).
+    """Operations with the policy's parsed ``Rate`` (broadcast join).
 
     ``keep_unrated`` keeps operations whose currency has no rate (Rate NULL).
     ``checked`` is an already size-checked reduced rate table.
@@ -69,8 +70,8 @@ def attach_rate(operations: DataFrame, rates: DataFrame, policy: str,
 
 
 def reduced_rates(rates: DataFrame, policy: str) -> DataFrame:
-    """(Currency, Rate) rows the policy applies, not yet broadcast."""
-    return reduce_rates(rates, policy).select("Currency", "Rate")
+    """(Currency, Rate) rows the policy applies, the text parsed once; not yet broadcast."""
+    return reduce_rates(rates, policy).select("Currency", parse_decimal_comma("Rate").alias("Rate"))
 
 
 def convert_operations(operations: DataFrame, rates: DataFrame,

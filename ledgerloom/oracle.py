@@ -3,7 +3,7 @@
 Independent, straightforward SQL (kernel + measures + left joins, the
 reference's shape) over the same fixture mapping, written for DuckDB:
 ``regexp_matches`` for RLIKE, ``//`` for integer division, 1-based
-``substring``. Every measure is cast to DECIMAL(18,2) as in Spark.
+``substring``. Every measure is cast to DECIMAL(38,2) as in Spark.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ _COMMON = """
 """
 
 
-def _hit(list_col: str, mode: str, comment: str = "c.Comment") -> str:
+def _hit(list_col: str, mode: str, comment: str = "c.Comment", words: str = "keywords") -> str:
     """EXISTS test of one comment against one keyword column."""
     if mode == "regex":
         cond = f"regexp_matches(trim({comment}), trim(k.{list_col}))"
@@ -60,7 +60,7 @@ def _hit(list_col: str, mode: str, comment: str = "c.Comment") -> str:
         cond = f"NOT ({comment} LIKE '%' || k.{list_col} || '%')"
     else:
         raise ValueError(mode)
-    return f"EXISTS (SELECT 1 FROM keywords k WHERE k.{list_col} IS NOT NULL AND {cond})"
+    return f"EXISTS (SELECT 1 FROM {words} k WHERE k.{list_col} IS NOT NULL AND {cond})"
 
 
 def _measures(conv: str, mode: str) -> str:
@@ -127,7 +127,7 @@ _V1_MEASURES = f"""
 )
 """
 
-_M = "CAST(coalesce({a}.v, 0) AS DECIMAL(18,2)) AS {n}"
+_M = "CAST(coalesce({a}.v, 0) AS DECIMAL(38,2)) AS {n}"
 _J = " LEFT JOIN {a} ON {a}.AccountId = k.AccountId AND {a}.CutoffDt = k.CutoffDt"
 _PAIRS = [("m_pay", "PaymentAmt"), ("m_enr", "EnrollmentAmt"), ("m_tax", "TaxAmt"), ("m_clr", "ClearAmt"),
           ("m_cars", "CarsAmt"), ("m_food", "FoodAmt"), ("m_fl", "FLAmt")]
@@ -141,7 +141,7 @@ def _payments_select(kernel: str) -> str:
 
 def _payments_v1_select() -> str:
     pairs = [(a.replace("m_", "v_"), n) for a, n in _PAIRS]
-    cols = ", ".join(f"CAST({a}.v AS DECIMAL(18,2)) AS {n}" for a, n in pairs)
+    cols = ", ".join(f"CAST({a}.v AS DECIMAL(38,2)) AS {n}" for a, n in pairs)
     joins = "".join(_J.format(a=a) for a, _ in pairs)
     return f"SELECT k.AccountId, k.ClientId, {cols}, k.CutoffDt FROM kernel_sql k{joins}"
 
@@ -157,7 +157,7 @@ _PAY_SQL_CTE = (_measures("conv_sql", "token").replace("m_", "s_")
 _ACCOUNT_FRAME = """
 , acct_frame AS (
   SELECT p.AccountId, a.AccountNum, a.DateOpen, p.ClientId, c.ClientName,
-         CAST(p.PaymentAmt + p.EnrollmentAmt AS DECIMAL(18,2)) AS TotalAmt, p.CutoffDt
+         CAST(p.PaymentAmt + p.EnrollmentAmt AS DECIMAL(38,2)) AS TotalAmt, p.CutoffDt
   FROM pay_frame p LEFT JOIN accounts a ON p.AccountId = a.AccountId
                    LEFT JOIN clients c ON p.ClientId = c.ClientId
 )
@@ -166,7 +166,7 @@ _ACCOUNT_SQL = """
 , acct_sql AS (
   SELECT p.AccountId, a.AccountNum, a.DateOpen, p.ClientId, c.ClientName,
          CAST(TRY_CAST(coalesce(p.PaymentAmt, 0) AS DECIMAL(10,2))
-            + TRY_CAST(coalesce(p.EnrollmentAmt, 0) AS DECIMAL(10,2)) AS DECIMAL(18,2)) AS TotalAmt,
+            + TRY_CAST(coalesce(p.EnrollmentAmt, 0) AS DECIMAL(10,2)) AS DECIMAL(38,2)) AS TotalAmt,
          p.CutoffDt
   FROM pay_sql p JOIN accounts a ON p.AccountId = a.AccountId
                  JOIN clients c ON p.ClientId = c.ClientId
@@ -177,7 +177,7 @@ _ACCOUNT_SQL = """
 def _info(acct: str) -> str:
     return f"""
 SELECT c.ClientId, c.ClientName, c.Type, c.Form, c.RegisterDate,
-       CAST(sum(x.TotalAmt) AS DECIMAL(18,2)) AS TotalAmt, x.CutoffDt
+       CAST(sum(x.TotalAmt) AS DECIMAL(38,2)) AS TotalAmt, x.CutoffDt
 FROM clients c JOIN {acct} x ON c.ClientId = x.ClientId
 GROUP BY c.ClientId, c.ClientName, c.Type, c.Form, c.RegisterDate, x.CutoffDt
 """
@@ -191,18 +191,31 @@ FROM operations c
 """
 
 
+def _kw_large(mode: str) -> str:
+    """Flags of the distinct comments, joined back to the operations."""
+    return _with() + f"""
+, words AS (SELECT DISTINCT List_1, List_2 FROM large_dictionary)
+, flags AS (
+  SELECT c.Comment, {_hit('List_1', mode, words='words')} AS List1Hit, {_hit('List_2', mode, words='words')} AS List2Hit
+  FROM (SELECT DISTINCT Comment FROM operations) c
+)
+SELECT o.AccountDB, o.AccountCR, o.DateOp, o.Comment, f.List1Hit, f.List2Hit
+FROM operations o JOIN flags f ON o.Comment = f.Comment
+"""
+
+
 def _measure(alias: str, name: str) -> str:
-    return _with(_measures("conv", "regex")) + f"SELECT AccountId, CutoffDt, CAST(v AS DECIMAL(18,2)) AS {name} FROM {alias}"
+    return _with(_measures("conv", "regex")) + f"SELECT AccountId, CutoffDt, CAST(v AS DECIMAL(38,2)) AS {name} FROM {alias}"
 
 
 def _measure_v1(alias: str, name: str) -> str:
-    return _with(_V1_MEASURES) + f"SELECT AccountId, CutoffDt, CAST(v AS DECIMAL(18,2)) AS {name} FROM {alias}"
+    return _with(_V1_MEASURES) + f"SELECT AccountId, CutoffDt, CAST(v AS DECIMAL(38,2)) AS {name} FROM {alias}"
 
 
-_MONEY_OPS = "SELECT AccountDB, AccountCR, DateOp, CAST(Amount AS DECIMAL(18,2)) AS Amount, Comment FROM {}"
+_MONEY_OPS = "SELECT AccountDB, AccountCR, DateOp, CAST(Amount AS DECIMAL(38,2)) AS Amount, Comment FROM {}"
 _LEGS = """
 SELECT k.AccountId, k.ClientId, k.CutoffDt, c.AccountDB, c.AccountCR,
-       CAST(c.Amount AS DECIMAL(18,2)) AS Amount, c.Comment
+       CAST(c.Amount AS DECIMAL(38,2)) AS Amount, c.Comment
 FROM kernel k JOIN conv c ON k.AccountId = c.{side} AND k.CutoffDt = c.DateOp
 """
 
@@ -210,8 +223,10 @@ ORACLE: dict[str, str] = {
     "src_csv": _with() + "SELECT AccountDB, AccountCR, CAST(DateOp AS VARCHAR) AS DateOp, Amount, Currency, Comment FROM operations",
     "src_parquet": _with() + "SELECT AccountId, AccountNum FROM accounts",
     "src_partitioned": _with() + "SELECT * FROM operations WHERE DateOp BETWEEN DATE '1998-01-01' AND DATE '1999-12-31'",
+    "src_wholetext": _with() + "SELECT Comment AS line, count(*) AS n FROM operations GROUP BY Comment",
     "json_path": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
     "ingest_roundtrip": _with() + "SELECT * FROM operations",
+    "ingest_reordered": _with() + "SELECT * FROM operations",
     "sink_partitioned": _with(_PAY_FRAME_CTE) + "SELECT * FROM pay_frame",
     "sink_flat": _with() + "SELECT * FROM kernel",
     "sink_csv_sorted": _with(_PAY_FRAME_CTE, _ACCOUNT_FRAME) + _info("acct_frame"),
@@ -221,6 +236,10 @@ ORACLE: dict[str, str] = {
     "kw_token": _kw("token"),
     "kw_contains": _kw("contains"),
     "kw_not_any": _kw("not_any"),
+    "kw_regex_large": _kw_large("regex"),
+    "kw_token_large": _kw_large("token"),
+    "kw_contains_large": _kw_large("contains"),
+    "kw_not_any_large": _kw_large("not_any"),
     "rate_latest_rank": _with() + """
 SELECT Currency, Rate, RateDate FROM (
   SELECT *, rank() OVER (PARTITION BY Currency ORDER BY RateDate DESC) AS rk
@@ -263,3 +282,9 @@ FROM accounts""",
     "mart_info": _with(_PAY_FRAME_CTE, _ACCOUNT_FRAME) + _info("acct_frame"),
     "mart_info_sql": _with(_PAY_SQL_CTE, _ACCOUNT_SQL) + _info("acct_sql"),
 }
+ORACLE |= {
+    "rate_latest_window": ORACLE["rate_latest_rank"],
+    "sql_text_payments": ORACLE["mart_payments_sql"],
+    "sql_text_account": ORACLE["mart_account_sql"],
+    "sql_text_info": ORACLE["mart_info_sql"],
+}

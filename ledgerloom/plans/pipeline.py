@@ -10,6 +10,7 @@ downstream mart and preview).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.dialects import Dialect, get_dialect
 from ..operators.legs import payments_mart
@@ -80,20 +81,51 @@ def build_and_write(spark: SparkSession, tables: LedgerTables, out_dir: str,
 
     pay = payments_mart(tables, d)
     write_partitioned(pay, paths["payments"], "CutoffDt", dynamic_overwrite=dynamic_overwrite)
-    pay = spark.read.schema(pay.schema).parquet(paths["payments"]).select(*pay.columns)
+    # A reload reads back only its own dates: the other partitions are neither read nor rebuilt.
+    dates = _dates(tables) if dynamic_overwrite else None
+    pay = _read_back(spark, pay, paths["payments"], dates)
 
     if d.name == "sql_v1":
         return {"payments": paths["payments"]}
 
     acc = account_mart(pay, tables, d)
     write_partitioned(acc, paths["account"], "CutoffDt", dynamic_overwrite=dynamic_overwrite)
-    acc = spark.read.schema(acc.schema).parquet(paths["account"]).select(*acc.columns)
+    acc = _read_back(spark, acc, paths["account"], dates)
 
     info = info_mart(acc, tables)
     write_partitioned(info, paths["info"], "CutoffDt", dynamic_overwrite=dynamic_overwrite)
     return paths
 
 
+def _dates(tables: LedgerTables) -> list:
+    """The cutoff dates being reloaded (one small row per date of the chosen range)."""
+    return [r[0] for r in tables.operations.select("DateOp").distinct().collect()]
+
+
+def _read_back(spark: SparkSession, df: DataFrame, path: str, dates: list | None) -> DataFrame:
+    back = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    if dates is None:
+        return back
+    known = [d for d in dates if d is not None]
+    cond = F.col("CutoffDt").isin(known)
+    return back.filter(cond | F.col("CutoffDt").isNull() if None in dates else cond)
+
+
+def stale_dates(spark: SparkSession, tables: LedgerTables, out_dir: str, cutoff_from=None, cutoff_to=None) -> list:
+    """Dates of a reloaded range that the payments mart has and the operations no longer have.
+
+    A dynamic overwrite replaces the partitions it writes; those of vanished
+    dates stay until they are removed.
+    """
+    mart = spark.read.parquet(f"{out_dir.rstrip('/')}/corporate_payments").select("CutoffDt").distinct()
+    if cutoff_from is not None:
+        mart = mart.filter(F.col("CutoffDt") >= F.lit(cutoff_from).cast("date"))
+    if cutoff_to is not None:
+        mart = mart.filter(F.col("CutoffDt") <= F.lit(cutoff_to).cast("date"))
+    gone = mart.join(tables.operations.select(F.col("DateOp").alias("CutoffDt")), "CutoffDt", "left_anti")
+    return sorted(r[0] for r in gone.collect() if r[0] is not None)
+
+
 def publish(spark: SparkSession, paths: dict[str, str], url: str, properties: dict[str, str],
             driver: str | None = None, num_partitions: int | None = None) -> None:
     """Written marts → database tables (overwrite), from explicit paths (D25)."""

@@ -1,8 +1,8 @@
 """SQL mart chain in one session (CM10, SRC4, SRC7).
 
 The three SQL-dialect marts as SQL text kept in ``plans/sql/``, run with
-``spark.sql`` over named views. The keyword dictionary is applied once by
-the JVM matcher and exposed as the ``operations_tagged`` view, so the SQL
+``spark.sql`` over named frames. The keyword dictionary is applied once by
+the matcher and passed as ``operations_tagged``, so the SQL
 needs no theta join against the dictionary. With ``out_dir`` every mart is
 written and the next one reads the written table (no re-evaluation).
 """
@@ -12,14 +12,10 @@ from __future__ import annotations
 from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..functions.text import matches
+from ..operators.keyword_join import tag
 from ..schemas import LedgerTables
 from ..sinks.writers import write_partitioned
-from ..operators.token_join import JOIN_MIN_WORDS, token_flags
-from ..sources.keywords import load_lists, load_lists_upto
-from ..sources.readers import register_views
 
 
 def sql_text(name: str) -> str:
@@ -29,33 +25,24 @@ def sql_text(name: str) -> str:
 
 def tag_operations(tables: LedgerTables, mode: str = "token", trim: bool = False) -> DataFrame:
     """Operations plus ``kw_cars`` / ``kw_food`` flags (dictionary hits)."""
-    lists = load_lists_upto(tables.keywords, JOIN_MIN_WORDS, trim) if mode == "token" \
-        else load_lists(tables.keywords, trim=trim)
-    if lists is None:
-        flags = token_flags(tables.operations.select("Comment"), tables.keywords)
-        return tables.operations.join(flags, "Comment", "left").select(
-            *tables.operations.columns,
-            F.coalesce(F.col("hit_List_1"), F.lit(False)).alias("kw_cars"),
-            F.coalesce(F.col("hit_List_2"), F.lit(False)).alias("kw_food"))
-    return tables.operations.select(
-        "*",
-        F.coalesce(matches("Comment", lists.get("List_1", []), mode, trim), F.lit(False)).alias("kw_cars"),
-        F.coalesce(matches("Comment", lists.get("List_2", []), mode, trim), F.lit(False)).alias("kw_food"),
-    )
+    tagged = tag(tables.operations, tables.keywords, {"List_1": mode, "List_2": mode},
+                 trim_comment=trim, trim_words=trim)
+    return tagged.withColumnsRenamed({"hit_List_1": "kw_cars", "hit_List_2": "kw_food"})
 
 
 def run_sql_marts(spark: SparkSession, tables: LedgerTables,
                   out_dir: str | None = None) -> dict[str, DataFrame]:
-    register_views(tables)
-    tag_operations(tables).createOrReplaceTempView("operations_tagged")
+    """payments, account, info. The inputs are passed by name to ``spark.sql``,
+    so no view of the caller's session is created or replaced."""
+    frames = {"operations_tagged": tag_operations(tables), "rates": tables.rates,
+              "accounts": tables.accounts, "clients": tables.clients}
     out: dict[str, DataFrame] = {}
-    for name, view in (("payments", "corporate_payments"), ("account", "corporate_account"),
-                       ("info", "corporate_info")):
-        df = spark.sql(sql_text(name))
+    for name in ("payments", "account", "info"):
+        text = sql_text(name)
+        df = spark.sql(text, **{k: v for k, v in frames.items() if "{" + k + "}" in text})
         if out_dir is not None:
-            path = f"{out_dir.rstrip('/')}/{view}"
+            path = f"{out_dir.rstrip('/')}/corporate_{name}"
             write_partitioned(df, path, "CutoffDt")
             df = spark.read.schema(df.schema).parquet(path).select(*df.columns)
-        df.createOrReplaceTempView(view)
-        out[name] = df
+        out[name] = frames[f"corporate_{name}"] = df
     return out

@@ -14,23 +14,25 @@ from pyspark.sql import functions as F
 
 from . import fixtures
 from .functions.money import CLEARING_CODE, TAX_CODE, balance_code, money
-from .functions.text import matches
 from .operators import measures as M
 from .operators.dialects import FRAME, SQL
+from .operators.keyword_join import tag
 from .operators.kernel import ledger_ids, ledger_kernel
 from .operators.legs import payments_mart
-from .operators.marts import account_mart, info_mart
-from .operators.rates import convert_operations, latest_global, latest_per_currency
+from .operators.marts import account_mart, info_from_payments, info_mart
+from .operators.rates import (convert_operations, latest_global, latest_per_currency,
+                              latest_per_currency_ranked)
 from .plans.pipeline import ingest_table
+from .plans.sql_chain import run_sql_marts
 from .session import scratch_path
 from .sinks.writers import write_flat, write_partitioned, write_sorted_csv
-from .sources.keywords import load_lists, load_words, long_form
-from .sources.readers import json_value, read_csv, read_parquet, read_partitioned
+from .sources.keywords import long_form
+from .sources.readers import json_value, read_csv, read_parquet, read_partitioned, read_wholetext
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_TABLES: dict[tuple[int, str], tuple[SparkSession, object]] = {}
+_TABLES: dict[tuple[str, str], object] = {}
 
 
 def _ingested(spark: SparkSession, sf_dir: str):
@@ -45,8 +47,8 @@ def _ingested(spark: SparkSession, sf_dir: str):
     t = fixtures.ledger_tables(spark, sf_dir)
     base = scratch_path(spark, "ingested-fixture")
     write_partitioned(t.operations, f"{base}/Operation", "DateOp")
-    write_flat(t.accounts, f"{base}/Account", spark.sparkContext.defaultParallelism)
-    write_flat(t.clients, f"{base}/Client", spark.sparkContext.defaultParallelism)
+    write_flat(t.accounts, f"{base}/Account")
+    write_flat(t.clients, f"{base}/Client")
     return t.with_(
         operations=read_partitioned(spark, f"{base}/Operation", "operations"),
         accounts=spark.read.schema(t.accounts.schema).parquet(f"{base}/Account"),
@@ -55,12 +57,14 @@ def _ingested(spark: SparkSession, sf_dir: str):
 
 
 def _t(spark: SparkSession, sf_dir: str):
-    key = (id(spark), sf_dir)
-    hit = _TABLES.get(key)
-    if hit is None or hit[0] is not spark:
-        hit = (spark, _ingested(spark, sf_dir))
-        _TABLES[key] = hit
-    return hit[1]
+    """Ingested tables of a fixture folder, once per application and state of its files."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    state = ",".join(sorted(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}" for f in fs.listStatus(fs_path)))
+    key = (spark.sparkContext.applicationId, state)
+    if key not in _TABLES:
+        _TABLES[key] = _ingested(spark, sf_dir)
+    return _TABLES[key]
 
 
 def _money_ops(df: DataFrame) -> DataFrame:
@@ -93,6 +97,26 @@ def src_partitioned(spark, sf_dir):
     return read_partitioned(spark, path, "operations", "1998-01-01", "1999-12-31")
 
 
+def src_wholetext(spark, sf_dir):
+    """Comments written as text files, read one row per file and split back into lines."""
+    path = scratch_path(spark, "src_wholetext")
+    fixtures.operations(spark, sf_dir).select("Comment").write.text(path)
+    whole = read_wholetext(spark, path)
+    return whole.select(F.explode(F.split(F.regexp_replace("value", r"\n$", ""), r"\n")).alias("line")) \
+        .groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
+def ingest_reordered(spark, sf_dir):
+    """A landing file with its columns in another order and one more, ingested by header name."""
+    csv_path = scratch_path(spark, "landing")
+    ops = fixtures.operations(spark, sf_dir)
+    ops.select("Comment", "Amount", F.lit("x").alias("Extra"), "DateOp", "AccountCR", "Currency",
+               "AccountDB").write.option("header", True).csv(csv_path)
+    out = scratch_path(spark, "ingested")
+    ingest_table(spark, csv_path, out, "operations")
+    return read_partitioned(spark, out, "operations")
+
+
 def json_path(spark, sf_dir):
     ev = fixtures.read_table(spark, sf_dir, "events")
     return ev.select("event_id", json_value("props", "k").alias("k"))
@@ -120,14 +144,13 @@ def sink_flat(spark, sf_dir):
     path = scratch_path(spark, "kernel_flat")
     t = _t(spark, sf_dir)
     k = ledger_kernel(t.operations, t.accounts, keep_orphans=True)
-    write_flat(k, path, 8)
+    write_flat(k, path)
     return read_parquet(spark, path)
 
 
 def sink_csv_sorted(spark, sf_dir):
     path = scratch_path(spark, "info_csv")
-    t = _t(spark, sf_dir)
-    info = info_mart(account_mart(payments_mart(t, "frame"), t, "frame"), t)
+    info = mart_info(spark, sf_dir)
     write_sorted_csv(info, path, "ClientId")
     return spark.read.schema(info.schema).option("header", True).csv(path)
 
@@ -144,15 +167,14 @@ def ops_converted_sql(spark, sf_dir):
     return _money_ops(convert_operations(t.operations, t.rates, SQL.rate_policy))
 
 
-def _kw(mode: str, trim: bool):
+def _kw(mode: str, trim: bool, large: bool = False):
+    """Dictionary flags; ``large``: a dictionary that grows with the tables and stays distributed."""
     def q(spark, sf_dir):
         t = _t(spark, sf_dir)
-        lists = load_lists(t.keywords, trim=trim)
-        w1, w2 = lists["List_1"], lists["List_2"]
-        return t.operations.select(
-            "AccountDB", "AccountCR", "DateOp", "Comment",
-            F.coalesce(matches("Comment", w1, mode, trim), F.lit(False)).alias("List1Hit"),
-            F.coalesce(matches("Comment", w2, mode, trim), F.lit(False)).alias("List2Hit"))
+        words = fixtures.large_dictionary(spark, sf_dir) if large else t.keywords
+        ops = t.operations.select("AccountDB", "AccountCR", "DateOp", "Comment")
+        return tag(ops, words, {"List_1": mode, "List_2": mode}, trim_comment=trim, trim_words=trim) \
+            .withColumnsRenamed({"hit_List_1": "List1Hit", "hit_List_2": "List2Hit"})
     q.__name__ = f"kw_{mode}"
     return q
 
@@ -162,6 +184,11 @@ def rate_latest_rank(spark, sf_dir):
     return latest_per_currency(fixtures.rate_history(spark, sf_dir))
 
 
+def rate_latest_window(spark, sf_dir):
+    """The same rates by the window form (``rank`` over Currency)."""
+    return latest_per_currency_ranked(fixtures.rate_history(spark, sf_dir))
+
+
 def rate_latest_global(spark, sf_dir):
     """Rates dated on the newest date of the whole derived history."""
     return latest_global(fixtures.rate_history(spark, sf_dir))
@@ -197,27 +224,24 @@ def kernel_sql(spark, sf_dir):
 
 def legs_debit(spark, sf_dir):
     t = _t(spark, sf_dir)
-    k = ledger_kernel(t.operations, t.accounts, keep_orphans=True)
-    return _money_ops(M.debit_legs(k, M.converted_ops(t, "frame")))
+    return _money_ops(M.debit_legs(M.converted_ops(t, "frame"), t.accounts))
 
 
 def legs_credit(spark, sf_dir):
     t = _t(spark, sf_dir)
-    k = ledger_kernel(t.operations, t.accounts, keep_orphans=True)
-    return _money_ops(M.credit_legs(k, M.converted_ops(t, "frame")))
+    return _money_ops(M.credit_legs(M.converted_ops(t, "frame"), t.accounts))
 
 
 def ops_not_cars(spark, sf_dir):
     t = _t(spark, sf_dir)
-    w1 = load_words(t.keywords, "List_1", trim=True)
-    return _money_ops(M.ops_not_matching(M.converted_ops(t, "frame"), w1, "regex", True))
+    return _money_ops(M.ops_not_matching(M.converted_ops(t, "frame"), t, FRAME))
 
 
 # --- measures (DataFrame dialect) --------------------------------------------------------------
 
 def _measure(name: str):
     def q(spark, sf_dir):
-        return M.all_measures(_t(spark, sf_dir), "frame")[name]
+        return M.measure(name, _t(spark, sf_dir), "frame")
     return q
 
 
@@ -253,20 +277,29 @@ def mart_account_sql(spark, sf_dir):
 
 def mart_info(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return info_mart(account_mart(payments_mart(t, "frame"), t, "frame"), t)
+    return info_mart(info_from_payments(payments_mart(t, "frame"), "frame"), t)
 
 
 def mart_info_sql(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return info_mart(account_mart(payments_mart(t, "sql"), t, "sql"), t)
+    return info_mart(info_from_payments(payments_mart(t, "sql"), "sql"), t)
+
+
+def _sql_text(name: str):
+    """One mart of the SQL-text chain."""
+    def q(spark, sf_dir):
+        return run_sql_marts(spark, _t(spark, sf_dir))[name]
+    return q
 
 
 QUERIES: dict[str, Query] = {
     "src_csv": src_csv,
     "src_parquet": src_parquet,
     "src_partitioned": src_partitioned,
+    "src_wholetext": src_wholetext,
     "json_path": json_path,
     "ingest_roundtrip": ingest_roundtrip,
+    "ingest_reordered": ingest_reordered,
     "sink_partitioned": sink_partitioned,
     "sink_flat": sink_flat,
     "sink_csv_sorted": sink_csv_sorted,
@@ -276,7 +309,12 @@ QUERIES: dict[str, Query] = {
     "kw_token": _kw("token", False),
     "kw_contains": _kw("contains", False),
     "kw_not_any": _kw("not_any", False),
+    "kw_regex_large": _kw("regex", True, large=True),
+    "kw_token_large": _kw("token", False, large=True),
+    "kw_contains_large": _kw("contains", False, large=True),
+    "kw_not_any_large": _kw("not_any", False, large=True),
     "rate_latest_rank": rate_latest_rank,
+    "rate_latest_window": rate_latest_window,
     "rate_latest_global": rate_latest_global,
     "kw_list": kw_list,
     "acct_prefix": acct_prefix,
@@ -305,4 +343,7 @@ QUERIES: dict[str, Query] = {
     "mart_account_sql": mart_account_sql,
     "mart_info": mart_info,
     "mart_info_sql": mart_info_sql,
+    "sql_text_payments": _sql_text("payments"),
+    "sql_text_account": _sql_text("account"),
+    "sql_text_info": _sql_text("info"),
 }

@@ -26,9 +26,8 @@ PARTITION_KEYS = {
     "rates": "RateDate",
 }
 
-# Money type of every mart measure: fits a long (fast aggregation) and
-# is identical in Spark and in the DuckDB oracle.
-MONEY = T.DecimalType(18, 2)
+# Money type of every mart measure: as wide as Spark's and DuckDB's decimals.
+MONEY = T.DecimalType(38, 2)
 # Parsed type of an amount or a rate.
 AMOUNT = T.DecimalType(10, 2)
 
@@ -54,7 +53,7 @@ class LedgerTables:
 def parse_decimal_comma(c: Column | str, dtype: T.DecimalType = AMOUNT) -> Column:
     """``"1234,56"`` → 1234.56; malformed text → NULL (2.4 cast semantics)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(c, ",", ".").try_cast(dtype)
+    return F.replace(c, F.lit(","), F.lit(".")).try_cast(dtype)
 
 
 class DuplicateKeyError(ValueError):

@@ -8,6 +8,7 @@ is set (local runs and tests only).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -38,8 +39,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local runs, tests) a fresh
-    folder is created and registered so every later caller gets the same one.
+    Read from the session; only when it is unset on a local master (tests) a
+    fresh folder is created and registered so every later caller gets the same
+    one. On a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,11 +51,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that the driver "
+                           "and all executors share")
     local_dir = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
     sc.setCheckpointDir(local_dir)
     return sc.getCheckpointDir() or local_dir
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this session's scratch tables; frames that still read them must not be used again."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark).rstrip('/')}/ledgerloom-scratch")
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")

@@ -27,9 +27,10 @@ def write_partitioned(df: DataFrame, path: str, key: str = "CutoffDt", mode: str
     w.parquet(path)
 
 
-def write_flat(df: DataFrame, path: str, num_files: int, mode: str = "overwrite") -> None:
-    """``repartition(n)`` then one flat parquet directory (SNK3)."""
-    df.repartition(num_files).write.mode(mode).parquet(path)
+def write_flat(df: DataFrame, path: str, num_files: int | None = None, mode: str = "overwrite") -> None:
+    """One flat parquet directory (SNK3): ``num_files`` files, or as many as the data's size asks for."""
+    df = df.hint("rebalance") if num_files is None else df.repartition(num_files)
+    df.write.mode(mode).parquet(path)
 
 
 def write_sorted_csv(df: DataFrame, path: str, order_by: str = "AccountId",

@@ -1,86 +1,54 @@
 """Keyword dictionary (SRC8).
 
 The dictionary file has independent columns (``List_1`` vehicles,
-``List_2`` food) padded with empty cells. ``long_form`` turns it into
-(list, word) rows; ``load_words`` brings one list to the driver - it is a
-small dimension, read with a hard size check so an unexpectedly large
-input fails loudly instead of flooding the driver.
+``List_2`` food) padded with empty cells; column names are matched without
+regard to case. ``long_form`` turns it into (list, word) rows;
+``load_lists_upto`` brings a small dictionary to the driver and leaves a large
+one distributed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound of words per list that may be compiled into one expression.
-MAX_WORDS = 50_000
+LISTS = ("List_1", "List_2")
 
 
-class DictionaryTooLarge(ValueError):
-    pass
+def list_columns(keywords: DataFrame, required: tuple[str, ...] = LISTS) -> dict[str, str]:
+    """Canonical list name → the frame's column; raises when one is absent."""
+    found = {}
+    for c in keywords.columns:
+        if c.lower().startswith("list_"):
+            found["List_" + c[len("list_"):]] = c
+    missing = [x for x in required if x not in found]
+    if missing:
+        raise ValueError(f"keyword dictionary has no column {', '.join(missing)}; it has {keywords.columns}")
+    return found
 
 
-def long_form(keywords: DataFrame, trim: bool = False) -> DataFrame:
-    """(list, word) rows for every non-NULL cell of every ``List_*`` column."""
-    cols = [c for c in keywords.columns if c.lower().startswith("list_")]
-    stacked = keywords.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("list"), F.col(c).alias("word")) for c in cols
-    ])).alias("kw")).select("kw.list", "kw.word")
-    word = F.trim(F.col("word")) if trim else F.col("word")
-    return stacked.filter(F.col("word").isNotNull()).select("list", word.alias("word"))
+def java_trim(c: Column) -> Column:
+    """``String.trim``: leading and trailing characters up to U+0020 removed."""
+    return F.regexp_replace(c, "^[\\x00-\\x20]+|[\\x00-\\x20]+$", "")
 
 
-def load_words(keywords: DataFrame, column: str, trim: bool = False,
-               max_words: int = MAX_WORDS) -> list[str]:
-    """Non-NULL words of one dictionary column, optionally ``trim``-med.
+def long_form(keywords: DataFrame, trim: bool = False) -> DataFrame:
+    """(list, word) rows for every non-NULL cell of every ``List_*`` column.
 
-    ``trim`` strips surrounding whitespace the way the DataFrame dialect does
-    (``String.trim``); the SQL dialects use the words as written (D9).
+    ``trim`` strips the words the way the DataFrame dialect does; the SQL
+    dialects use them as written (D9).
     """
-    rows = (keywords.filter(F.col(column).isNotNull())
-            .select(F.col(column).alias("w")).limit(max_words + 1).collect())
-    if len(rows) > max_words:
-        raise DictionaryTooLarge(f"{column}: more than {max_words} words")
-    words = [r["w"] for r in rows]
-    if trim:
-        words = [_java_trim(w) for w in words]
-    return sorted(words)
-
-
-def load_lists(keywords: DataFrame, trim: bool = False,
-               max_words: int = MAX_WORDS) -> dict[str, list[str]]:
-    """Every ``List_*`` column's words with one small job: {column: words}."""
-    cols = [c for c in keywords.columns if c.lower().startswith("list_")]
-    rows = long_form(keywords).limit(max_words * len(cols) + 1).collect()
-    return _group(rows, cols, trim, max_words)
+    cells = F.array(*[F.struct(F.lit(name).alias("list"), F.col(c).alias("word"))
+                      for name, c in list_columns(keywords, ()).items()])
+    stacked = keywords.select(F.explode(cells).alias("kw")).select("kw.list", "kw.word")
+    word = java_trim(F.col("word")) if trim else F.col("word")
+    return stacked.filter(F.col("word").isNotNull()).select("list", word.alias("word"))
 
 
 def load_lists_upto(keywords: DataFrame, total: int, trim: bool = False) -> dict[str, list[str]] | None:
-    """Like ``load_lists`` when the dictionary has at most ``total`` words,
-    else None (the caller then keeps the dictionary distributed)."""
-    cols = [c for c in keywords.columns if c.lower().startswith("list_")]
-    rows = long_form(keywords).limit(total + 1).collect()
+    """Every list's distinct words when there are at most ``total`` of them, else None."""
+    names = list_columns(keywords)
+    rows = long_form(keywords, trim).distinct().limit(total + 1).collect()
     if len(rows) > total:
         return None
-    return _group(rows, cols, trim, MAX_WORDS)
-
-
-def _group(rows, cols: list[str], trim: bool, max_words: int) -> dict[str, list[str]]:
-    out: dict[str, list[str]] = {c: [] for c in cols}
-    for r in rows:
-        out[r["list"]].append(_java_trim(r["word"]) if trim else r["word"])
-    for c, words in out.items():
-        if len(words) > max_words:
-            raise DictionaryTooLarge(f"{c}: more than {max_words} words")
-        out[c] = sorted(words)
-    return out
-
-
-def _java_trim(s: str) -> str:
-    # String.trim removes every leading/trailing char <= U+0020.
-    i, j = 0, len(s)
-    while i < j and s[i] <= " ":
-        i += 1
-    while j > i and s[j - 1] <= " ":
-        j -= 1
-    return s[i:j]
+    return {n: sorted(r["word"] for r in rows if r["list"] == n) for n in names}

@@ -14,37 +14,35 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import PARTITION_KEYS, RAW_COLUMNS, string_schema
+from ..schemas import PARTITION_KEYS, RAW_COLUMNS
 
 
 def read_csv(spark: SparkSession, path: str, table: str | None = None,
-             schema: T.StructType | None = None) -> DataFrame:
-    """Header CSV, all columns strings (SRC1)."""
-    if schema is None and table is not None:
-        schema = string_schema(table)
-    reader = (spark.read.option("header", True).option("delimiter", ",")
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-              .option("mode", "PERMISSIVE"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
-
-
-def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None,
-                 spread_by: str | None = None) -> DataFrame:
-    """A whole parquet directory (SRC2).
-
-    ``min_partitions``: when the scan yields fewer splits (e.g. one file
-    with a single row group), spread the rows over that many partitions so
-    downstream narrow work is not serialised on one core - hashed on
-    ``spread_by`` (deterministic, no pre-sort) or round-robin. Large inputs
-    already have many splits and are left untouched.
+             columns: list[str] | None = None) -> DataFrame:
+    """Header CSV, all columns strings, resolved by header name (SRC1).
+
+    The files' own header gives the columns; with a ``table`` (or ``columns``)
+    its columns are selected by name, whatever their order and whatever other
+    columns there are, and a missing one raises. Files of one path must share one
+    header; Spark checks each file's header and fails otherwise.
     """
-    df = spark.read.parquet(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = (df.repartition(min_partitions, spread_by) if spread_by
-              else df.repartition(min_partitions))
-    return df
+    options = {"header": True, "delimiter": ",", "ignoreLeadingWhiteSpace": False,
+               "ignoreTrailingWhiteSpace": False, "mode": "PERMISSIVE"}
+    names = spark.read.options(**options).csv(path).columns  # reads one header line
+    text = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
+    df = spark.read.options(**options).option("enforceSchema", False).schema(text).csv(path)
+    wanted = columns or (RAW_COLUMNS[table] if table is not None else None)
+    if wanted is None:
+        return df
+    missing = [c for c in wanted if c.lower() not in {n.lower() for n in names}]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}; the header has {names}")
+    return df.select(*[F.col(f"`{c}`").alias(c) for c in wanted])
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A whole parquet directory (SRC2)."""
+    return spark.read.parquet(path)
 
 
 def ingested_schema(table: str) -> T.StructType:

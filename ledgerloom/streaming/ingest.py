@@ -21,6 +21,7 @@ def start_ingest_stream(spark: SparkSession, landing_dir: str, out_dir: str, che
     """Start the stream; ``available_now=False`` keeps it running (1 min trigger)."""
     reader = (spark.readStream.schema(string_schema(table))
               .option("header", True).option("delimiter", ",")
+              .option("enforceSchema", False)  # a file with other headers fails instead of swapping columns
               .option("recursiveFileLookup", True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

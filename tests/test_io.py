@@ -4,14 +4,15 @@ import datetime as dt
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
 from ledgerloom import fixtures
-from ledgerloom.plans.pipeline import build_and_write, ingest, load_tables
+from ledgerloom.plans.pipeline import _read_back, build_and_write, ingest, load_tables, stale_dates
 from ledgerloom.session import local_fs_path, scratch_path
 from ledgerloom.sinks.writers import write_partitioned, write_sorted_csv
-from ledgerloom.sources.keywords import load_lists, long_form
+from ledgerloom.sources.keywords import load_lists_upto, long_form
 from ledgerloom.sources.readers import json_value, read_csv, read_partitioned, read_wholetext
 from ledgerloom.streaming.ingest import ingest_stream
 
@@ -27,9 +28,9 @@ def test_csv_is_all_text_and_keeps_blanks(spark):
         fh.write("List_1,List_2\nавтомобиль ,сою\n,соя\n")
     df = read_csv(spark, path, "keywords")
     assert dict(df.dtypes) == {"List_1": "string", "List_2": "string"}
-    lists = load_lists(df)
-    assert lists["List_1"] == ["автомобиль "]
-    assert load_lists(df, trim=True)["List_1"] == ["автомобиль"]
+    assert load_lists_upto(df, 10)["List_1"] == ["автомобиль "]
+    assert load_lists_upto(df, 10, trim=True)["List_1"] == ["автомобиль"]
+    assert load_lists_upto(df, 2) is None
     assert long_form(df).count() == 3
 
 
@@ -93,6 +94,7 @@ def test_ingest_and_chain(spark):
     info = spark.read.parquet(marts["info"])
     assert info.count() == 2849
     before = sorted(tuple(r) for r in pay.collect())
+    times = {p: os.path.getmtime(p) for p in glob.glob(f"{local_fs_path(out)}/*/CutoffDt=*/part-*")}
     # Reload one cutoff date: only its partition is read and replaced.
     day = dt.date(1996, 5, 1)
     one = load_tables(spark, pq, f"{land}/keywords.csv", day, day)
@@ -101,6 +103,70 @@ def test_ingest_and_chain(spark):
     build_and_write(spark, one, out, "frame", dynamic_overwrite=True)
     after = spark.read.parquet(marts["payments"]).select(*pay.columns)
     assert sorted(tuple(r) for r in after.collect()) == before
+    now = {p: os.path.getmtime(p) for p in glob.glob(f"{local_fs_path(out)}/*/CutoffDt=*/part-*")}
+    same = {p for p, t in now.items() if times.get(p) == t}
+    assert {p for p in now if "1996-05-01" not in p} <= same and all("1996-05-01" not in p for p in same)
+    assert stale_dates(spark, one, out, day, day) == []
+    none = one.with_(operations=one.operations.limit(0))
+    assert stale_dates(spark, none, out, day, day) == [day]
+
+
+def test_reload_reads_back_only_its_dates(spark, sf001_tables):
+    from ledgerloom.operators import payments_mart
+
+    mart = payments_mart(sf001_tables, "frame")
+    path = scratch_path(spark, "read-back")
+    write_partitioned(mart, path, "CutoffDt")
+    plan = _read_back(spark, mart, path, [dt.date(1996, 5, 1)])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(CutoffDt" in plan or "PartitionFilters: [(CutoffDt" in plan
+
+
+def _landing(spark, header, row):
+    path = local_fs_path(scratch_path(spark, "landing"))
+    os.makedirs(path)
+    with open(os.path.join(path, "a.csv"), "w", encoding="utf-8") as fh:
+        fh.write(f"{header}\n{row}\n")
+    return path
+
+
+def test_csv_columns_go_by_header_name(spark):
+    path = _landing(spark, "AccountId,ClientId,Extra,accountnum,DateOpen", "1,C9,z,40702000,2020-01-01")
+    row = read_csv(spark, path, "accounts").first()
+    assert row.asDict() == {"AccountId": "1", "AccountNum": "40702000", "ClientId": "C9", "DateOpen": "2020-01-01"}
+    with pytest.raises(ValueError, match="AccountNum"):
+        read_csv(spark, _landing(spark, "AccountId,ClientId,DateOpen", "1,C9,2020-01-01"), "accounts")
+
+
+def test_stream_refuses_other_headers(spark):
+    land = _landing(spark, "AccountId,ClientId,AccountNum,DateOpen", "1,C9,40702000,2020-01-01")
+    with pytest.raises(Exception, match="CSV header|FAILED_READ_FILE"):
+        ingest_stream(spark, land, scratch_path(spark, "o"), scratch_path(spark, "c"), "accounts")
+
+
+def test_scratch_is_shared_and_can_be_cleared(spark, monkeypatch):
+    from ledgerloom import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Context
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session)
+    root = local_fs_path(f"{session.checkpoint_root(spark)}/ledgerloom-scratch")
+    spark.range(2).write.parquet(scratch_path(spark, "x"))
+    keep = {p for p in os.listdir(root)}
+    assert any(p.startswith("x-") for p in keep)
+    monkeypatch.setattr(session, "checkpoint_root", lambda s, base=f"{root}/own": base)
+    spark.range(2).write.parquet(session.scratch_path(spark, "y"))
+    session.clear_scratch(spark)
+    assert not os.path.exists(f"{root}/own/ledgerloom-scratch") and keep <= set(os.listdir(root))
 
 
 def test_streaming_ingest_is_incremental(spark):

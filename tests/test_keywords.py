@@ -1,10 +1,13 @@
-"""Keyword matching modes and the LIKE → regex translation."""
+"""Keyword matching modes, compiled and joined."""
 
 import pytest
+from hypothesis import HealthCheck, Phase, example, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import text
-from ledgerloom.functions.text import like_to_regex, matches
+from ledgerloom.functions.text import matches
+from ledgerloom.operators import keyword_join
+from ledgerloom.operators.keyword_join import tag
 
 COMMENTS = ["оплата за small ring, договор 1", "оплата за ringo, договор 2", "rod", None, "a%b_c"]
 
@@ -25,19 +28,16 @@ def test_modes(comments):
     assert _eval(comments, matches("c", ["ring", "rod"], "not_any")) == [True, True, True, None, True]
 
 
-def test_large_dictionary_uses_one_regex_with_same_answers(comments, monkeypatch):
-    words = ["ring", "x%y", "q_z"] + [f"w{i}" for i in range(10)]
-    small = _eval(comments, matches("c", words, "contains"))
-    monkeypatch.setattr(text, "LIKE_OR_LIMIT", 2)
-    big = _eval(comments, matches("c", words, "contains"))
-    assert small == big
+def test_stray_backslash_is_itself(comments, spark):
+    df = spark.createDataFrame([("a\\b",), ("a%",), ("ab",), ("a\\%",)], "c string")
+    assert _eval(df, matches("c", ["a\\b"], "contains")) == [True, False, False, False]
+    assert _eval(df, matches("c", ["a\\%"], "contains")) == [False, True, False, False]
+    assert _eval(df, matches("c", ["a\\\\%"], "contains")) == [True, False, False, True]
 
 
-def test_like_to_regex_escapes():
-    assert like_to_regex("a%b") == "(?s)^a.*b$"
-    assert like_to_regex("a_b") == "(?s)^a.b$"
-    assert like_to_regex("a\\%b") == "(?s)^a%b$"
-    assert like_to_regex("a.b") == "(?s)^a\\.b$"
+def test_not_any_of_many_words(comments):
+    words = [f"w{i}" for i in range(2000)]
+    assert _eval(comments, matches("c", words, "not_any")) == [True, True, True, None, True]
 
 
 def test_unknown_mode_rejected():
@@ -45,32 +45,50 @@ def test_unknown_mode_rejected():
         matches(F.col("c"), ["x"], "fuzzy")
 
 
-TOKEN_COMMENTS = ["оплата за small ring, договор 1", "x  ring,y", "ring,", " ring,", "a b c, d",
-                  "купил автомобиль , 2", "a,b c,d e,", None, "ring", "за  ring,"]
-TOKEN_WORDS = [("ring", "b c"), ("автомобиль ", ""), ("small ring", None), ("a%b", "c, d")]
-
-
-def test_token_join_equals_like(spark):
-    from ledgerloom.operators.token_join import token_flags
-
-    kw = spark.createDataFrame(TOKEN_WORDS, "List_1 string, List_2 string")
-    df = spark.createDataFrame([(c,) for c in TOKEN_COMMENTS], "Comment string")
-    w1 = [a for a, _ in TOKEN_WORDS if a is not None]
-    w2 = [b for _, b in TOKEN_WORDS if b is not None]
-    want = {r["Comment"]: (bool(r["a"]), bool(r["b"])) for r in df.select(
-        "Comment", F.coalesce(matches("Comment", w1, "token"), F.lit(False)).alias("a"),
-        F.coalesce(matches("Comment", w2, "token"), F.lit(False)).alias("b")).collect()
-        if r["Comment"] is not None}
-    got = {r["Comment"]: (r["hit_List_1"], r["hit_List_2"])
-           for r in token_flags(df, kw).collect()}
-    assert got == want
-
-
-def test_token_join_path_in_mart(sf001_tables, monkeypatch):
-    from ledgerloom.operators import legs, payments_mart
-
-    a = payments_mart(sf001_tables, "sql")
-    monkeypatch.setattr(legs, "JOIN_MIN_WORDS", 0)
-    b = payments_mart(sf001_tables, "sql")
-    assert "hit_List_1" in b._jdf.queryExecution().analyzed().toString()
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+TEXTS = ["оплата за small ring, договор 1", "x  ring,y", "ring,", " ring,", "a b c, d", "", " ",
+         "купил автомобиль , 2", "a,b c,d e,", None, "ring", "за  ring,", "a%b_c", "a\\b", " a.b, x"]
+WORDS = ["ring", "b c", "автомобиль ", "", "small ring", "a%b", "c, d", "_", "__", "%", "a\\b", "r_ng", "a\\%b",
+         "\\", "нет такого слова", " ring ", "a.b"]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck),
+          phases=[Phase.explicit, Phase.generate])
+@given(first=st.lists(st.one_of(st.sampled_from(WORDS), st.none()), max_size=9),
+       second=st.lists(st.sampled_from(WORDS), max_size=4), trim=st.booleans())
+@example(first=WORDS, second=["ring"], trim=False)
+@example(first=["ring"], second=[], trim=True)
+def test_one_answer_at_every_dictionary_size(spark, first, second, trim):
+    """Every mode, compiled and joined, with lower-case column names."""
+    n = max(len(first), len(second), 1)
+    cells = list(zip(first + [None] * (n - len(first)), second + [None] * (n - len(second)), strict=True))
+    kw = spark.createDataFrame(cells, "list_1 string, LIST_2 string").coalesce(1)
+    df = spark.createDataFrame([(c,) for c in TEXTS], "Comment string").coalesce(1)
+    for mode in ("token", "contains", "not_any", "regex"):
+        words = kw
+        if mode == "regex":  # fragments that are not regular expressions on their own stay out
+            words = kw.filter("coalesce(list_1, '') NOT LIKE '%\\\\%'").filter("coalesce(list_2, '') NOT LIKE '%\\\\%'")
+        modes = {"List_1": mode, "List_2": mode}
+        got = []
+        for limit in (0, 10_000):
+            with pytest.MonkeyPatch.context() as mp:
+                mp.setattr(keyword_join, "COMPILE_MAX", limit)
+                out = tag(df, words, modes, trim_comment=trim, trim_words=trim)
+                got.append(sorted((tuple(r) for r in out.collect()), key=str))
+        assert got[0] == got[1], mode
+
+
+def test_missing_list_column_raises(spark):
+    with pytest.raises(ValueError, match="List_2"):
+        tag(spark.createDataFrame([("a",)], "Comment string"), spark.createDataFrame([("x",)], "List_1 string"),
+            {"List_1": "token", "List_2": "token"})
+
+
+def test_distributed_dictionary_in_marts(sf001_tables, monkeypatch):
+    from ledgerloom.operators import payments_mart
+
+    for dialect in ("frame", "sql", "sql_v1"):
+        a = payments_mart(sf001_tables, dialect)
+        with monkeypatch.context() as mp:
+            mp.setattr(keyword_join, "COMPILE_MAX", 0)
+            b = payments_mart(sf001_tables, dialect)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, dialect

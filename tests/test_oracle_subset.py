@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF001
 
-SUBSET = ["kw_token", "ledger_ids", "amt_food", "amt_cars_v1", "mart_payments", "mart_payments_v1",
+SUBSET = ["kw_token", "kw_token_large", "sql_text_payments", "legs_debit", "src_wholetext", "ledger_ids", "amt_food", "amt_cars_v1", "mart_payments", "mart_payments_v1",
           "mart_account_sql", "mart_info"]
 
 

@@ -34,13 +34,40 @@ def test_payments_mart_shuffles(spark):
     # Three mart shuffles plus the per-currency max over the (small) rate table;
     # operations are never partitioned by Currency.
     assert keys == sorted([
-        "AccountDB, AccountCR, DateOp, amt, Comment",
+        # The last two: the vehicles flag, and the comment only where it counts for vehicles.
+        "AccountDB, AccountCR, DateOp, amt, _groupingexpression, _groupingexpression",
         "AccountDB, AccountCR, DateOp, amt",
         "AccountId, CutoffDt",
         "Currency",
     ])
 
 
+def test_measures_run_no_needless_jobs(spark):
+    """Building a sum measure starts only the count of the reduced rates."""
+    QUERIES["amt_payment"](spark, SF001)  # ingests the fixture
+    sc = spark.sparkContext
+    sc.setJobGroup("amt_payment", "build")
+    QUERIES["amt_payment"](spark, SF001)
+    jobs = sc.statusTracker().getJobIdsForGroup("amt_payment")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(jobs) <= 4
+
+
+def test_matched_rows_send_no_comment(spark):
+    plan = _plan(QUERIES["mart_payments"](spark, SF001))
+    assert re.search(r"CASE WHEN NOT hit_List_1#\d+ THEN Comment#\d+ END", plan)
+
+
+def test_legs_do_not_join_the_kernel(spark):
+    plan = _plan(QUERIES["legs_debit"](spark, SF001))
+    assert plan.count("ReadSchema: struct<AccountDB") == 1
+
+
+def test_info_joins_no_account_attributes(spark):
+    plan = _plan(QUERIES["mart_info"](spark, SF001))
+    assert "DateOpen" not in plan
+
+
 def test_kernel_scan_is_pruned(spark):
     plan = _plan(QUERIES["kernel"](spark, SF001))
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)

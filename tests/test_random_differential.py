@@ -12,7 +12,8 @@ from hypothesis import strategies as st
 from ledger_builder import ledger
 
 from ledgerloom.operators import payments_mart
-from ledgerloom.operators.measures import naive_payments_mart, naive_payments_mart_v1
+from ledgerloom.plans.sql_chain import run_sql_marts
+from naive import naive_payments_mart, naive_payments_mart_v1
 
 ACCOUNTS = st.sampled_from(["A", "B", "P", "Z", None])
 DAYS = st.sampled_from([dt.date(2021, 3, 1), dt.date(2021, 4, 1), None])
@@ -36,4 +37,5 @@ def test_random_ledgers(spark, ops):
     t = ledger(spark, ops)
     for d in ("frame", "sql"):
         assert _same(payments_mart(t, d), naive_payments_mart(t, d)), d
+    assert _same(run_sql_marts(spark, t)["payments"], naive_payments_mart(t, "sql"))
     assert _same(payments_mart(t, "sql_v1"), naive_payments_mart_v1(t))
