@@ -147,7 +147,8 @@ def large_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
     o = read_table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 13 == 0)
     names = p.filter(F.col("p_partkey") % 5 == 0).select(
-        F.get(F.split("p_name", " "), 1).alias("List_1"), F.col("p_name").alias("List_2"))
+        F.when(F.col("p_name").startswith("small "), F.col("p_name")).alias("List_1"),
+        F.when(F.col("p_name").startswith("red "), F.col("p_name")).alias("List_2"))
     contracts = o.select(F.concat(F.lit("договор "), F.col("o_orderkey").cast("string")).alias("List_1"),
                          F.concat(F.lit("ring, договор "), F.col("o_orderkey").cast("string")).alias("List_2"))
     return names.unionByName(contracts)
@@ -200,7 +201,8 @@ WITH accounts AS (
          CAST(o_orderdate AS DATE) AS RateDate
   FROM orders
 ), large_dictionary AS (
-  SELECT DISTINCT split_part(p_name, ' ', 2) AS List_1, p_name AS List_2 FROM part WHERE p_partkey % 5 = 0
+  SELECT DISTINCT CASE WHEN p_name LIKE 'small %' THEN p_name END AS List_1,
+         CASE WHEN p_name LIKE 'red %' THEN p_name END AS List_2 FROM part WHERE p_partkey % 5 = 0
   UNION ALL
   SELECT 'договор ' || CAST(o_orderkey AS VARCHAR), 'ring, договор ' || CAST(o_orderkey AS VARCHAR)
   FROM orders WHERE o_orderkey % 13 = 0

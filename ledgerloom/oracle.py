@@ -236,7 +236,6 @@ ORACLE: dict[str, str] = {
     "kw_token": _kw("token"),
     "kw_contains": _kw("contains"),
     "kw_not_any": _kw("not_any"),
-    "kw_regex_large": _kw_large("regex"),
     "kw_token_large": _kw_large("token"),
     "kw_contains_large": _kw_large("contains"),
     "kw_not_any_large": _kw_large("not_any"),

@@ -309,7 +309,6 @@ QUERIES: dict[str, Query] = {
     "kw_token": _kw("token", False),
     "kw_contains": _kw("contains", False),
     "kw_not_any": _kw("not_any", False),
-    "kw_regex_large": _kw("regex", True, large=True),
     "kw_token_large": _kw("token", False, large=True),
     "kw_contains_large": _kw("contains", False, large=True),
     "kw_not_any_large": _kw("not_any", False, large=True),
