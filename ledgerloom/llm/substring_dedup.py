@@ -163,7 +163,7 @@ class Parsed:
         use = (a0 >= 0) & (a1 <= n) & (a1 - a0 <= WINDOW)
         a0, a1, rank = a0[use], a1[use], mix(name[use], 6)
         best = np.full(n, np.iinfo(np.uint64).max, np.uint64)
-        who = np.full(n, -1)
+        who = np.full(n, len(a0))
         steps = []
         for t in range(WINDOW):  # windows that start t words before the anchor's context
             at = np.flatnonzero((a1 - a0 + t <= WINDOW) & (a0 >= t))
@@ -172,13 +172,10 @@ class Parsed:
             np.minimum.at(best, steps[-1][1], rank[at])
         for at, s in steps:
             won = rank[at] == best[s]
-            low = np.full(n, len(a0))
-            np.minimum.at(low, s[won], at[won])
-            hit = low < len(a0)
-            who[hit] = np.where(who[hit] < 0, low[hit], np.minimum(who[hit], low[hit]))
+            np.minimum.at(who, s[won], at[won])
         starts = np.flatnonzero(fits)
         anchor = who[starts]
-        own = anchor < 0  # windows without a consistent symbol
+        own = anchor == len(a0)  # windows without a consistent symbol
         key = np.empty(len(starts), np.uint64)
         key[~own] = self.by_key.of(a0[anchor[~own]], a1[anchor[~own]])
         key[own] = mix(self.by_key.of(starts[own], starts[own] + WINDOW), 7)
@@ -188,7 +185,7 @@ class Parsed:
         at = np.flatnonzero(new)
         count = np.diff(np.concatenate((at, [len(starts)])))
         s = starts[at]
-        shift = np.where(own[at], 0, s - a0[np.maximum(anchor[at], 0)] if len(a0) else 0)
+        shift = np.where(own[at], 0, s - a0[np.minimum(anchor[at], len(a0) - 1)] if len(a0) else 0)
         span = self.by_span.of(s, np.where(own[at], s, s + count - 1) + WINDOW)
         span = mix(span + np.where(own[at], 0, shift * 64 + count).astype(np.int64).astype(np.uint64), 8)
         return self.doc[s], key[at], span, s - self.firsts[self.doc[s]], count
@@ -289,19 +286,20 @@ def frequent_keys(rows: DataFrame, k: int) -> DataFrame:
 def reveal(rows: DataFrame, counters: int) -> DataFrame:
     """Rows that matter: ``key, id, at, n, sure`` (covered, or to compare by window)."""
     frequent = checkpointed(frequent_keys(rows, counters))
-    hot = rows.join(F.broadcast(frequent), "akey", "left_semi")
-    rest = rows.join(F.broadcast(frequent), "akey", "left_anti")
+    some = not frequent.isEmpty()
+    rest = rows.join(F.broadcast(frequent), "akey", "left_anti") if some else rows
     one, many = W.partitionBy("akey"), W.partitionBy("akey", "span")
     rest = (rest.repartition("akey").withColumn("lo", F.min("id").over(one)).withColumn("hi", F.max("id").over(one))
             .where("lo < hi").withColumn("s0", F.min("span").over(one)).withColumn("s1", F.max("span").over(one))
             .withColumn("first", F.min("id").over(many)))
-    by_span = hot.groupBy("akey", "span").agg(F.min("id").alias("first"), F.max("id").alias("top"))
-    by_span = stored(by_span, "substring-hot")
-    by_key = by_span.groupBy("akey").agg(F.min("first").alias("lo"), F.max("top").alias("hi"),
-                                         F.min("span").alias("s0"), F.max("span").alias("s1")).where("lo < hi")
-    hot = hot.join(by_span.select("akey", "span", "first").join(F.broadcast(by_key), "akey"), ["akey", "span"])
-    both = rest.select("key", "id", "at", "n", "first", "s0", "s1").unionByName(
-        hot.select("key", "id", "at", "n", "first", "s0", "s1"))
+    both = rest.select("key", "id", "at", "n", "first", "s0", "s1")
+    if some:
+        hot = stored(rows.join(F.broadcast(frequent), "akey", "left_semi"), "substring-hot")
+        by_span = hot.groupBy("akey", "span").agg(F.min("id").alias("first"), F.max("id").alias("top"))
+        by_key = by_span.groupBy("akey").agg(F.min("first").alias("lo"), F.max("top").alias("hi"),
+                                             F.min("span").alias("s0"), F.max("span").alias("s1")).where("lo < hi")
+        hot = hot.join(by_span.select("akey", "span", "first").join(F.broadcast(by_key), "akey"), ["akey", "span"])
+        both = both.unionByName(hot.select("key", "id", "at", "n", "first", "s0", "s1"))
     return both.withColumn("sure", F.col("id") > F.col("first")).where("sure or s0 != s1").select(
         "key", "id", "at", "n", "sure")
 
