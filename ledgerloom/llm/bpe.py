@@ -146,6 +146,14 @@ def pack(x: np.ndarray) -> np.ndarray:
     return out
 
 
+def pack_rows(x: np.ndarray, n: np.ndarray) -> pa.Array:
+    """``pack`` of consecutive groups of n numbers, one binary value each."""
+    size = 1 + (x >= 1 << 7) + (x >= 1 << 14) + (x >= 1 << 21)
+    ends = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(n)))]
+    return pa.Array.from_buffers(pa.binary(), len(n), [
+        None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(pack(x).tobytes())])
+
+
 def unpack(raw: bytes) -> np.ndarray:
     b = np.frombuffer(raw, np.uint8).astype(np.int64)
     ends = np.flatnonzero(b < 128)
@@ -258,11 +266,8 @@ def _encoded(docs: DataFrame, path: str, head: int, result, schema: str, kinds:
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, rank, _ = ranks(b)
-            ends = np.cumsum(n)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1),
-                 pa.array([pack(rank[e - k:e]).tobytes() for k, e in zip(n, ends, strict=True)], pa.binary())],
-                ["key", "doc_id", "code"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pack_rows(rank, n)],
+                                             ["key", "doc_id", "code"])
 
     # Words outside the head: (key, pos, word) -> ids -> per document, in order.
     rare = table.select("word", "ids")

@@ -61,6 +61,8 @@ def test_every_character(spark):
 def test_pack():
     x = np.array([0, 1, 127, 128, 16383, 16384, 2**21 - 1, 2**21, 2**27])
     assert (bpe.unpack(bpe.pack(x).tobytes()) == x).all()
+    rows = bpe.pack_rows(x, np.array([0, 4, 0, 5]))
+    assert [bpe.unpack(r.as_py()).tolist() for r in rows] == [[], x[:4].tolist(), [], x[4:].tolist()]
     assert len(bpe.unpack(b"")) == 0 and len(bpe.pack(np.zeros(0, np.int64))) == 0
 
 
