@@ -218,10 +218,13 @@ def word_digests(docs: DataFrame, key: str, kind: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            words = [(t.as_py() or b"").split() for t in b.column(2)]
+            n, digest = [], []
+            for t in b.column(2):  # one text's words at a time
+                words = (t.as_py() or b"").split()
+                n.append(len(words))
+                digest.append(hashlib.sha256(b" ".join(words)).digest())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(map(len, words), pa.int64()),
-                 pa.array([hashlib.sha256(b" ".join(w)).digest() for w in words], pa.binary())],
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(digest, pa.binary())],
                 ["key", "doc_id", "n_words", "digest"])
 
     return docs.select(F.col(key).alias("key"), "doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
