@@ -20,8 +20,9 @@ consistent symbol, such as those inside a long run, have themselves as key.
 
 Reveal. Rows are shuffled by key; keys of one document are dropped. A row whose span
 occurs in a document with a smaller id is wholly covered. Frequent
-keys (Misra-Gries) are aggregated by (key, span) with map-side combine and joined
-back instead, so no key's rows meet in one task. Texts with many equal copies
+keys (Misra-Gries) are aggregated by (key, span) with map-side combine instead, so no
+key's rows meet in one task: the first ids of their most frequent spans are looked up
+where the rows lie, those of the others joined back. Texts with many equal copies
 are resolved before by their digest, from broadcast winners.
 
 Verify. Where one key has several spans (around edits), the first
@@ -298,10 +299,20 @@ def reveal(rows: DataFrame, counters: int) -> DataFrame:
     both = rest.select("key", "id", "at", "n", "first", "s0", "s1")
     if some:
         hot = stored(rows.join(F.broadcast(frequent), "akey", "left_semi"), "substring-hot")
-        by_span = hot.groupBy("akey", "span").agg(F.min("id").alias("first"), F.max("id").alias("top"))
+        by_span = stored(hot.groupBy("akey", "span").agg(
+            F.min("id").alias("first"), F.max("id").alias("top"), F.count(F.lit(1)).alias("rows")), "substring-spans")
         by_key = by_span.groupBy("akey").agg(F.min("first").alias("lo"), F.max("top").alias("hi"),
                                              F.min("span").alias("s0"), F.max("span").alias("s1")).where("lo < hi")
-        hot = hot.join(by_span.select("akey", "span", "first").join(F.broadcast(by_key), "akey"), ["akey", "span"])
+        # The most frequent spans, at most ``counters``, are looked up where the rows lie.
+        most = by_span.where(F.col("rows") * (counters + 1) > F.lit(hot.count())).select("span", "first").collect()
+        known = (F.create_map(*(F.lit(x) for r in most for x in (r["span"], r["first"]))) if most
+                 else F.lit(None).cast("map<bigint,bigint>"))
+        hot = hot.withColumn("known", F.try_element_at(known, F.col("span")))
+        zero = F.lit(0).cast("long")
+        both = both.unionByName(hot.where("id > known").select(
+            "key", "id", "at", "n", F.col("known").alias("first"), zero.alias("s0"), zero.alias("s1")))
+        hot = hot.where("known is null or id <= known").drop("known").join(
+            by_span.select("akey", "span", "first").join(F.broadcast(by_key), "akey"), ["akey", "span"])
         both = both.unionByName(hot.select("key", "id", "at", "n", "first", "s0", "s1"))
     return both.withColumn("sure", F.col("id") > F.col("first")).where("sure or s0 != s1").select(
         "key", "id", "at", "n", "sure")
