@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import fresh, keyed, stored
 
 #: Words whose ids are broadcast, at most so many of at most so many bytes.
-HEAD = 1 << 19
+HEAD = 1 << 20
 HEAD_BYTES = 64
 
 # Fixed: Unicode white space.
