@@ -5,7 +5,8 @@ pattern. Positions come from the gaps between matches: a pattern's gaps
 (``split``) and matches (``regexp_extract_all``) are exploded in order and
 their lengths summed by a window within the row; texts are never shuffled.
 
-Method spans: other runs of ``MIN_LENGTH`` or more token characters. For each
+Method spans: other runs of ``MIN_LENGTH`` or more token characters, also right
+after an ``=``; an ``=`` before token characters ends a run. For each
 the encoding is inferred from its characters (hex, base32, base64 or its
 URL form, alphanumeric) and its codes are put to three tests of randomness: chi-squared
 uniformity over the encoding's alphabet, runs about the middle of the alphabet,
@@ -41,7 +42,8 @@ KINDS = ["assign", "access", "hex", "random"]
 MIN_SECRET, MIN_ACCESS = 6, 20
 
 MIN_LENGTH = 20
-RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])"
+# One or two '=' after a run are its padding unless a token character or another '=' follows them.
+RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
 NOT_RANDOM = 1e-3
 FDR = 0.01
 #: Width in nats, and number, of the bins in which e-values are counted.

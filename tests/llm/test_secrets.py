@@ -60,6 +60,34 @@ def test_battery_finds_random_runs_and_leaves_prose(spark):
     assert sum(i >= len(keys) for i in found) <= 1
 
 
+WORDS = ["alpha", "Number", "value", "list", "Index", "table", "count", "Window", "result", "frame"]
+
+
+def found_spans(spark, tokens, forms, prose):
+    """Share of the tokens found at their exact place in any of the forms, and the prose texts with spans."""
+    pairs, want = [], {}
+    for i, token in enumerate(tokens):
+        form = forms[i % len(forms)]
+        start = form.index("{}")
+        pairs.append((i, form.replace("{}", token)))
+        want[i] = f"random:{start}:{start + len(token)}"
+    pairs += [(len(tokens) + i, x) for i, x in enumerate(prose)]
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.scan(documents(spark, pairs)).collect()}
+    return sum(got[i] == w for i, w in want.items()) / len(want), [pairs[i][1] for i, s in got.items()
+                                                                   if s and i not in want]
+
+
+def test_battery_takes_values_after_an_equals_sign(spark):
+    rng = random.Random(8)
+    letters = string.ascii_letters + string.digits
+    keys = ["".join(rng.choice(letters) for _ in range(40)) + "=" * (i // 6 % 3) for i in range(90)]
+    forms = ["AWS_SECRET_ACCESS_KEY={}", "private_key={}", "https://host.example/f?sig={}&x=1",
+             "HOST=db.example\nSIGNING={}\nPORT=80", "<a href=\"{}\">", "see a=b=={} there"]
+    prose = [f"see {''.join(rng.choice(WORDS) for _ in range(6))}={rng.choice(WORDS)}" for _ in range(300)]
+    share, wrong = found_spans(spark, keys, forms, prose)
+    assert share >= 0.9 and len(wrong) <= 1
+
+
 def test_empty_and_native(spark):
     assert secret_scan.scan(documents(spark, [])).count() == 0
     plan = secret_scan.scan(documents(spark, [(1, "password=abcdef")]))._jdf.queryExecution().toString()
