@@ -7,13 +7,13 @@ their lengths summed by a window within the row; texts are never shuffled.
 
 Method spans: other runs of ``MIN_LENGTH`` or more token characters, also right
 after an ``=``; an ``=`` before token characters ends a run. For each
-the encoding is inferred from its characters (hex, base32, base64 or its
-URL form, alphanumeric) and its codes are put to three tests of randomness: chi-squared
+the encoding is inferred from its characters (hex, base32 in either case, letters
+or letters and digits of one case, base64 or its URL form, alphanumeric) and its codes are put to three tests of randomness: chi-squared
 uniformity over the encoding's alphabet, runs about the middle of the alphabet,
 and serial correlation. Fisher's combination of the three rejects what is not
 uniformly random (``NOT_RANDOM``). For the others the likelihood ratio of a
 uniform source against the letter frequencies of the rejected runs of the
-corpus is an e-value: it grows with length, so a short run that merely looks
+corpus (within the alphabet for encodings of one case) is an e-value: it grows with length, so a short run that merely looks
 random proves little. Within each octave of length, e-BH controls the false
 discovery rate at ``FDR`` under any dependence; the number of runs above each
 threshold is counted in bins, so ranks need no global sort.
@@ -27,6 +27,7 @@ rows. Offsets are code points, end exclusive.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -53,7 +54,11 @@ DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKL
 ALPHABETS = {
     "hex": DIGITS + "abcdef", "HEX": DIGITS + "ABCDEF", "base32": UPPER + "234567",
     "base64": UPPER + LOWER + DIGITS + "+/", "base64url": UPPER + LOWER + DIGITS + "-_",
-    "alnum": UPPER + LOWER + DIGITS}
+    "alnum": UPPER + LOWER + DIGITS,
+    "lower": LOWER, "upper": UPPER, "lower32": LOWER + "234567", "lower36": LOWER + DIGITS, "upper36": UPPER + DIGITS}
+#: Encodings of one case. Words are of one case too, so their letters are counted in either case and their
+#: frequencies taken within the alphabet: the case alone is no evidence.
+ONE_CASE = ["lower", "upper", "lower32", "lower36", "upper36"]
 
 
 def hits(text: Column, rank: int, pattern: str, cheap: Column, group: int | None = None) -> Column:
@@ -95,7 +100,10 @@ def normal_tail(z: Column) -> Column:
 
 def encoding(s: Column) -> Column:
     return (F.when(s.rlike("^[0-9a-f]+$"), "hex").when(s.rlike("^[0-9A-F]+$"), "HEX")
-            .when(s.rlike("^[A-Z2-7]+$"), "base32").when(s.rlike("[+/]"), "base64")
+            .when(s.rlike("^[a-z]+$"), "lower").when(s.rlike("^[A-Z]+$"), "upper")
+            .when(s.rlike("^[A-Z2-7]+$"), "base32").when(s.rlike("^[a-z2-7]+$"), "lower32")
+            .when(s.rlike("^[a-z0-9]+$"), "lower36").when(s.rlike("^[A-Z0-9]+$"), "upper36")
+            .when(s.rlike("[+/]"), "base64")
             .when(s.rlike("[_-]"), "base64url").otherwise("alnum"))
 
 
@@ -148,11 +156,22 @@ def discoveries(tested: DataFrame) -> DataFrame:
     cost = {r["c"]: -math.log((r["n"] + 1) / total) for r in letters}
     table = F.create_map(*(F.lit(x) for c in sorted(cost) for x in (c, cost[c]))) if cost else F.lit(None).cast(
         "map<string,double>")
+    folded: Counter[str] = Counter()
+    for r in letters:
+        folded[r["c"].lower()] += r["n"]
+    for code in ONE_CASE:
+        alphabet = ALPHABETS[code].lower()
+        within = sum(folded[c] for c in alphabet) + len(alphabet)
+        own = F.create_map(*(F.lit(x) for c in alphabet for x in (c, math.log(within / (folded[c] + 1)))))
+        table = F.when(F.col("code") == code, own).otherwise(table)
     other = F.lit(math.log(total))
-    prose = F.aggregate(F.split("body", ""), F.lit(0.0), lambda s, c: s + F.coalesce(F.try_element_at(table, c), other))
+    shown = F.when(F.col("code").isin(ONE_CASE), F.lower("body")).otherwise(F.col("body"))
+    costs = tested.withColumn("table", table).withColumn("prose", F.aggregate(
+        F.split(shown, ""), F.lit(0.0), lambda s, c: s + F.coalesce(F.try_element_at("table", c), other)))
+    prose = F.col("prose")
     e = prose - F.col("n") * F.log("size")
     octave = F.floor(F.log2("n")).cast("int")
-    rows = tested.withColumn("octave", octave).withColumn("bin", F.when(
+    rows = costs.withColumn("octave", octave).withColumn("bin", F.when(
         F.col("p_random") < NOT_RANDOM, -1).otherwise(F.least(F.lit(BINS), F.greatest(
             F.lit(-1), F.floor(e / BIN)))).cast("int"))
     counts = rows.groupBy("octave", "bin").agg(F.count(F.lit(1)).alias("n")).collect()  # at most BINS per octave
@@ -167,7 +186,7 @@ def discoveries(tested: DataFrame) -> DataFrame:
     accept = F.lit(False)
     for o, b in cut.items():
         accept = accept | ((F.col("octave") == o) & (F.col("bin") >= b))
-    return rows.where(accept)
+    return rows.where(accept).drop("table", "prose")
 
 
 def spans(docs: DataFrame, key: str) -> DataFrame:

@@ -88,6 +88,21 @@ def test_battery_takes_values_after_an_equals_sign(spark):
     assert share >= 0.9 and len(wrong) <= 1
 
 
+ONE_CASE = [string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits,
+            string.ascii_lowercase + "234567", string.ascii_lowercase, string.ascii_uppercase]
+
+
+def test_battery_infers_the_case(spark):
+    rng = random.Random(9)
+    keys = ["".join(rng.choice(a) for _ in range(n)) for a in ONE_CASE for n in (40, 64, 96, 160) for _ in range(15)]
+    mixed = ["".join(rng.choice(WORDS) for _ in range(rng.randint(4, 12))) for _ in range(300)]
+    prose = [f"see {x} here" for x in mixed + [x.lower() for x in mixed] + [x.upper() for x in mixed]]
+    prose += [f"see {x} here" for x in ("internationalization", "INTERNATIONALIZATION", "x" * 40, "XY" * 30,
+                                        "abcdefghijklmnopqrstuvwxyz", "section12paragraph34line56")]
+    share, wrong = found_spans(spark, keys, ["see {} here"], prose)
+    assert share >= 0.97 and len(wrong) <= 3
+
+
 def test_empty_and_native(spark):
     assert secret_scan.scan(documents(spark, [])).count() == 0
     plan = secret_scan.scan(documents(spark, [(1, "password=abcdef")]))._jdf.queryExecution().toString()
