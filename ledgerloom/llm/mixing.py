@@ -7,12 +7,13 @@ over the domains. Document rates r >= 0 then solve
     minimise sum_k (sum_i r_i t_i p_ik - T_k)^2 / C_k
 
 with t_i the document's words, p_ik its posterior, T_k the target and C_k the
-expected words of domain k at r = 1. Started at r = 1 and measured per word,
-a projected gradient step is r_i <- max(0, r_i - sum_k p_ik (A_k - T_k) / C_k)
-for the current totals A. Posteriors sum to one, so the problem's Lipschitz
-constant is 1 and the step of 1 is safe. Rates follow from the list of K-vector
-gradients alone: each iteration is one map-only pass over a small stored table
-with K sums, and nothing of size N reaches the driver.
+expected words of domain k at r = 1. Of the rates that do so, those nearest to 1
+are taken, in the limit of a small weight RIDGE on sum_i t_i (r_i - 1)^2: they
+are r_i = clip(1 - sum_k p_ik m_k) for K multipliers m, which maximise a concave
+function of K variables. Newton steps find them: each is one map-only pass over a
+small stored table with K + K^2 + 1 sums for every step length tried, and nothing
+of size N reaches the driver. RIDGE falls in stages, each started from the one
+before. A fit that does not reach the tolerance is reported as a warning.
 
 ``realise`` turns rates into rows: floor(r) copies, and one more if a hash of
 the row's key falls below the fraction.
@@ -26,7 +27,8 @@ gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import warnings
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +39,12 @@ from ledgerloom.llm.common import fresh, keyed, stored
 
 #: Labelled rows that the classifier is fitted on, at most about so many.
 EXAMPLES = 20_000
-#: Gradient steps at most, and the share of the corpus's words by which totals may miss the targets.
-MAX_STEPS = 60
-TOLERANCE = 1e-4
+#: Newton steps at most, and the share of the target words by which totals may miss the optimum's condition.
+MAX_STEPS = 200
+TOLERANCE = 1e-5
+#: Weights of the distance from rate 1, in turn, and the step lengths tried in one pass.
+RIDGE = [10.0 ** -i for i in range(1, 8)]
+LENGTHS = [0.5 ** i for i in range(16)]
 
 #: Byte classes whose shares are features: letters, digits, spaces, then single marks.
 CLASSES = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", " \t", "\n\r",
@@ -117,35 +122,73 @@ def posteriors(prof: DataFrame, domains: list[str], weights) -> DataFrame:
 
 
 def rates_of(p: np.ndarray, steps: list[np.ndarray], most: float | None) -> np.ndarray:
-    """Rates after the given gradient steps, each projected on [0, most]."""
+    """Rates after the given steps from 1, each projected on [0, most]."""
     r = np.ones(len(p))
     for g in steps:
         r = np.clip(r - p @ g, 0.0, most)
     return r
 
 
-def totals(soft: DataFrame, k: int, steps: list[np.ndarray], most: float | None) -> np.ndarray:
-    """Expected words of each domain at the rates that the steps lead to."""
+def sums(soft: DataFrame, k: int, trials: list[np.ndarray], most: float | None) -> np.ndarray:
+    """For each trial of multipliers, a row of: expected words of the K domains, the K by K sums of
+    t p p' over the rates within their bounds, and the sum of t ((r - 1)^2 / 2 + r p m)."""
+    width = k + k * k + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(k)
+        total = np.zeros((len(trials), width))
         for b in batches:
             p = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
             t = b.column(0).to_numpy(zero_copy_only=False).astype(float)
-            total += (rates_of(p, steps, most) * t) @ p
-        yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array(total)], ["k", "total"])
+            total += [sums_of(p, t, m, most) for m in trials]
+        yield pa.RecordBatch.from_arrays([pa.array(range(total.size), pa.int32()), pa.array(total.ravel())],
+                                         ["at", "total"])
 
-    got = soft.select("words", "p").mapInArrow(run, "k int, total double").groupBy("k").agg(
+    got = soft.select("words", "p").mapInArrow(run, "at int, total double").groupBy("at").agg(
         F.sum("total").alias("total")).collect()
-    out = np.zeros(k)
+    out = np.zeros(len(trials) * width)
     for r in got:
-        out[r["k"]] = r["total"]
-    return out
+        out[r["at"]] = r["total"]
+    return out.reshape(len(trials), width)
+
+
+def sums_of(p: np.ndarray, t: np.ndarray, m: np.ndarray, most: float | None) -> np.ndarray:
+    r = rates_of(p, [m], most)
+    free = t * ((r > 0) & (r < (np.inf if most is None else most)))
+    return np.concatenate([(r * t) @ p, ((p * free[:, None]).T @ p).ravel(),
+                           [t @ ((r - 1) ** 2 / 2 + r * (p @ m))]])
+
+
+def newton(evaluate: Callable[[list[np.ndarray]], np.ndarray], have: np.ndarray,
+           want: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Multipliers, totals at their rates, and if every stage reached the tolerance.
+
+    A zero gradient of the concave function is the optimum's condition: the totals miss the targets by
+    RIDGE x C x m, as in the least-squares problem with that weight.
+    """
+    k, c, size = len(have), np.where(have > 0, have, 1.0), want.sum()
+    m, now, left, reached = np.zeros(k), evaluate([np.zeros(k)])[0], MAX_STEPS, True
+    for ridge in RIDGE:
+        def value(at: np.ndarray, row: np.ndarray, ridge: float = ridge) -> float:
+            return row[-1] - want @ at - ridge / 2 * (c @ at ** 2)
+
+        finest = 0
+        while np.abs(slope := now[:k] - want - ridge * c * m).max() > TOLERANCE * size and left and finest < 3:
+            step = np.linalg.solve(now[k:-1].reshape(k, k) + np.diag(ridge * c), slope)
+            trials = [m + step * x * LENGTHS[-1] ** finest for x in LENGTHS]
+            rows = evaluate(trials)
+            values = [value(x, r) for x, r in zip(trials, rows, strict=True)]
+            best, left = int(np.argmax(values)), left - 1
+            if values[best] > value(m, now):
+                m, now, finest = trials[best], rows[best], 0
+            else:
+                finest += 1
+        reached = np.abs(slope).max() <= TOLERANCE * size
+    return m, now[:k], reached
 
 
 def solve(soft: DataFrame, domains: list[str], targets: dict[str, float], most: float | None = None,
           anchor: str | None = None) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Gradient steps, target totals and reached totals.
+    """Steps from rate 1 (the multipliers, if any), target totals and reached totals.
 
     The targets are shares. They add up to the corpus's words, or, with an
     ``anchor`` domain, to the size at which that domain keeps its words.
@@ -153,7 +196,7 @@ def solve(soft: DataFrame, domains: list[str], targets: dict[str, float], most:
     k = len(domains)
     if k < 2:
         return [], np.zeros(k), np.zeros(k)
-    have = totals(soft, k, [], most)
+    have = sums(soft, k, [np.zeros(k)], most)[0][:k]
     share = np.array([max(0.0, targets.get(d, 0.0)) for d in domains]) * (have > 0)
     if not share.sum():
         return [], have, have
@@ -161,14 +204,14 @@ def solve(soft: DataFrame, domains: list[str], targets: dict[str, float], most:
     size = have.sum()
     if anchor in domains and share[(a := domains.index(anchor))] > 0:
         size = have[a] / share[a]
-    want, steps, now = share * size, [], have
-    floor = np.where(have > 0, have, 1.0)
-    while len(steps) < MAX_STEPS and np.abs(now - want).max() > TOLERANCE * size:
-        steps.append((now - want) / floor)
-        before, now = now, totals(soft, k, steps, most)
-        if np.abs(now - before).max() <= TOLERANCE * size / 100:
-            break  # a rate bound keeps the targets out of reach: least squares reached
-    return steps, want, now
+    want = share * size
+    if np.abs(have - want).max() <= TOLERANCE * size:
+        return [], want, have
+    m, now, reached = newton(lambda trials: sums(soft, k, trials, most), have, want)
+    if not reached:
+        warnings.warn(f"mixing: rates not at the least-squares optimum after {MAX_STEPS} steps at most: totals "
+                      f"{now.tolist()} for targets {want.tolist()}", RuntimeWarning, stacklevel=2)
+    return [m], want, now
 
 
 def document_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], most: float | None = None,

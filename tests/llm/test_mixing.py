@@ -45,6 +45,34 @@ def test_steps_solve_the_least_squares_problem(spark):
     assert mixing.rates_of(p, steps, None) == pytest.approx(r, abs=0.05)
 
 
+@pytest.mark.parametrize("most", [None, 1.0])
+def test_overlapping_domains_reach_the_optimum(spark, most):
+    """Posteriors around 0.87 on either side, against a dense projected gradient of many steps."""
+    rng = np.random.default_rng(2)
+    high, t = rng.beta(0.87 * 20, 0.13 * 20, 2000), rng.integers(20, 400, 2000)
+    own = np.where(rng.random(2000) < 0.8, high, 1 - high)
+    p = np.stack([own, 1 - own], 1)
+    soft = spark.createDataFrame([(i, i, int(n), x.tolist()) for i, (n, x) in enumerate(zip(t, p, strict=True))],
+                                 "key long, doc_id long, words long, p array<double>")
+    steps, want, now = mixing.solve(soft, ["a", "b"], {"a": 0.95, "b": 0.05}, most, "a" if most else None)
+    r, c = np.ones(2000), t @ p
+    for _ in range(20_000):
+        r = np.clip(r - p @ (((r * t) @ p - want) / c), 0, most)
+    best = (r * t) @ p
+    assert (mixing.rates_of(p, steps, most) * t) @ p == pytest.approx(now, rel=1e-6)
+    assert now / now.sum() == pytest.approx(best / best.sum(), abs=1e-3) and now.sum() == pytest.approx(best.sum(), rel=2e-3)
+    if most is None:
+        assert now / now.sum() == pytest.approx([0.95, 0.05], abs=1e-3)
+
+
+def test_a_fit_that_stops_early_is_reported(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_STEPS", 1)
+    soft = spark.createDataFrame([(i, i, 10, [0.5 + i / 100, 0.5 - i / 100]) for i in range(20)],
+                                 "key long, doc_id long, words long, p array<double>")
+    with pytest.warns(RuntimeWarning, match="least-squares"):
+        mixing.solve(soft, ["a", "b"], {"a": 0.9, "b": 0.1}, 1.0)
+
+
 def test_mix_with_a_bound_keeps_the_anchor(spark):
     pairs, labels = corpus()
     docs = documents(spark, pairs, clashes=True)
