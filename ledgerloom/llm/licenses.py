@@ -1,12 +1,16 @@
 """License scans: Dice coefficient of word bigrams against licence templates.
 
-A text's units are its lines, its paragraphs of several lines, and itself.
+A text's units are its lines, its paragraphs of several lines, itself, and its
+windows: runs of words that start and end with a bigram of a template.
 Units and templates are normalised to lower-case words; a unit matches the
 template of the largest Dice coefficient 2 |A & B| / (|A| + |B|) of their sets
 of bigrams if that is at least ``DICE``. As the coefficient is at most
 2 min / (|A| + |B|), only templates within the size bounds
 DICE / (2 - DICE) <= |A| / |B| <= (2 - DICE) / DICE can match a unit, and a
-unit that shares no bigram with any template matches none.
+unit that shares no bigram with any template matches none. Windows are compared
+with a template only where the text has DICE / (2 - DICE) of its bigrams, as a
+match must; then the best end of every start is found. Templates are notices,
+file headers and the complete texts in ``license_texts``.
 
 Results for odd input: null, empty and one-word texts have no bigrams and match
 nothing; of equal coefficients the first template in alphabetical order wins;
@@ -18,8 +22,11 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -100,6 +107,41 @@ TEMPLATES: dict[str, list[str]] = {
         "This is free and unencumbered software released into the public domain."],
 }
 
+DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+    "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+    "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY "
+    "OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+TWO = TEMPLATES["BSD-2-Clause"][1]
+#: Complete texts and headers that stand before the notices.
+COMPLETE: dict[str, list[str]] = {
+    "BSD-2-Clause": [f"{TWO} {DISCLAIMER}"],
+    "BSD-3-Clause": [f"{TWO} 3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+                     f"endorse or promote products derived from this software without specific prior written permission. "
+                     f"{DISCLAIMER}"],
+    "ISC": [TEMPLATES["ISC"][1] + " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH "
+            "REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL "
+            "THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER "
+            "RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS "
+            "ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."],
+    "LGPL-2.1": [TEMPLATES["GPL-2.0"][1].replace("version 2 ", "version 2.1 ").replace("General", "Lesser General")
+                 .replace("This program", "This library")],
+    "LGPL-3.0": [TEMPLATES["GPL-3.0"][1].replace("General", "Lesser General")],
+    "MIT": [TEMPLATES["MIT"][2] + " THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, "
+            "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+            "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+            "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+            "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."],
+}
+# Read where the package is a folder, on the driver; executors get the templates from there.
+for _file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+    COMPLETE.setdefault(_file.stem, []).append(" ".join(_file.read_text(encoding="utf-8").split()))
+for _name, _texts in COMPLETE.items():
+    TEMPLATES[_name] = _texts + TEMPLATES.get(_name, [])
+
 
 def bigrams(text: str) -> set[tuple[str, str]]:
     words = WORDS.findall(text.lower())
@@ -115,6 +157,44 @@ class Templates:
         self.rows = [(name, g) for _, name, g in rows]
         self.any = set().union(*(g for _, g in self.rows)) if rows else set()
         self.dice = dice
+        self.having: dict[tuple[str, str], list[int]] = {}
+        for i, (_, g) in enumerate(self.rows):
+            for x in g:
+                self.having.setdefault(x, []).append(i)
+
+    def windows(self, text: str) -> Iterator[tuple[float, str, int, int, int]]:
+        """``dice, license, size of the template, start, end`` of each start's best window."""
+        words = [(m[0], m.start(), m.end()) for m in WORDS.finditer(text.lower() if len(text.lower()) == len(text)
+                                                                    else "".join(low(c) for c in text))]
+        grams = [(a[0], b[0]) for a, b in zip(words, words[1:], strict=False)]
+        if self.any.isdisjoint(grams):
+            return
+        have = Counter(i for x in set(grams) & self.any for i in self.having[x])
+        d = self.dice
+        wanted = [i for i, n in have.items() if n >= d / (2 - d) * self.sizes[i] - 1e-9]
+        if not wanted:
+            return
+        last: dict[tuple[str, str], int] = {}
+        before = np.empty(len(grams), np.int64)
+        for x, g in enumerate(grams):
+            before[x] = last.get(g, -1)
+            last[g] = x
+        for i in wanted:
+            name, g = self.rows[i]
+            n, most = len(g), len(g) * (2 - d) / d + 1e-9
+            inside = np.fromiter((x in g for x in grams), bool, len(grams))
+            for s in np.flatnonzero(inside).tolist():
+                reach = int(most) + 2
+                while True:
+                    fresh = before[s:s + reach] < s
+                    size = np.cumsum(fresh)
+                    if size[-1] > most or s + reach >= len(grams):
+                        break
+                    reach *= 2
+                dice = 2 * np.cumsum(fresh & inside[s:s + reach]) / (size + n)
+                at = int(np.argmax(dice))
+                if dice[at] >= d:
+                    yield float(dice[at]), name, n, words[s][1], words[s + at + 1][2]
 
     def best(self, grams: set) -> tuple[float, str] | None:
         if self.any.isdisjoint(grams):
@@ -127,6 +207,11 @@ class Templates:
         return (-score, name) if -score >= d else None
 
 
+def low(c: str) -> str:
+    """A character in lower case where that is one character, so that places stay."""
+    return x if len(x := c.lower()) == 1 else c
+
+
 def units(text: str) -> Iterator[tuple[int, int]]:
     """Spans of a text's lines, paragraphs of several lines, and itself."""
     lines, at = [], 0
@@ -158,14 +243,16 @@ def units(text: str) -> Iterator[tuple[int, int]]:
 def matches(text: str, templates: Templates) -> list[tuple[str, float, int, int]]:
     """``license, dice, start, end`` of the units that match, by position.
 
-    Of a unit and its parts the one of the larger coefficient counts, and of
-    equal ones the shorter.
+    Of overlapping units the one of the larger coefficient counts; of equal ones
+    a line, paragraph or whole text before a window, the window of the larger
+    template, and the shorter.
     """
-    found = [(-got[0], b - a, got[1], a, b) for a, b in units(text)
+    found = [(-got[0], 0, b - a, got[1], a, b) for a, b in units(text)
              if (got := templates.best(bigrams(text[a:b]))) is not None]
+    found += [(-score, 1 / n, b - a, name, a, b) for score, name, n, a, b in templates.windows(text)]
     taken: list[tuple[int, int]] = []
     out = []
-    for score, _, name, a, b in sorted(found):
+    for score, _, _, name, a, b in sorted(found):
         i = bisect_left(taken, (a, a))
         if (i == 0 or taken[i - 1][1] <= a) and (i == len(taken) or taken[i][0] >= b):
             taken.insert(i, (a, b))

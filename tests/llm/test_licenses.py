@@ -35,6 +35,20 @@ def test_licence_over_several_lines():
     assert got and text[got[0][2]:got[0][3]] == wrapped
 
 
+def test_complete_texts_headers_and_notices_in_prose():
+    t = Templates()
+    for name in ("BSD-2-Clause", "BSD-3-Clause", "MIT", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "Apache-2.0"):
+        words = max(TEMPLATES[name], key=len).split()
+        text = "\n\n".join(" ".join(words[i:i + 40]) for i in range(0, len(words), 40))
+        got = matches(f"Copyright (c) 2020 Somebody\n\n{text}\n\nIntroduction to the rest of the file.", t)
+        assert [(n, d) for n, d, _, _ in got] == [(name, 1.0)]
+    line = "The code was written in May and is Licensed under the Apache License, Version 2.0. See docs."
+    assert [(n, d, line[a:b]) for n, d, a, b in matches(line, t)] == [
+        ("Apache-2.0", 1.0, "Licensed under the Apache License, Version 2.0")]
+    header = FULL["GPL-3.0"].replace("General", "Lesser General")
+    assert [m[0] for m in matches(header, t)] == ["LGPL-3.0"]
+
+
 def test_units():
     text = "a b\nc d\n\n\ne f"
     assert [text[a:b] for a, b in units(text)] == ["a b", "c d", "e f", "a b\nc d", text]
