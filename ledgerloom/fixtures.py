@@ -143,17 +143,47 @@ def part_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def large_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A keyword file that grows with the tables: part names, and contract numbers of some orders."""
-    p = read_table(spark, sf_dir, "part")
-    o = read_table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 13 == 0)
-    names = p.filter(F.col("p_partkey") % 5 == 0).select(
-        F.when(F.col("p_name").startswith("small "), F.col("p_name")).alias("List_1"),
-        F.when(F.col("p_name").startswith("red "), F.col("p_name")).alias("List_2"))
-    contracts = o.select(F.concat(F.lit("договор "), F.col("o_orderkey").cast("string")).alias("List_1"),
-                         F.concat(F.lit("ring, договор "), F.col("o_orderkey").cast("string")).alias("List_2"))
+    """A keyword file that grows with the tables: names of all parts and contract numbers of all orders.
+
+    Colours, sizes and numbers are shifted, so that the words match part of the comments.
+    """
+    name = F.col("p_name")
+    names = read_table(spark, sf_dir, "part").select(
+        F.replace(name, F.lit("red"), F.lit("hot")).alias("List_1"),
+        F.replace(F.replace(name, F.lit("small"), F.lit("old")), F.lit("ring"), F.lit("rod")).alias("List_2"))
+    contracts = read_table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("договор "), (F.col("o_orderkey") * 3).cast("string")).alias("List_1"),
+        F.concat(F.lit("ring, договор "), F.col("o_orderkey").cast("string")).alias("List_2"))
     return names.unionByName(contracts)
 
 
+def mixed_letters(keywords: DataFrame) -> DataFrame:
+    """A dictionary in capitals, its Latin A, O and T replaced by the Cyrillic letters that look like them."""
+    return keywords.select(*[F.translate(F.upper(c), "AOT", "АОТ").alias(c) for c in keywords.columns])
+
+
+def large_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as regular expressions: one for every part and every order, and one without a literal."""
+    name = F.replace("p_name", F.lit("red"), F.lit("hot"))
+    names = read_table(spark, sf_dir, "part").select(
+        F.concat(F.lit("(за|для) "), name, F.lit(",")).alias("List_1"),
+        F.concat(F.lit("(?iu:ЗА) +"), name, F.lit(".*[13579]$")).alias("List_2"))
+    contracts = read_table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("договор "), (F.col("o_orderkey") * 3).cast("string"), F.lit("$")).alias("List_1"),
+        F.concat(F.lit("r[io][nd]g?, (?:договор|счёт) "), F.col("o_orderkey").cast("string"), F.lit("$"))
+        .alias("List_2"))
+    bare = spark.range(1).select(F.lit(r"\d{4}7$").alias("List_1"), F.lit(None).cast("string").alias("List_2"))
+    return names.unionByName(contracts).unionByName(bare)
+
+
+def faulty_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operations as a landing file has them, with amounts and dates that do not parse among them."""
+    ops = operations(spark, sf_dir)
+    day, debit, credit = F.col("DateOp").cast("string"), F.col("AccountDB").cast("long"), F.col("AccountCR").cast("long")
+    return ops.withColumn("Amount", F.when(credit % 97 == 0, F.concat(F.lit("1."), "Amount")).otherwise(F.col("Amount"))) \
+        .withColumn("DateOp", F.when(debit % 101 == 0, F.concat(day, F.lit("/"))).otherwise(day))
+
+
 def ledger_tables(spark: SparkSession, sf_dir: str) -> LedgerTables:
     return LedgerTables(
         clients=clients(spark, sf_dir),
@@ -201,11 +231,11 @@ WITH accounts AS (
          CAST(o_orderdate AS DATE) AS RateDate
   FROM orders
 ), large_dictionary AS (
-  SELECT DISTINCT CASE WHEN p_name LIKE 'small %' THEN p_name END AS List_1,
-         CASE WHEN p_name LIKE 'red %' THEN p_name END AS List_2 FROM part WHERE p_partkey % 5 = 0
+  SELECT DISTINCT replace(p_name, 'red', 'hot') AS List_1,
+         replace(replace(p_name, 'small', 'old'), 'ring', 'rod') AS List_2 FROM part
   UNION ALL
-  SELECT 'договор ' || CAST(o_orderkey AS VARCHAR), 'ring, договор ' || CAST(o_orderkey AS VARCHAR)
-  FROM orders WHERE o_orderkey % 13 = 0
+  SELECT 'договор ' || CAST(o_orderkey * 3 AS VARCHAR), 'ring, договор ' || CAST(o_orderkey AS VARCHAR)
+  FROM orders
 ), part_dictionary AS (
   SELECT CASE WHEN p_partkey % 2 = 0 THEN NULLIF(split_part(p_name, ' ', 1), '') END AS List_1,
          NULLIF(split_part(p_name, ' ', 2), '') AS List_2

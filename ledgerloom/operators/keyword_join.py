@@ -1,40 +1,52 @@
-"""Keyword flags for dictionaries of any size (FLT3-FLT6, JN10).
-
-Up to ``COMPILE_MAX`` words the dictionary is compiled into one JVM expression
-(``functions.text.matches``). A larger one stays distributed: every word has an
-anchor, the gram of up to ``GRAM`` characters of its longest fixed part that
-fewest words share, and every distinct comment emits its grams. An equi join on
-the gram gives the candidates, verified by ``LIKE``; words without a fixed part
-only ask for a length. The answers are those of the expression at every
-size: ``not_any`` counts the words present against all of them, and a regex
-dictionary sends its plain words through the join and compiles the others.
+"""Keyword matching for dictionaries of any size (FLT3-FLT6, JN10, CM9).
+
+``tag`` gives flags, ``match_rows`` one row per matching word. Up to ``COMPILE_MAX``
+words ``tag`` compiles the dictionary into one JVM expression (``functions.text.matches``). A
+larger one stays distributed: every word has sets of literals, of each of which a match holds one (a LIKE pattern's
+longest fixed part; what ``functions.regex_literals`` reads from a regular expression). Every
+literal has an anchor, the gram of up to ``GRAM`` characters that fewest words share; of a word's sets the
+one with the rarest anchors counts. Every distinct comment emits its grams. An equi join on the gram gives the candidates,
+verified by ``LIKE`` or ``RLIKE``. Words without a literal meet all comments in blocks of ``BLOCK``
+words: LIKE patterns of wildcards only ask for a length, expressions are compiled a block at a time, and
+each block's hits are written before the next is read, so no more than a block is ever on the driver.
+
+The answers are those of the expression at every size; ``not_any`` counts the words
+present against all of them. NULL comments match nothing and take no part in a join.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import matches
-from ..sources.keywords import LISTS, load_lists_upto, long_form
+from ..functions.regex_literals import required
+from ..functions.text import KeywordError, folded, matches
+from ..session import scratch_path, ship_package, stored
+from ..sources.keywords import LISTS, list_columns, load_lists_upto, long_form
 
 COMPILE_MAX = 512
 GRAM = 6
+#: Words without a literal that are compiled together.
+BLOCK = 256
+#: A comment of more than one operation in so many is joined in as many parts as SALTS.
+HOT, SALTS = 1024, 64
 # Characters that make a regex fragment more than plain text.
 _META = r"[\\.\[\]{}()*+?^$|]"
 
 
-def _body(mode: str) -> Column:
-    """A word as the fixed and wildcard parts that must occur in the comment (a LIKE pattern)."""
-    w = F.col("word")
+def _literals(words: DataFrame, mode: str) -> DataFrame:
+    """list, word, body (what LIKE verifies), plain, literals (sets; null: none known), need (least length)."""
     if mode == "regex":
-        return F.regexp_replace(w, "([%_])", r"\\$1")
+        return _regex_literals(words)
+    w = F.col("word")
     valid = F.regexp_replace(w, r"(?<!\\)((?:\\\\)*)\\(?![%_\\])", r"$1\\\\")
-    return F.concat(F.lit(" "), valid, F.lit(",")) if mode == "token" else valid
-
-
-def _anchored(words: DataFrame, mode: str) -> DataFrame:
-    """list, word, body, need (least length), longest fixed part, its anchor gram."""
+    body = F.concat(F.lit(" "), valid, F.lit(",")) if mode == "token" else valid
     marks = ["\ue000", "\ue001", "\ue002"]  # private use: stand for the escaped %, _ and backslash
     shown = F.col("body")
     for mark, escaped in zip(reversed(marks), (r"\\\\", r"\\_", r"\\%"), strict=True):
@@ -42,15 +54,52 @@ def _anchored(words: DataFrame, mode: str) -> DataFrame:
     parts = F.transform(F.split(F.col("shown"), "[%_]"),
                         lambda p: F.translate(p, "".join(marks), "%_\\"))
     sized = F.transform(parts, lambda p: F.struct(F.length(p).alias("n"), p.alias("part")))
-    w = (words.select("list", "word").distinct().withColumn("body", _body(mode)).withColumn("shown", shown)
-         .withColumn("longest", F.array_max(sized)["part"])
-         .withColumn("need", F.length(F.regexp_replace("shown", "%", "")))
-         .withColumn("plain", ~F.col("shown").rlike("[%_]")))
-    grams = w.filter(F.length("longest") > 0).withColumn("gram", F.explode(_grams("longest")))
-    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    anchor = (grams.join(shared, "gram").groupBy("list", "word")
-              .agg(F.min(F.struct("n", "gram"))["gram"].alias("gram")))
-    return w.join(anchor, ["list", "word"], "left").drop("shown")
+    longest = F.array_max(sized)["part"]
+    return (words.select("list", "word").distinct().withColumn("body", body).withColumn("shown", shown)
+            .select("list", "word", "body", (~F.col("shown").rlike("[%_]")).alias("plain"),
+                    F.when(F.length(longest) > 0, F.array(F.array(longest))).alias("literals"),
+                    F.length(F.regexp_replace("shown", "%", "")).alias("need")))
+
+
+def _regex_literals(words: DataFrame) -> DataFrame:
+    """The same for regular expressions, after a check that each one is valid on its own."""
+    words = words.select("list", "word").distinct()
+    try:
+        words.agg(F.count_if(F.rlike(F.lit(""), F.col("word")))).collect()
+    except (Py4JJavaError, PySparkException) as e:
+        if "PatternSyntaxException" in str(e) or "PATTERN" in str(e):
+            raise KeywordError from e
+        raise
+    ship_package(words.sparkSession)
+    plain = ~F.col("word").rlike(_META)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [required(w) or None for w in b.column("word").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.list_(pa.string())))],
+                                             [*b.schema.names, "literals"])
+
+    schema = "list string, word string, body string, plain boolean, literals array<array<string>>"
+    body = F.col("word").alias("body")
+    simple = words.where(plain).select("list", "word", body, F.lit(True).alias("plain"),
+                                       F.when(F.length("word") > 0, F.array(F.array("word"))).alias("literals"))
+    rest = words.where(~plain).select("list", "word", body, F.lit(False).alias("plain")).mapInArrow(read, schema)
+    return simple.unionByName(rest).withColumn("need", F.lit(0))
+
+
+def _anchored(words: DataFrame) -> DataFrame:
+    """list, word, body, plain, literal, gram: one row for each literal of each word's set of rarest anchors."""
+    sets = words.where(F.col("literals").isNotNull()).select(
+        "list", "word", "body", "plain", F.posexplode("literals").alias("set", "of"))
+    each = sets.select("list", "word", "body", "plain", "set", F.explode("of").alias("literal"))
+    grams = each.groupBy("literal").agg(F.count(F.lit(1)).alias("words")).withColumn(
+        "gram", F.explode(_grams("literal")))
+    shared = grams.groupBy("gram").agg(F.sum("words").alias("n"))
+    anchor = grams.join(shared, "gram").groupBy("literal").agg(F.min(F.struct("n", "gram")).alias("anchor"))
+    each = each.join(anchor, "literal").select("*", "anchor.n", "anchor.gram")
+    best = each.groupBy("list", "word", "set").agg(F.sum("n").alias("n")).groupBy("list", "word").agg(
+        F.min(F.struct("n", "set"))["set"].alias("set"))
+    return each.join(best, ["list", "word", "set"]).select("list", "word", "body", "plain", "literal", "gram")
 
 
 def _grams(col: str, size: Column | None = None) -> Column:
@@ -61,44 +110,85 @@ def _grams(col: str, size: Column | None = None) -> Column:
                                         lambda i: F.substring(c, i, k)))
 
 
-def _hits(comments: DataFrame, words: DataFrame) -> DataFrame:
-    """(c, list): one row for each distinct comment and anchored word that occurs in it."""
-    anchored = words.filter(F.col("gram").isNotNull())
+def _verified(mode: str) -> Column:
+    """Does the word occur in the comment ``c``?"""
+    if mode == "regex":
+        return F.when(F.col("plain"), F.contains("c", "literal")).otherwise(F.expr("c RLIKE word"))
+    return F.when(F.col("plain"), F.contains("c", "literal")).otherwise(F.expr("c LIKE concat('%', body, '%')"))
+
+
+def _anchor_pairs(comments: DataFrame, words: DataFrame, mode: str) -> DataFrame:
+    """c, list, word: every distinct comment with the words that have literals and occur in it."""
+    anchored = _anchored(words)
+    none = F.array().cast("array<string>")
+    # Grams of a length that no anchor has meet nothing; only lengths in use are emitted.
     sizes = sorted(r["k"] for r in anchored.select(F.length("gram").alias("k")).distinct().collect())  # <= GRAM
     if not sizes:
-        return comments.select("c", F.lit(None).cast("string").alias("list")).limit(0)
-    none = F.array().cast("array<string>")
+        return comments.select("c", F.lit("").alias("list"), F.lit("").alias("word")).limit(0)
     every = F.concat(*[F.when(F.length("c") >= k, _grams("c", F.lit(k))).otherwise(none) for k in sizes])
-    cands = comments.select("c", F.explode(every).alias("gram"))
-    found = F.when(F.col("plain"), F.contains("c", "longest")).otherwise(
-        F.expr("c LIKE concat('%', body, '%')"))
-    return cands.join(anchored, "gram").filter(found).select("c", "list")
+    found = (comments.select("c", F.explode(every).alias("gram")).join(anchored, "gram")
+             .filter(_verified(mode)).select("c", "list", "word"))
+    return found.distinct() if mode == "regex" else found  # only expressions have several literals
+
+
+def _bare(words: DataFrame) -> DataFrame:
+    return words.where(F.col("literals").isNull())
+
+
+def _blocks(bare: DataFrame, block: int) -> Iterator[list]:
+    """The rows of ``bare``, a bounded block at a time, in order of word and list."""
+    last = None
+    while True:
+        left = bare if last is None else bare.where(
+            (F.col("word") > last["word"]) | ((F.col("word") == last["word"]) & (F.col("list") > last["list"])))
+        rows = left.orderBy("word", "list").limit(block).collect()
+        if rows:
+            yield rows
+        if len(rows) < block:
+            return
+        last = rows[-1]
+
+
+def _bare_pairs(comments: DataFrame, bare: DataFrame, mode: str, with_words: bool) -> DataFrame | None:
+    """c, list(, word) of words without a literal: blocks of words against all comments."""
+    path, some = scratch_path(comments.sparkSession, "keyword-blocks"), False
+    for rows in _blocks(bare, BLOCK):
+        some = True
+        if with_words:
+            hit = [F.when(matches("c", [r["word"]], mode), F.struct(F.lit(r["list"]).alias("list"),
+                                                                    F.lit(r["word"]).alias("word"))) for r in rows]
+        else:
+            hit = [F.when(matches("c", [r["word"] for r in rows if r["list"] == x], mode),
+                          F.struct(F.lit(x).alias("list"))) for x in sorted({r["list"] for r in rows})]
+        found = comments.select("c", F.explode(F.array_compact(F.array(*hit))).alias("hit")).select("c", "hit.*")
+        found.write.mode("append").parquet(path)
+    return comments.sparkSession.read.parquet(path) if some else None
 
 
 def _flags(comments: DataFrame, words: DataFrame, mode: str, lists: list[str]) -> DataFrame:
-    """c and one boolean per list, for every distinct comment."""
-    extra = {x: [] for x in lists}
+    """c and one boolean per list; comments whose flags are all ``mode == 'not_any'`` are left out."""
+    words = stored(_literals(words, mode), "keyword-words")
+    pairs = _anchor_pairs(comments, words, mode).select("c", "list")
+    bare: dict[str, Column] = {}
     if mode == "regex":
-        for r in words.filter(F.col("word").rlike(_META)).distinct().collect():
-            extra[r["list"]].append(r["word"])
-        words = words.filter(~F.col("word").rlike(_META))
-    anchored = _anchored(words, mode)
-    totals = {r["list"]: r["n"] for r in anchored.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
-    bare = anchored.filter(F.col("gram").isNull()).groupBy("list", "need").agg(F.count(F.lit(1)).alias("n")).collect()
-    present = _hits(comments, anchored).groupBy("c").agg(
-        *[F.count_if(F.col("list") == x).alias(f"n_{x}") for x in lists])
-    out = comments.join(present, "c", "left")
+        more = _bare_pairs(comments, _bare(words), mode, False)
+        pairs = pairs if more is None else pairs.unionByName(more)
+    else:  # wildcards only: a word occurs in every comment of its length
+        for r in _bare(words).groupBy("list", "need").agg(F.count(F.lit(1)).alias("n")).collect():
+            bare[r["list"]] = bare.get(r["list"], F.lit(0)) + F.when(F.length("c") >= r["need"], r["n"]).otherwise(0)
+    counts = pairs.groupBy("c").agg(*[F.count_if(F.col("list") == x).alias(f"n_{x}") for x in lists])
+    if bare:  # such words can hit comments that no pair names
+        counts = comments.join(counts, "c", "left")
+    totals = {}
+    if mode == "not_any":
+        totals = {r["list"]: r["n"] for r in words.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
     columns = []
     for x in lists:
-        n = F.coalesce(F.col(f"n_{x}"), F.lit(0))
-        for r in bare:
-            if r["list"] == x:
-                n = n + F.when(F.length("c") >= r["need"], r["n"]).otherwise(0)
-        hit = (n < totals.get(x, 0)) if mode == "not_any" else (n > 0)
-        if extra[x]:
-            hit = hit | matches("c", extra[x], "regex")
-        columns.append(hit.alias(f"hit_{x}"))
-    return out.select("c", *columns)
+        n = F.coalesce(F.col(f"n_{x}"), F.lit(0)) + bare.get(x, F.lit(0))
+        columns.append(((n < totals.get(x, 0)) if mode == "not_any" else (n > 0)).alias(f"hit_{x}"))
+    flags = counts.select("c", *columns)
+    rare = [~F.col(f"hit_{x}") if mode == "not_any" else F.col(f"hit_{x}") for x in lists]
+    return flags.where(reduce(Column.__or__, rare))
 
 
 def tag(df: DataFrame, keywords: DataFrame, modes: dict[str, str], comment: str = "Comment",
@@ -109,11 +199,91 @@ def tag(df: DataFrame, keywords: DataFrame, modes: dict[str, str], comment: str
         return df.select("*", *[F.coalesce(matches(comment, lists[x], m, trim_comment), F.lit(False))
                                 .alias(f"hit_{x}") for x, m in modes.items()])
     c = F.trim(F.col(comment)) if trim_comment else F.col(comment)
-    comments = df.select(c.alias("c")).filter(F.col("c").isNotNull()).distinct()
+    comments = stored(df.select(c.alias("c")).filter(F.col("c").isNotNull()).distinct(), "keyword-comments")
     words = long_form(keywords, trim_words).filter(F.col("list").isin(*LISTS))
-    out = df.withColumn("_c", c)
+    filled = {r["list"] for r in words.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # NULL comments have keys of their own, spread over the tasks, and meet nothing.
+    apart = F.when(c.isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)) + 1).otherwise(0)
+    out = df.withColumn("_c", c).withColumn("_apart", apart)
     for mode in sorted(set(modes.values())):
         of = [x for x, m in modes.items() if m == mode]
         flags = _flags(comments, words.filter(F.col("list").isin(*of)), mode, of)
-        out = out.join(flags.withColumnRenamed("c", "_c"), "_c", "left")
-    return out.select(*df.columns, *[F.coalesce(F.col(f"hit_{x}"), F.lit(False)).alias(f"hit_{x}") for x in modes])
+        flags = flags.withColumnRenamed("c", "_c").withColumn("_apart", F.lit(0).cast("long"))
+        out = out.join(flags, ["_c", "_apart"], "left")
+
+    def flag(x: str) -> Column:
+        # A list without words matches nothing; a comment without a row has the common flag.
+        common = F.col("_c").isNotNull() if modes[x] == "not_any" and x in filled else F.lit(False)
+        return F.coalesce(F.col(f"hit_{x}"), common).alias(f"hit_{x}")
+
+    return out.select(*df.columns, *[flag(x) for x in modes])
+
+
+def tag_folded(df: DataFrame, keywords: DataFrame, modes: dict[str, str], comment: str = "Comment",
+               trim_comment: bool = False, trim_words: bool = False) -> DataFrame:
+    """``tag`` without regard to case and look-alike letters: both sides are folded, then matched as ever.
+
+    Brand names that mix Latin and Cyrillic letters match comments in either spelling. LIKE modes
+    only: folding would change what the letters of an expression mean.
+    """
+    if "regex" in modes.values():
+        raise ValueError("regular expressions are not folded")
+    columns = list_columns(keywords)
+    words = keywords.select(*[folded(columns[x]).alias(x) for x in LISTS])
+    out = tag(df.withColumn("_folded", folded(comment)), words, modes, "_folded", trim_comment, trim_words)
+    return out.drop("_folded")
+
+
+def match_pairs(comments: DataFrame, words: DataFrame, mode: str) -> DataFrame:
+    """``c, list, word``: one row for each comment and word that occurs in it.
+
+    ``comments`` has one column ``c`` of distinct texts, ``words`` (list, word).
+    """
+    if mode not in ("regex", "token", "contains"):
+        raise ValueError(f"keyword mode {mode!r} has no matching words")
+    words = stored(_literals(words, mode), "keyword-words")
+    pairs = _anchor_pairs(comments, words, mode)
+    more = _bare_pairs(comments, _bare(words), mode, True)
+    return pairs if more is None else pairs.unionByName(more)
+
+
+def _counted(df: DataFrame, comment: str, trim_comment: bool) -> DataFrame:
+    """c, n: the distinct comments and their rows, stored."""
+    c = F.trim(F.col(comment)) if trim_comment else F.col(comment)
+    return stored(df.select(c.alias("c")).filter(F.col("c").isNotNull()).groupBy("c").agg(
+        F.count(F.lit(1)).alias("n")), "keyword-comments")
+
+
+def match_rows(df: DataFrame, keywords: DataFrame, mode: str, comment: str = "Comment",
+               trim_comment: bool = False, trim_words: bool = False) -> DataFrame:
+    """The theta join as rows: ``df`` with ``list`` and ``word``, one row per operation and matching word (JN10).
+
+    A hot comment, one of more than N / HOT rows (fewer than HOT of them), meets its words in SALTS parts.
+    """
+    counted = _counted(df, comment, trim_comment)
+    pairs = match_pairs(counted.select("c"), long_form(keywords, trim_words), mode)
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    hot = stored(counted.where(F.col("n") * HOT > F.lit(total)).select(F.col("c").alias("_hot")), "keyword-hot")
+    salts = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    pairs = pairs.join(F.broadcast(hot), F.col("c") == F.col("_hot"), "left").select(
+        F.col("c").alias("_c"), "list", "word", F.explode(salts).alias("_salt"))
+    c = F.trim(F.col(comment)) if trim_comment else F.col(comment)
+    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    rows = df.withColumn("_c", c).filter(F.col("_c").isNotNull()).join(
+        F.broadcast(hot), F.col("_c") == F.col("_hot"), "left").withColumn("_salt", F.coalesce(salt, F.lit(0)))
+    return rows.join(pairs, ["_c", "_salt"]).select(*df.columns, "list", "word")
+
+
+def match_counts(df: DataFrame, keywords: DataFrame, mode: str, comment: str = "Comment",
+                 trim_comment: bool = False, trim_words: bool = False) -> DataFrame:
+    """``list, word, operations, comments``: how many rows and distinct comments each word occurs in.
+
+    Words that occur nowhere have zeros. Rows are counted per comment first, so a hot comment is one row.
+    """
+    counted = _counted(df, comment, trim_comment)
+    words = long_form(keywords, trim_words).distinct()
+    found = match_pairs(counted.select("c"), words, mode).join(counted, "c").groupBy("list", "word").agg(
+        F.sum("n").alias("operations"), F.count(F.lit(1)).alias("comments"))
+    return words.join(found, ["list", "word"], "left").select(
+        "list", "word", F.coalesce("operations", F.lit(0)).alias("operations"),
+        F.coalesce("comments", F.lit(0)).alias("comments"))

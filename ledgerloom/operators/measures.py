@@ -64,15 +64,21 @@ def _code_of(tables: LedgerTables, key: str) -> DataFrame:
                                   balance_code("AccountNum").alias(f"{key}_code"))
 
 
+def _pair_sums(conv: DataFrame, own: str) -> DataFrame:
+    """Amounts by (debit, credit, date) with a key on the ``own`` side: what meets a counterparty, in place of
+    the operations. A hot account's operations are summed in the map tasks before the join."""
+    return _keyed(conv, own).groupBy("AccountDB", "AccountCR", "DateOp").agg(F.sum("Amount").alias("Amount"))
+
+
 def tax(conv: DataFrame, tables: LedgerTables) -> DataFrame:
     """Debit legs whose credit (counterparty) account is a 40702 account."""
-    j = conv.join(_code_of(tables, "AccountCR"), "AccountCR").filter(F.col("AccountCR_code") == TAX_CODE)
+    j = _pair_sums(conv, "AccountDB").join(_code_of(tables, "AccountCR").filter(F.col("AccountCR_code") == TAX_CODE), "AccountCR")
     return _sum_by(j, "AccountDB", F.col("Amount"), "TaxAmt")
 
 
 def clear(conv: DataFrame, tables: LedgerTables) -> DataFrame:
     """Credit legs whose debit (counterparty) account is a 40802 account."""
-    j = conv.join(_code_of(tables, "AccountDB"), "AccountDB").filter(F.col("AccountDB_code") == CLEARING_CODE)
+    j = _pair_sums(conv, "AccountCR").join(_code_of(tables, "AccountDB").filter(F.col("AccountDB_code") == CLEARING_CODE), "AccountDB")
     return _sum_by(j, "AccountCR", F.col("Amount"), "ClearAmt")
 
 
@@ -96,8 +102,8 @@ def food(conv: DataFrame, tables: LedgerTables, d: Dialect) -> DataFrame:
 def natural_person(conv: DataFrame, tables: LedgerTables) -> DataFrame:
     """Debit legs whose counterparty account belongs to a natural person."""
     acc = tables.accounts.select(F.col("AccountId").alias("AccountCR"), F.col("ClientId").alias("cp_client"))
-    cl = tables.clients.select(F.col("ClientId").alias("cp_client"), "Type")
-    j = conv.join(acc, "AccountCR").join(cl, "cp_client").filter(F.col("Type") == NATURAL_PERSON)
+    persons = tables.clients.filter(F.col("Type") == NATURAL_PERSON).select(F.col("ClientId").alias("cp_client"))
+    j = _pair_sums(conv, "AccountDB").join(acc.join(persons, "cp_client").select("AccountCR"), "AccountCR")
     return _sum_by(j, "AccountDB", F.col("Amount"), "FLAmt")
 
 

@@ -191,17 +191,80 @@ FROM operations c
 """
 
 
+# Words and the comments that contain them, by an equi join on all substrings of a word's length
+# (the large dictionary's words hold no wildcards). ``{before}`` and ``{after}`` surround a token.
+_SUBSTRINGS = """
+, words AS (
+  SELECT DISTINCT 'List_1' AS list, {word1} AS word FROM large_dictionary
+  UNION ALL SELECT DISTINCT 'List_2', {word2} FROM large_dictionary
+), comments AS (
+  SELECT {comment} AS Comment, count(*) AS n FROM operations GROUP BY {comment}
+), sizes AS (
+  SELECT DISTINCT length(word) + {pad} AS size FROM words
+), cuts AS (
+  SELECT Comment, size, unnest(range(1, length(Comment) - size + 2)) AS at FROM comments, sizes
+  WHERE length(Comment) >= size
+), pairs AS (
+  SELECT DISTINCT c.Comment, w.list, w.word FROM cuts c
+  JOIN words w ON substring(c.Comment, c.at, c.size) = {before} || w.word || {after}
+)
+"""
+_PLAIN = {"word1": "List_1", "word2": "List_2", "comment": "Comment"}
+_FOLD = "translate(lower({}), 'abcehkmoptuxyi', 'авсенкмортихуі')"
+_MIXED = _FOLD.format("translate(upper({}), 'AOT', 'АОТ')")
+_CONTAINS = _SUBSTRINGS.format(pad=0, before="''", after="''", **_PLAIN)
+_TOKENS = _SUBSTRINGS.format(pad=2, before="' '", after="','", **_PLAIN)
+_FOLDED = _SUBSTRINGS.format(pad=0, before="''", after="''", word1=_MIXED.format("List_1"),
+                             word2=_MIXED.format("List_2"), comment=_FOLD.format("Comment"))
+
+
 def _kw_large(mode: str) -> str:
     """Flags of the distinct comments, joined back to the operations."""
-    return _with() + f"""
-, words AS (SELECT DISTINCT List_1, List_2 FROM large_dictionary)
+    def hit(x: str) -> str:
+        if mode == "not_any":
+            return (f"coalesce(f.n{x}, 0) < (SELECT count(*) FROM words WHERE list = 'List_{x}')")
+        return f"coalesce(f.n{x}, 0) > 0"
+    key = _FOLD.format("o.Comment") if mode == "folded" else "o.Comment"
+    return _with() + {"token": _TOKENS, "folded": _FOLDED}.get(mode, _CONTAINS) + f"""
 , flags AS (
-  SELECT c.Comment, {_hit('List_1', mode, words='words')} AS List1Hit, {_hit('List_2', mode, words='words')} AS List2Hit
-  FROM (SELECT DISTINCT Comment FROM operations) c
+  SELECT Comment, count(*) FILTER (list = 'List_1') AS n1, count(*) FILTER (list = 'List_2') AS n2
+  FROM pairs GROUP BY Comment
+)
+SELECT o.AccountDB, o.AccountCR, o.DateOp, o.Comment, {hit('1')} AS List1Hit, {hit('2')} AS List2Hit
+FROM operations o LEFT JOIN flags f ON {key} = f.Comment
+"""
+
+
+_KW_REGEX_LARGE = _with() + r"""
+, parts AS (
+  SELECT DISTINCT Comment, trim(Comment) AS c, regexp_extract(Comment, 'за (.*), договор', 1) AS name,
+         regexp_extract(Comment, 'договор (\d+)$', 1) AS num FROM operations
+), names AS (
+  SELECT DISTINCT replace(p_name, 'red', 'hot') AS w FROM part
+), flags AS (
+  SELECT Comment,
+         name IN (SELECT w FROM names) OR num IN (SELECT CAST(o_orderkey * 3 AS VARCHAR) FROM orders)
+           OR regexp_matches(c, '\d{4}7$') AS List1Hit,
+         regexp_matches(name, 'r[io][nd]g?$') AND num IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders)
+           OR regexp_matches(num, '[13579]$') AND EXISTS (SELECT 1 FROM names WHERE starts_with(name, w)) AS List2Hit
+  FROM parts
 )
 SELECT o.AccountDB, o.AccountCR, o.DateOp, o.Comment, f.List1Hit, f.List2Hit
 FROM operations o JOIN flags f ON o.Comment = f.Comment
 """
+_KW_ROWS = _with() + """
+SELECT o.AccountDB, o.AccountCR, o.DateOp, o.Comment, k.list, k.word
+FROM operations o
+JOIN (SELECT 'List_1' AS list, trim(List_1) AS word FROM keywords WHERE List_1 IS NOT NULL
+      UNION SELECT 'List_2', trim(List_2) FROM keywords WHERE List_2 IS NOT NULL) k
+  ON regexp_matches(trim(o.Comment), k.word)
+"""
+_KW_COUNTS = _with() + _CONTAINS + """
+SELECT w.list, w.word, coalesce(sum(c.n), 0)::BIGINT AS operations, count(c.n) AS comments
+FROM words w LEFT JOIN pairs p ON w.list = p.list AND w.word = p.word
+             LEFT JOIN comments c ON p.Comment = c.Comment
+GROUP BY w.list, w.word
+"""
 
 
 def _measure(alias: str, name: str) -> str:
@@ -219,6 +282,20 @@ SELECT k.AccountId, k.ClientId, k.CutoffDt, c.AccountDB, c.AccountCR,
 FROM kernel k JOIN conv c ON k.AccountId = c.{side} AND k.CutoffDt = c.DateOp
 """
 
+_FAULTY = _with() + """
+, faulty AS (
+  SELECT AccountDB, AccountCR, CASE WHEN CAST(AccountDB AS BIGINT) % 101 = 0 THEN CAST(DateOp AS VARCHAR) || '/'
+                                    ELSE CAST(DateOp AS VARCHAR) END AS DateOp,
+         CASE WHEN CAST(AccountCR AS BIGINT) % 97 = 0 THEN '1.' || Amount ELSE Amount END AS Amount, Currency, Comment
+  FROM operations
+), faults AS (
+  SELECT *, 'Amount' AS "column", 'not a decimal(10,2)' AS reason FROM faulty WHERE CAST(AccountCR AS BIGINT) % 97 = 0
+  UNION ALL
+  SELECT *, 'DateOp', 'not a date' FROM faulty WHERE CAST(AccountDB AS BIGINT) % 101 = 0
+)
+"""
+_INFO_ORDER = "TRY_CAST(ClientId AS BIGINT) NULLS LAST, ClientId NULLS LAST, CutoffDt NULLS LAST"
+
 ORACLE: dict[str, str] = {
     "src_csv": _with() + "SELECT AccountDB, AccountCR, CAST(DateOp AS VARCHAR) AS DateOp, Amount, Currency, Comment FROM operations",
     "src_parquet": _with() + "SELECT AccountId, AccountNum FROM accounts",
@@ -239,6 +316,10 @@ ORACLE: dict[str, str] = {
     "kw_token_large": _kw_large("token"),
     "kw_contains_large": _kw_large("contains"),
     "kw_not_any_large": _kw_large("not_any"),
+    "kw_regex_large": _KW_REGEX_LARGE,
+    "kw_folded": _kw_large("folded"),
+    "kw_match_rows": _KW_ROWS,
+    "kw_matches": _KW_COUNTS,
     "rate_latest_rank": _with() + """
 SELECT Currency, Rate, RateDate FROM (
   SELECT *, rank() OVER (PARTITION BY Currency ORDER BY RateDate DESC) AS rk
@@ -282,6 +363,23 @@ FROM accounts""",
     "mart_info_sql": _with(_PAY_SQL_CTE, _ACCOUNT_SQL) + _info("acct_sql"),
 }
 ORACLE |= {
+    "ingest_good": _FAULTY + """SELECT * FROM operations
+WHERE CAST(AccountCR AS BIGINT) % 97 <> 0 AND CAST(AccountDB AS BIGINT) % 101 <> 0""",
+    "ingest_rejects": _FAULTY + "SELECT * FROM faults",
+    "ingest_reject_counts": _FAULTY + 'SELECT "column", reason, count(*) AS n FROM faults GROUP BY "column", reason',
+    "preview_top": f"SELECT * FROM ({ORACLE['mart_info']}) x ORDER BY {_INFO_ORDER} LIMIT 20",
+    "info_ranked": f"SELECT *, row_number() OVER (ORDER BY {_INFO_ORDER}) AS RowNumber FROM ({ORACLE['mart_info']}) x",
+    "ops_converted_as_of": _with() + """
+, dated AS (
+  SELECT Currency, RateDate, max(TRY_CAST(replace(Rate, ',', '.') AS DECIMAL(10,2))) AS Rate
+  FROM rate_history WHERE RateDate IS NOT NULL GROUP BY Currency, RateDate
+)
+SELECT o.AccountDB, o.AccountCR, o.DateOp,
+       CAST(round(TRY_CAST(replace(o.Amount, ',', '.') AS DECIMAL(10,2)) * r.Rate, 2) AS DECIMAL(38,2)) AS Amount,
+       o.Comment
+FROM operations o ASOF JOIN dated r ON o.Currency = r.Currency AND o.DateOp >= r.RateDate""",
+    "mart_incremental": ORACLE["mart_payments"],
+    "sql_text_correlated": ORACLE["mart_payments_sql"],
     "rate_latest_window": ORACLE["rate_latest_rank"],
     "sql_text_payments": ORACLE["mart_payments_sql"],
     "sql_text_account": ORACLE["mart_account_sql"],

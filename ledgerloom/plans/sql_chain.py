@@ -46,3 +46,13 @@ def run_sql_marts(spark: SparkSession, tables: LedgerTables,
             df = spark.read.schema(df.schema).parquet(path).select(*df.columns)
         out[name] = frames[f"corporate_{name}"] = df
     return out
+
+
+def correlated_payments(spark: SparkSession, tables: LedgerTables) -> DataFrame:
+    """The payments mart as one correlated scalar subquery per measure and kernel row (JN12).
+
+    Spark decorrelates each into an aggregate and an outer join on (account, date). Operations are
+    summed by (debit, credit, date) before they meet a counterparty, so a hot one is small there.
+    """
+    return spark.sql(sql_text("payments_correlated"), operations_tagged=tag_operations(tables), rates=tables.rates,
+                     accounts=tables.accounts, clients=tables.clients)

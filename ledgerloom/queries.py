@@ -16,16 +16,18 @@ from . import fixtures
 from .functions.money import CLEARING_CODE, TAX_CODE, balance_code, money
 from .operators import measures as M
 from .operators.dialects import FRAME, SQL
-from .operators.keyword_join import tag
+from .operators.keyword_join import match_counts, match_rows, tag, tag_folded
 from .operators.kernel import ledger_ids, ledger_kernel
 from .operators.legs import payments_mart
 from .operators.marts import account_mart, info_from_payments, info_mart
 from .operators.rates import (convert_operations, latest_global, latest_per_currency,
                               latest_per_currency_ranked)
+from .operators.incremental import CHANGE, PaymentsState
 from .plans.pipeline import ingest_table
-from .plans.sql_chain import run_sql_marts
+from .plans.rejects import ingest_checked, read_good, read_rejects
+from .plans.sql_chain import correlated_payments, run_sql_marts
 from .session import scratch_path
-from .sinks.writers import write_flat, write_partitioned, write_sorted_csv
+from .sinks.writers import preview, ranked, write_flat, write_partitioned, write_sorted_csv
 from .sources.keywords import long_form
 from .sources.readers import json_value, read_csv, read_parquet, read_partitioned, read_wholetext
 
@@ -131,6 +133,31 @@ def ingest_roundtrip(spark, sf_dir):
     return read_partitioned(spark, out, "operations")
 
 
+def _checked_landing(spark, sf_dir):
+    csv_path, out = scratch_path(spark, "landing"), scratch_path(spark, "checked")
+    fixtures.faulty_operations(spark, sf_dir).write.option("header", True).csv(csv_path)
+    return out, ingest_checked(spark, csv_path, out, "operations")
+
+
+def ingest_good(spark, sf_dir):
+    """The rows of a landing file with faults that pass the ingest's checks."""
+    return read_good(spark, _checked_landing(spark, sf_dir)[0], "operations")
+
+
+def ingest_rejects(spark, sf_dir):
+    """The rows that do not, with a column and a reason."""
+    cells = "AccountDB string, AccountCR string, DateOp string, Amount string, Currency string, Comment string"
+    return read_rejects(spark, _checked_landing(spark, sf_dir)[0], "operations").select(
+        F.from_json("row", cells).alias("row"), "column", "reason").select("row.*", "column", "reason")
+
+
+def ingest_reject_counts(spark, sf_dir):
+    """Faults by column and reason, observed while the ingest wrote."""
+    counts = _checked_landing(spark, sf_dir)[1]
+    return spark.createDataFrame([(c, r, n) for (c, r), n in counts.items() if c and n],
+                                 "column string, reason string, n long")
+
+
 # --- sinks ------------------------------------------------------------------------------
 
 def sink_partitioned(spark, sf_dir):
@@ -155,6 +182,16 @@ def sink_csv_sorted(spark, sf_dir):
     return spark.read.schema(info.schema).option("header", True).csv(path)
 
 
+def preview_top(spark, sf_dir):
+    """The first 20 rows of the info mart by client number."""
+    return preview(mart_info(spark, sf_dir), 20, "ClientId")
+
+
+def info_ranked(spark, sf_dir):
+    """The info mart with its row numbers in the order of the sorted CSV."""
+    return ranked(mart_info(spark, sf_dir), "ClientId")
+
+
 # --- conversion, keywords, accounts -------------------------------------------------------
 
 def ops_converted(spark, sf_dir):
@@ -167,11 +204,17 @@ def ops_converted_sql(spark, sf_dir):
     return _money_ops(convert_operations(t.operations, t.rates, SQL.rate_policy))
 
 
+def ops_converted_as_of(spark, sf_dir):
+    """Every operation at the rate that held on its date, over the long derived rate history."""
+    return _money_ops(convert_operations(_t(spark, sf_dir).operations, fixtures.rate_history(spark, sf_dir), "as_of"))
+
+
 def _kw(mode: str, trim: bool, large: bool = False):
     """Dictionary flags; ``large``: a dictionary that grows with the tables and stays distributed."""
     def q(spark, sf_dir):
         t = _t(spark, sf_dir)
-        words = fixtures.large_dictionary(spark, sf_dir) if large else t.keywords
+        made = fixtures.large_patterns if mode == "regex" else fixtures.large_dictionary
+        words = made(spark, sf_dir) if large else t.keywords
         ops = t.operations.select("AccountDB", "AccountCR", "DateOp", "Comment")
         return tag(ops, words, {"List_1": mode, "List_2": mode}, trim_comment=trim, trim_words=trim) \
             .withColumnsRenamed({"hit_List_1": "List1Hit", "hit_List_2": "List2Hit"})
@@ -179,6 +222,26 @@ def _kw(mode: str, trim: bool, large: bool = False):
     return q
 
 
+def kw_folded(spark, sf_dir):
+    """Flags of a dictionary in capitals, some of its letters Cyrillic look-alikes, that grows with the tables."""
+    ops = _t(spark, sf_dir).operations.select("AccountDB", "AccountCR", "DateOp", "Comment")
+    words = fixtures.mixed_letters(fixtures.large_dictionary(spark, sf_dir))
+    return tag_folded(ops, words, {"List_1": "contains", "List_2": "contains"}).withColumnsRenamed(
+        {"hit_List_1": "List1Hit", "hit_List_2": "List2Hit"})
+
+
+def kw_match_rows(spark, sf_dir):
+    """One row per operation and matching word."""
+    t = _t(spark, sf_dir)
+    ops = t.operations.select("AccountDB", "AccountCR", "DateOp", "Comment")
+    return match_rows(ops, t.keywords, "regex", trim_comment=True, trim_words=True)
+
+
+def kw_matches(spark, sf_dir):
+    """Operations and comments per word of a dictionary that grows with the tables."""
+    return match_counts(_t(spark, sf_dir).operations, fixtures.large_dictionary(spark, sf_dir), "contains")
+
+
 def rate_latest_rank(spark, sf_dir):
     """Newest rate(s) of every currency over a long derived rate history."""
     return latest_per_currency(fixtures.rate_history(spark, sf_dir))
@@ -285,6 +348,23 @@ def mart_info_sql(spark, sf_dir):
     return info_mart(info_from_payments(payments_mart(t, "sql"), "sql"), t)
 
 
+def mart_incremental(spark, sf_dir):
+    """The payments mart after two deltas: operations that came late, and others that are withdrawn."""
+    t = _t(spark, sf_dir)
+    late = F.col("AccountCR").cast("long") % 7 == 3
+    extra = t.operations.where(F.col("AccountDB").cast("long") % 11 == 5).withColumn(
+        "Comment", F.concat(F.lit("отмена: "), F.col("Comment")))
+    state = PaymentsState(spark, scratch_path(spark, "incremental"))
+    state.build(t.with_(operations=t.operations.where(~late).unionByName(extra)))
+    state.apply(t.operations.where(late).withColumn(CHANGE, F.lit(1)), t)
+    state.apply(extra.withColumn(CHANGE, F.lit(-1)), t)
+    return state.mart(t)
+
+
+def sql_text_correlated(spark, sf_dir):
+    return correlated_payments(spark, _t(spark, sf_dir))
+
+
 def _sql_text(name: str):
     """One mart of the SQL-text chain."""
     def q(spark, sf_dir):
@@ -300,11 +380,17 @@ QUERIES: dict[str, Query] = {
     "json_path": json_path,
     "ingest_roundtrip": ingest_roundtrip,
     "ingest_reordered": ingest_reordered,
+    "ingest_good": ingest_good,
+    "ingest_rejects": ingest_rejects,
+    "ingest_reject_counts": ingest_reject_counts,
     "sink_partitioned": sink_partitioned,
     "sink_flat": sink_flat,
     "sink_csv_sorted": sink_csv_sorted,
+    "preview_top": preview_top,
+    "info_ranked": info_ranked,
     "ops_converted": ops_converted,
     "ops_converted_sql": ops_converted_sql,
+    "ops_converted_as_of": ops_converted_as_of,
     "kw_regex": _kw("regex", True),
     "kw_token": _kw("token", False),
     "kw_contains": _kw("contains", False),
@@ -312,6 +398,10 @@ QUERIES: dict[str, Query] = {
     "kw_token_large": _kw("token", False, large=True),
     "kw_contains_large": _kw("contains", False, large=True),
     "kw_not_any_large": _kw("not_any", False, large=True),
+    "kw_regex_large": _kw("regex", True, large=True),
+    "kw_folded": kw_folded,
+    "kw_match_rows": kw_match_rows,
+    "kw_matches": kw_matches,
     "rate_latest_rank": rate_latest_rank,
     "rate_latest_window": rate_latest_window,
     "rate_latest_global": rate_latest_global,
@@ -342,6 +432,8 @@ QUERIES: dict[str, Query] = {
     "mart_account_sql": mart_account_sql,
     "mart_info": mart_info,
     "mart_info_sql": mart_info_sql,
+    "mart_incremental": mart_incremental,
+    "sql_text_correlated": sql_text_correlated,
     "sql_text_payments": _sql_text("payments"),
     "sql_text_account": _sql_text("account"),
     "sql_text_info": _sql_text("info"),

@@ -11,6 +11,8 @@ import os
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -78,3 +80,27 @@ def local_fs_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, for the functions that run there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    package = Path(__file__).resolve().parent
+    out = Path(tempfile.mkdtemp(prefix="ledgerloom-py-")) / "ledgerloom_package.zip"
+    with zipfile.ZipFile(out, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(out))
+
+
+def stored(df, name: str):
+    """Write a frame below the shared checkpoint folder and read it back: cuts the lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,9 +8,11 @@ that funnels the whole mart through n tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 
 def write_partitioned(df: DataFrame, path: str, key: str = "CutoffDt", mode: str = "overwrite",
                       dynamic_overwrite: bool = False, max_records_per_file: int | None = None) -> None:
@@ -40,8 +42,7 @@ def write_sorted_csv(df: DataFrame, path: str, order_by: str = "AccountId",
     A range-partitioned sort: part files are in order, no single task holds
     the whole output. ``numeric`` orders a text id by its number.
     """
-    key = F.col(order_by).try_cast("long") if numeric else F.col(order_by)
-    df.orderBy(key.asc_nulls_last(), F.col(order_by)).write.mode(mode).option("header", True).csv(path)
+    df.orderBy(*id_order(order_by, numeric)).write.mode(mode).option("header", True).csv(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
@@ -60,6 +61,37 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
     w.jdbc(url, table, properties=props)
 
 
-def preview(df: DataFrame, n: int = 20) -> DataFrame:
-    """First ``n`` rows (SNK6); opt-in, it runs a partial job."""
-    return df.limit(n)
+def id_order(order_by: str, numeric: bool = True) -> list:
+    """Sort keys of an id column; ``numeric`` orders a text id by its number, others after them."""
+    if not numeric:
+        return [F.col(order_by).asc_nulls_last()]
+    return [F.col(order_by).try_cast("long").asc_nulls_last(), F.col(order_by).asc_nulls_last()]
+
+
+def preview(df: DataFrame, n: int = 20, order_by: str = "AccountId", numeric: bool = True,
+            then: tuple[str, ...] = ("CutoffDt",)) -> DataFrame:
+    """First ``n`` rows in the order of an id (ST3, SNK6).
+
+    Every task keeps its own first n rows and one task merges these: nothing is sorted as a whole.
+    """
+    return df.orderBy(*id_order(order_by, numeric), *(F.col(c).asc_nulls_last() for c in then)).limit(n)
+
+
+def ranked(df: DataFrame, order_by: str = "AccountId", numeric: bool = True, then: tuple[str, ...] = ("CutoffDt",),
+           name: str = "RowNumber") -> DataFrame:
+    """``df`` with its row numbers from 1 on in global order (ST1), without a window over all rows.
+
+    The rows are range-partitioned and sorted once and stored with their place in their task;
+    the tasks' sizes, one row each, give the numbers before each task. Rows that tie in every
+    key are numbered in the order in which they were read, so that a hot key is split like any other.
+    """
+    part, place, tie = "_part", "_place", "_tie"
+    keys = [*id_order(order_by, numeric), *(F.col(c).asc_nulls_last() for c in then), F.col(tie)]
+    rows = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    rows = stored(rows.select(*df.columns, F.spark_partition_id().alias(part), row.alias(place)), "ranked")
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(part).agg(F.count(F.lit(1)).alias("n")).select(  # one row per task
+        part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return rows.join(F.broadcast(sizes), part).select(
+        *df.columns, (F.col("before") + F.col(place) + 1).alias(name))

@@ -17,19 +17,27 @@ from pyspark.sql import types as T
 from ..schemas import PARTITION_KEYS, RAW_COLUMNS
 
 
+#: Column of a line that has other fields than its header (``read_csv(corrupt=True)``).
+CORRUPT = "_corrupt_line"
+
+
 def read_csv(spark: SparkSession, path: str, table: str | None = None,
-             columns: list[str] | None = None) -> DataFrame:
+             columns: list[str] | None = None, corrupt: bool = False) -> DataFrame:
     """Header CSV, all columns strings, resolved by header name (SRC1).
 
     The files' own header gives the columns; with a ``table`` (or ``columns``)
     its columns are selected by name, whatever their order and whatever other
     columns there are, and a missing one raises. Files of one path must share one
-    header; Spark checks each file's header and fails otherwise.
+    header; Spark checks each file's header and fails otherwise. ``corrupt`` adds the text
+    of lines with more or fewer fields than the header as ``CORRUPT`` (NULL for the others).
     """
     options = {"header": True, "delimiter": ",", "ignoreLeadingWhiteSpace": False,
                "ignoreTrailingWhiteSpace": False, "mode": "PERMISSIVE"}
     names = spark.read.options(**options).csv(path).columns  # reads one header line
     text = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
+    if corrupt:
+        text = text.add(CORRUPT, T.StringType())
+        options["columnNameOfCorruptRecord"] = CORRUPT
     df = spark.read.options(**options).option("enforceSchema", False).schema(text).csv(path)
     wanted = columns or (RAW_COLUMNS[table] if table is not None else None)
     if wanted is None:
@@ -37,7 +45,7 @@ def read_csv(spark: SparkSession, path: str, table: str | None = None,
     missing = [c for c in wanted if c.lower() not in {n.lower() for n in names}]
     if missing:
         raise ValueError(f"{path}: no column {', '.join(missing)}; the header has {names}")
-    return df.select(*[F.col(f"`{c}`").alias(c) for c in wanted])
+    return df.select(*[F.col(f"`{c}`").alias(c) for c in wanted], *([CORRUPT] if corrupt else []))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -83,12 +91,3 @@ def json_value(column: Column | str, dotted_key: str) -> Column:
     """Value at a dotted key path inside a JSON text column, as text (SRC6)."""
     c = F.col(column) if isinstance(column, str) else column
     return F.get_json_object(c, "$." + dotted_key)
-
-
-def register_views(tables, prefix: str = "") -> None:
-    """Name the ledger inputs for SQL (SRC7)."""
-    tables.clients.createOrReplaceTempView(prefix + "clients")
-    tables.accounts.createOrReplaceTempView(prefix + "accounts")
-    tables.operations.createOrReplaceTempView(prefix + "operations")
-    tables.rates.createOrReplaceTempView(prefix + "rates")
-    tables.keywords.createOrReplaceTempView(prefix + "tech_params")

@@ -1,11 +1,17 @@
 """Keyword matching modes, compiled and joined."""
 
+import re
+
 import pytest
+import regex
+from conftest import SF001
 from hypothesis import HealthCheck, Phase, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import matches
+from ledgerloom import fixtures
+from ledgerloom.functions.regex_literals import required
+from ledgerloom.functions.text import KeywordError, matches
 from ledgerloom.operators import keyword_join
 from ledgerloom.operators.keyword_join import tag
 
@@ -65,8 +71,9 @@ def test_one_answer_at_every_dictionary_size(spark, first, second, trim):
     df = spark.createDataFrame([(c,) for c in TEXTS], "Comment string").coalesce(1)
     for mode in ("token", "contains", "not_any", "regex"):
         words = kw
-        if mode == "regex":  # fragments that are not regular expressions on their own stay out
-            words = kw.filter("coalesce(list_1, '') NOT LIKE '%\\\\%'").filter("coalesce(list_2, '') NOT LIKE '%\\\\%'")
+        if mode == "regex":  # a backslash at the end is no regular expression: see test_invalid_expressions
+            ends = [F.coalesce(F.substring(F.col(c), -1, 1), F.lit("")) for c in ("list_1", "LIST_2")]
+            words = kw.filter((ends[0] != "\\") & (ends[1] != "\\"))
         modes = {"List_1": mode, "List_2": mode}
         got = []
         for limit in (0, 10_000):
@@ -92,3 +99,126 @@ def test_distributed_dictionary_in_marts(sf001_tables, monkeypatch):
             mp.setattr(keyword_join, "COMPILE_MAX", 0)
             b = payments_mart(sf001_tables, dialect)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, dialect
+
+
+EXPRESSIONS = ["(?i)q", "ring", "a(.)\\1", "(r)(i)\\2", "\\Qa.b", "^$", "x{0}", "(?:small|red) r[io]ng", "\\bring\\b", "[^a-zа-я ,]",
+               "(?x) r i n g  # all of it", "за +(?=small)", "", "a|b|", "(?<n>r)ing", "(?<n>r)ad", "q+u", "\\d$", "\\p{Lu}"]
+
+
+@pytest.mark.parametrize("block", [3, 256])
+def test_expressions_keep_to_themselves(spark, monkeypatch, block):
+    """Flags, group numbers and quotes of one word change nothing for another, at both sizes."""
+    texts = [*TEXTS, "RING", "Quiz", "quu", "abb", "rii", "a.b", "red rong", "ring1", "rad"]
+    df = spark.createDataFrame([(c,) for c in texts], "Comment string").coalesce(1)
+    kw = spark.createDataFrame([(w, None) for w in EXPRESSIONS[:3]] + [(None, w) for w in EXPRESSIONS], "List_1 string, List_2 string")
+    each = {w: {r[0]: r[1] for r in df.select("Comment", F.col("Comment").rlike(w)).collect()} for w in EXPRESSIONS}
+    want = sorted((str(t), any(each[w][t] or False for w in EXPRESSIONS[:3]), any(each[w][t] or False for w in EXPRESSIONS))
+                  for t in texts)
+    monkeypatch.setattr(keyword_join, "BLOCK", block)
+    for limit in (0, 10_000):
+        monkeypatch.setattr(keyword_join, "COMPILE_MAX", limit)
+        got = tag(df, kw, {"List_1": "regex", "List_2": "regex"}).collect()
+        assert sorted((str(r[0]), r[1], r[2]) for r in got) == want, limit
+    rows = keyword_join.match_rows(df, kw.select(F.lit(None).cast("string").alias("List_1"), "List_2"), "regex")
+    assert sorted(tuple(r) for r in rows.collect()) == sorted(
+        (t, "List_2", w) for t in texts if t is not None for w in EXPRESSIONS if each[w][t])
+
+
+@pytest.mark.parametrize("words", [["a(", "b)"], ["ring", "\\"], ["*"], ["[a"]])
+@pytest.mark.parametrize("limit", [0, 10_000])
+def test_invalid_expressions(spark, monkeypatch, words, limit):
+    """A word that is no expression on its own raises alike at both sizes, also where the join of all is one."""
+    kw = spark.createDataFrame([(w, None) for w in words], "List_1 string, List_2 string")
+    df = spark.createDataFrame([("ring",)], "Comment string")
+    monkeypatch.setattr(keyword_join, "COMPILE_MAX", limit)
+    with pytest.raises(KeywordError):
+        tag(df, kw, {"List_1": "regex", "List_2": "regex"}).collect()
+
+
+def test_required_literals():
+    for fragment, want in [
+            ("ring", [["ring"]]), ("(за|для) small,", [[" small,"], ["для", "за"]]), ("foo(bar|baz)?", [["foo"]]),
+            ("x+abc{2,3}d", [["xabcc"], ["ccd"], ["x"]]), ("(?i)q", []), ("(?i:ab)cd", [["cd"]]), ("ab|", []),
+            ("\\Qa.b\\E+c", [["a.b"], ["bc"]]), ("(?:abc|de)f?", [["abc", "de"]]), ("^a\\.b$", [["a.b"]]), ("[ab]c", [["c"]]),
+            ("(ab){2}", [["abab"]]), ("a{0}bc", [["bc"]]), ("(?=abc)de", [["de"]]), ("\\x41bc", []), ("(a", []),
+            ("(" * 5000 + "a" + ")" * 5000, [])]:
+        assert required(fragment) == want, fragment
+
+
+PIECES = ["a", "b", "ab", "(a|b)", "(?:ab)?", "c*", "c+", "[ab]", ".", "a{2}", "b{1,2}", "\\w", "^", "$", "(a(b|c))", "(?=b)", "|", "\\."]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=6), st.lists(st.text(alphabet="abc.", max_size=7), max_size=20))
+def test_required_literals_are_in_every_match(pieces, texts):
+    fragment = "".join(pieces)
+    try:
+        compiled = re.compile(fragment)
+    except re.error:
+        return
+    needs = required(fragment)
+    for t in texts:
+        if compiled.search(t):
+            assert all(any(x in t for x in some) for some in needs), (fragment, needs, t)
+
+
+@pytest.mark.parametrize("mode", ["contains", "token", "regex"])
+def test_match_rows(spark, monkeypatch, mode):
+    """One row per operation and word, with a comment that a third of the rows share."""
+    monkeypatch.setattr(keyword_join, "HOT", 10)
+    texts = TEXTS * 3 + ["за small ring, x"] * 40 + [None] * 30
+    words = ["ring", "small ring", "r_ng", "%", "а", "ring", "нет", " ", "b c"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(texts)], "id long, Comment string").repartition(4)
+    kw = spark.createDataFrame([(w, None) for w in words] + [(None, "ring")], "List_1 string, List_2 string")
+
+    def hit(w, t):
+        if mode == "regex":
+            return re.search(w, t) is not None
+        like = "".join({"%": ".*", "_": "."}.get(x, re.escape(x)) for x in w)
+        return re.fullmatch(f".* {like},.*" if mode == "token" else f".*{like}.*", t, re.S) is not None
+
+    want = sorted((i, t, x, w) for i, t in enumerate(texts) if t is not None
+                  for x, w in [*(("List_1", w) for w in set(words)), ("List_2", "ring")] if hit(w, t))
+    got = keyword_join.match_rows(df, kw, mode)
+    assert sorted(tuple(r) for r in got.collect()) == want
+    counts = {(r["list"], r["word"]): (r["operations"], r["comments"])
+              for r in keyword_join.match_counts(df, kw, mode).collect()}
+    for x, w in counts:
+        mine = [t for _, t, y, v in want if (y, v) == (x, w)]
+        assert counts[x, w] == (len(mine), len(set(mine)))
+    assert len(counts) == len(set(words)) + 1
+
+
+def test_large_regex_dictionary_against_brute_force(spark, sf001_tables):
+    """The registered large dictionaries, every operation of the smallest table against every expression."""
+    kw = fixtures.large_patterns(spark, SF001)
+    ops = sf001_tables.operations.select("Comment")
+    got = {r[0]: (r[1], r[2]) for r in tag(ops, kw, {"List_1": "regex", "List_2": "regex"}, trim_comment=True,
+                                           trim_words=True).distinct().collect()}
+    lists = {x: "|".join(f"(?:{r[0]})" for r in kw.select(x).distinct().collect() if r[0] is not None)
+             for x in ("List_1", "List_2")}
+    both = [regex.compile(lists[x].replace("(?iu:", "(?i:")) for x in ("List_1", "List_2")]
+    for text, flags in list(got.items())[::7]:
+        assert flags == tuple(p.search(text) is not None for p in both), text
+
+
+def test_no_pairwise_join_in_large_plans(spark):
+    from ledgerloom.queries import QUERIES
+
+    for name in ("kw_regex_large", "kw_matches", "kw_match_rows"):
+        plan = QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+@pytest.mark.parametrize("limit", [0, 10_000])
+def test_folded(spark, monkeypatch, limit):
+    """Latin and Cyrillic look-alikes and capitals meet; NULL comments and empty lists as ever."""
+    monkeypatch.setattr(keyword_join, "COMPILE_MAX", limit)
+    texts = ["купил FORD", "купил fоrd", "вмw x5", "BMW X5", "ford", None, "лада", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "Comment string")
+    kw = spark.createDataFrame([("фord", None), ("fоrd", None), ("бмв", None), ("вмw", None)], "list_1 string, LIST_2 string")
+    got = {r[0]: (r[1], r[2]) for r in keyword_join.tag_folded(df, kw, {"List_1": "contains", "List_2": "token"}).collect()}
+    assert {t for t, (a, _) in got.items() if a} == {"купил FORD", "купил fоrd", "вмw x5", "BMW X5", "ford"}
+    assert not any(b for _, b in got.values())
+    with pytest.raises(ValueError, match="not folded"):
+        keyword_join.tag_folded(df, kw, {"List_1": "regex"})

@@ -72,3 +72,27 @@ def test_kernel_scan_is_pruned(spark):
     plan = _plan(QUERIES["kernel"](spark, SF001))
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     assert "struct<AccountDB:string,AccountCR:string>" in schemas
+
+
+def test_correlated_subqueries_become_hash_joins(spark):
+    """Seven scalar subqueries per kernel row: aggregates joined by key, no nested loop, one scan of the comments' flags."""
+    plan = _plan(QUERIES["sql_text_correlated"](spark, SF001))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "Subquery:" not in plan or "outer(" not in plan
+
+
+@pytest.mark.parametrize("name", ["amt_tax", "amt_clear", "amt_fl"])
+def test_counterparty_meets_sums_only(spark, name):
+    """Operations are summed by (debit, credit, date) before the counterparty join."""
+    df = QUERIES[name](spark, SF001)
+    plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [i for i, line in enumerate(plan) if "Join Inner" in line and "AccountDB" in "".join(plan[i:i + 3])]
+    assert joins, plan
+    first_sum = next(i for i, line in enumerate(plan) if "Aggregate [AccountDB#" in line and "AccountCR#" in line)
+    rate_join = max(i for i, line in enumerate(plan) if "Currency#" in line and "Join" in line)
+    assert joins[0] < first_sum < rate_join
+
+
+def test_sql_chain_sends_no_matched_comment(spark):
+    keys = _shuffle_keys(_plan(QUERIES["sql_text_payments"](spark, SF001)))
+    assert "AccountDB, AccountCR, DateOp, amt, Comment" not in keys
