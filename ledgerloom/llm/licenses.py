@@ -183,15 +183,19 @@ class Templates:
             name, g = self.rows[i]
             n, most = len(g), len(g) * (2 - d) / d + 1e-9
             inside = np.fromiter((x in g for x in grams), bool, len(grams))
+            # How many of the template's bigrams a window from each word on can gain at most.
+            final = np.zeros(len(grams), np.int64)
+            final[[last[x] for x in g if x in last]] = 1
+            left = np.cumsum(final[::-1])[::-1]
             for s in np.flatnonzero(inside).tolist():
                 reach = int(most) + 2
                 while True:
                     fresh = before[s:s + reach] < s
-                    size = np.cumsum(fresh)
-                    if size[-1] > most or s + reach >= len(grams):
-                        break
+                    size, hits = np.cumsum(fresh), np.cumsum(fresh & inside[s:s + reach])
+                    if size[-1] > most or hits[-1] == left[s] or s + reach >= len(grams):
+                        break  # from here on the coefficient only falls
                     reach *= 2
-                dice = 2 * np.cumsum(fresh & inside[s:s + reach]) / (size + n)
+                dice = 2 * hits / (size + n)
                 at = int(np.argmax(dice))
                 if dice[at] >= d:
                     yield float(dice[at]), name, n, words[s][1], words[s + at + 1][2]

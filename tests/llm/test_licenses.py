@@ -1,5 +1,8 @@
+import random
+
 from helpers import LONG, ODD, documents
 
+from ledgerloom.llm import licenses
 from ledgerloom.llm.licenses import DICE, TEMPLATES, Templates, bigrams, matches, scan, units
 
 FULL = {name: texts[-1] for name, texts in TEMPLATES.items()}
@@ -67,3 +70,47 @@ def test_scan(spark):
     assert hit["spans"][0]["start"] == len(LONG) + 1
     assert all(r["n_matches"] == 0 and r["best_license"] is None for i, rs in got.items() if i != 50 for r in rs)
     assert scan(documents(spark, [])).count() == 0
+
+
+def test_windows_against_brute_force():
+    """Every start's best end, over all ends, for templates that share words and texts that repeat them."""
+    rnd = random.Random(7)
+    texts = {"A": ["one two three four five six seven"], "B": ["one two six seven eight one two"], "C": ["nine ten"]}
+    templates = licenses.Templates(texts)
+    pool = "one two three four five six seven eight nine ten x".split()
+    for _ in range(150):
+        words = []
+        for _ in range(rnd.randrange(7)):
+            words += rnd.choice([texts["A"][0].split(), texts["B"][0].split(), [rnd.choice(pool) for _ in range(4)]])
+            if words and rnd.random() < 0.3:
+                words[rnd.randrange(len(words))] = "edit"
+        text = " ".join(words)
+        at = [m.start() for m in licenses.WORDS.finditer(text)]
+        want = set()
+        for name, (template,) in texts.items():
+            g = licenses.bigrams(template)
+            for s in range(len(words) - 1):
+                if (words[s], words[s + 1]) not in g:
+                    continue
+                scores = []
+                for e in range(s + 2, len(words) + 1):
+                    got = set(zip(words[s:e], words[s + 1:e], strict=False))
+                    scores.append((2 * len(got & g) / (len(got) + len(g)), -e))
+                best, e = max(scores)
+                if best >= licenses.DICE:
+                    want.add((round(best, 9), name, at[s], at[-e - 1] + len(words[-e - 1])))
+        got = {(round(d, 9), name, a, b) for d, name, _, a, b in templates.windows(text)}
+        assert got == want, text
+
+
+def test_many_equal_licences_in_linear_time():
+    import time
+
+    notice = licenses.TEMPLATES["MIT"][0]
+    templates, took = licenses.Templates(), []
+    for n in (20, 200):
+        start = time.perf_counter()
+        found = licenses.matches("\n\n".join([notice] * n), templates)
+        took.append(time.perf_counter() - start)
+        assert [x[0] for x in found] == ["MIT"] * len(found) and found
+    assert took[1] < 40 * took[0]
