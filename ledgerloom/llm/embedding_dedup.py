@@ -37,6 +37,8 @@ CELL = 8_192
 PIVOTS = 16_384
 #: Cell members on either side of a tile.
 TILE = 4_096
+#: Vector-pivot pairs that a task holds at a time.
+CELLS = 1 << 21
 #: Slack for rounding in the cell tests; the link test itself is exact.
 SLACK = 1e-6
 
@@ -81,7 +83,8 @@ def cells_of(x: np.ndarray, pivots: np.ndarray, r: float) -> tuple[np.ndarray, n
     cos = np.clip(x @ pivots.T, -1, 1)
     home = cos.argmax(axis=1)
     near = cos[np.arange(len(x)), home][:, None]
-    gap = np.sqrt(np.maximum(0, 2 - 2 * np.clip(pivots @ pivots.T, -1, 1)))[home]
+    homes, row = np.unique(home, return_inverse=True)  # only these pivots' distances to the others
+    gap = np.sqrt(np.maximum(0, 2 - 2 * np.clip(pivots[homes] @ pivots.T, -1, 1)))[row]
     triangle = np.sqrt(2 - 2 * cos) <= np.sqrt(np.maximum(0, 2 - 2 * near)) + 2 * r + SLACK
     plane = near - cos <= (r + SLACK) * gap + SLACK
     member = triangle & plane
@@ -143,8 +146,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL
                     cells += [0] * len(rows)
                     home += [True] * len(rows)
                     continue
-                for j in range(0, len(rows), 1024):
-                    part = rows[j:j + 1024]
+                step = max(1, CELLS // len(p))
+                for j in range(0, len(rows), step):
+                    part = rows[j:j + step]
                     x = units(vec.take(pa.array(part)).flatten().to_numpy(zero_copy_only=False), len(part))
                     h, member = cells_of(x, p, r)
                     who, where = np.nonzero(member)

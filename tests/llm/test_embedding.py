@@ -81,3 +81,21 @@ def test_cells_hold_every_partner():
 
 def test_empty(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_dealing_holds_a_bounded_matrix():
+    """Peak memory of dealing is that of its pairs, whatever the number of pivots."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    peaks = []
+    for n in (1024, 16_384):
+        pivots = rng.normal(size=(n, 16))
+        pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
+        x = pivots[: embedding_dedup.CELLS // n]
+        tracemalloc.start()
+        home, member = embedding_dedup.cells_of(x, pivots, 0.2)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert (home == np.arange(len(x))).all() and member[np.arange(len(x)), home].all()
+    assert peaks[1] < 2 * peaks[0] and peaks[1] < 200 << 20
