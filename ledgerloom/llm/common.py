@@ -3,34 +3,20 @@ connected components."""
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
-from pathlib import Path
-
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.session import checkpoint_root, scratch_path
+from ledgerloom.session import ship_package as ship
 
 #: Words of a text: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, for the functions that run there."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    _shipped.add(sc.applicationId)
-    package = Path(__file__).resolve().parents[1]
-    out = Path(tempfile.mkdtemp(prefix="ledgerloom-py-")) / "ledgerloom_package.zip"
-    with zipfile.ZipFile(out, "w") as z:
-        for f in sorted(package.rglob("*.py")):
-            z.write(f, f.relative_to(package.parent))
-    sc.addPyFile(str(out))
+#: Bits of the filter of ``without`` (8 MB), and bits set for a key.
+FILTER_BITS, FILTER_HASHES = 1 << 26, 4
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,11 +65,45 @@ def keyed(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, str]:
     return stored(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
 
 
+def _hashes(column: str) -> tuple[Column, Column]:
+    """Start and step of a key's bits."""
+    return (F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)), F.pmod(F.xxhash64(column, F.lit(1)), F.lit(FILTER_BITS)))
+
+
+def key_filter(keys: DataFrame, column: str) -> np.ndarray:
+    """A Bloom filter of the keys as 64-bit words: ``FILTER_BITS`` bits whatever their number."""
+    h, step = _hashes(column)
+    spots = F.explode(F.array(*((h + step * i) % FILTER_BITS for i in range(FILTER_HASHES))))
+    words = keys.select(spots.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out
+
+
 def without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose key is not in ``gone`` (one column, unique keys)."""
-    k = fresh(docs, "_gone_key")
-    kept = docs.join(gone.toDF(k), F.col(key) == F.col(k), "left_anti")
-    return kept
+    """Rows of ``docs`` whose key is not in ``gone`` (one column, unique keys).
+
+    Rows that a filter of the gone keys shows to stay are passed on where they lie. Only
+    the others, those that go and a few more, meet the gone keys in a shuffle; a filter that is too
+    small for very many keys makes more rows move, not another result.
+    """
+    k, may = fresh(docs, "_gone_key"), fresh(docs, "_may_go")
+    gone = stored(gone.toDF(k), "gone")
+    shared = docs.sparkSession.sparkContext.broadcast(key_filter(gone, k))
+
+    @F.pandas_udf("boolean")
+    def known(h, step):
+        h, step = h.to_numpy(), step.to_numpy()
+        hit = np.ones(len(h), bool)
+        for i in range(FILTER_HASHES):
+            at = (h + step * i) % FILTER_BITS
+            hit &= (shared.value[at >> 6] >> (at & 63)) & 1 == 1
+        return pd.Series(hit)
+
+    marked = docs.withColumn(may, known(*_hashes(key)))
+    kept = marked.where(F.col(may)).join(gone, F.col(key) == F.col(k), "left_anti")
+    return marked.where(~F.col(may)).unionByName(kept).drop(may)
 
 
 def components(edges: DataFrame) -> DataFrame:

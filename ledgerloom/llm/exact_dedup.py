@@ -117,13 +117,13 @@ def dedup(docs: DataFrame, k: int = COUNTERS) -> DataFrame:
     digests = stored(docs.select(F.col("doc_id").alias("doc_id"), F.col(key).alias("key"),
                                  digest("text").alias("digest")), "digests")
     heavy = heavy_hitters(digests, k)
-    d, w, win = (fresh(docs, x) for x in ("_digest", "_wdigest", "_winner"))
-    winners = F.broadcast(heavy.select(F.col("digest").alias(w), F.col("keep.key").alias(win)))
-    left = (docs.withColumn(d, digest("text")).join(winners, F.col(d) == F.col(w), "left")
-            .where(F.col(win).isNull() | (F.col(win) == F.col(key))).select(*docs.columns))
     rest = digests.join(F.broadcast(heavy.select("digest")), "digest", "left_anti")
     few = rest.groupBy("digest").agg(F.max(F.struct("doc_id", "key")).alias("keep"),
                                      F.count(F.lit(1)).alias("n")).where("n > 1")
     gone = rest.join(few, "digest").where(F.col("key") != F.col("keep.key")).select("key")
-    out = without(left, key, gone)
+    left = without(docs, key, gone)
+    d, w, win = (fresh(docs, x) for x in ("_digest", "_wdigest", "_winner"))
+    winners = F.broadcast(heavy.select(F.col("digest").alias(w), F.col("keep.key").alias(win)))
+    out = (left.withColumn(d, digest("text")).join(winners, F.col(d) == F.col(w), "left")
+           .where(F.col(win).isNull() | (F.col(win) == F.col(key))).select(*docs.columns))
     return out if key == "doc_id" else out.drop(key)

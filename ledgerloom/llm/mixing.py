@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import fresh, keyed, stored
+from ledgerloom.llm.common import fresh, keyed, stored, without
 
 #: Labelled rows that the classifier is fitted on, at most about so many.
 EXAMPLES = 20_000
@@ -246,12 +246,11 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], most: f
     """The rows of ``docs`` at their rates: dropped, kept, or repeated."""
     docs, key = keyed(docs)
     got = copies(document_rates(docs, labelled, targets, most, anchor, key)[0])
-    k, n = fresh(docs, "_mix_key"), fresh(docs, "_mix_copies")
-    # Rows that stay as they are need no partner: only the others are joined.
-    other = got.where("copies != 1").select(F.col("key").alias(k), F.col("copies").alias(n))
-    out = docs.join(other, F.col(key) == F.col(k), "left").withColumn(n, F.coalesce(n, F.lit(1)))
-    out = out.where(F.col(n) > 0)
+    out = without(docs, key, got.where("copies = 0").select("key"))
     if most is None or most > 1:
-        out = out.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n))))
-    out = out.drop(k, n)
+        # Rows that stay as they are need no partner: only repeated ones are joined.
+        k, n = fresh(docs, "_mix_key"), fresh(docs, "_mix_copies")
+        more = got.where("copies > 1").select(F.col("key").alias(k), F.col("copies").alias(n))
+        out = out.join(more, F.col(key) == F.col(k), "left").withColumn(
+            n, F.explode(F.sequence(F.lit(1), F.coalesce(n, F.lit(1))))).drop(k, n)
     return out if key == "doc_id" else out.drop(key)
