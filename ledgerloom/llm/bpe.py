@@ -1,22 +1,24 @@
 """BPE encoding and decoding over a distinct-word table.
 
 1. Spark splits every whole text into the byte-level BPE's words (native
-   regular expression) and counts them with map-side combine.
-2. Each distinct word is encoded once, by one tokenizers call per batch; the
-   word table (word, number, ids) is stored in the shared folder.
-3. The ``HEAD`` most frequent words, each of at most ``HEAD_BYTES`` bytes, are
-   broadcast: at most 64 MB whatever the corpus. Their ids join back where the
-   words lie. A document travels as its words' ranks (one to three bytes per word),
-   never as text.
-4. The other words join the word table by an ordinary shuffle as (document,
-   position, word) rows and come back to their documents by position. With no
-   more than ``HEAD`` distinct words there are none, and no document moves.
-5. Decoding looks each id up in the id-to-piece table (fixed size: the
+   regular expression). Each task numbers the distinct words of a chunk of texts
+   (an Arrow batch, cut at ``CHUNK`` words) and sends each once as (word, chunk, number).
+2. These rows are shuffled and sorted by word, so each distinct word of the whole table
+   meets one task, which encodes it once and sends its ids back to every (chunk, number).
+3. The texts travel as the numbers of their words (one to three bytes each), never as text, in the
+   same shuffle by chunk. There each text's numbers join the chunk's ids by position. A task holds one
+   chunk's ids at a time; nothing is broadcast or brought to the driver, and the
+   work is the same at every number of distinct words.
+4. Decoding looks each id up in the id-to-piece table (fixed size: the
    vocabulary) and joins the pieces' bytes; bytes that are no UTF-8 become
    U+FFFD as in the library.
 
+Texts are split twice, for the words and for the numbers, which is cheaper than storing either. Both
+passes must see the same rows in the same order: files give that, also to a task that is run
+again, and anything else is stored first. A chunk whose numbers do not fit raises.
+
 Results for odd input: null texts encode as empty; documents are addressed by a
-row key, so null or repeated ids keep one row each; an empty table gives no
+row of their own, so null or repeated ids keep one row each; an empty table gives no
 rows; the tokenizer's special token in a text is one id, as in the library.
 """
 
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,11 +36,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import fresh, keyed, stored
+from ledgerloom.llm.common import stored
 
-#: Words whose ids are broadcast, at most so many of at most so many bytes.
-HEAD = 1 << 20
-HEAD_BYTES = 64
+#: Words of texts that are numbered together; a longer text is a chunk of its own.
+CHUNK = 1 << 22
 
 # Fixed: Unicode white space.
 SPACE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -94,30 +96,77 @@ def tokenizer(path: str):
     return t
 
 
-def word_counts(docs: DataFrame, path: str) -> DataFrame:
-    """``word, n``: distinct words, counted in the map tasks first."""
+def replayable(docs: DataFrame) -> DataFrame:
+    """The frame if it is a plain scan of files, whose rows come in the same order each time; else a stored copy."""
+    plan = docs._jdf.queryExecution().sparkPlan().toString()
+    nodes = set(re.findall(r"^[ :+*()\d-]*([A-Za-z]+)", plan, re.M))
+    return docs if nodes <= {"FileScan", "Project", "Filter", "ColumnarToRow"} else stored(docs, "bpe-docs")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            seen = pc.value_counts(word_lists(b.column(0), b.column(1), path).flatten())
-            yield pa.RecordBatch.from_arrays([seen.field(0), seen.field(1)], ["word", "n"])
 
-    return (cut(docs).mapInArrow(run, "word string, n long")
-            .groupBy("word").agg(F.sum("n").alias("n")))
+def chunks(n: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of n words each: about ``size`` words, at least one text."""
+    ends, a = np.concatenate(([0], np.cumsum(n))), 0
+    while a < len(n):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + size, "right")) - 1)
+        yield a, b
+        a = b
+
+
+def numbered(batches: Iterator[pa.RecordBatch], path: str, size: int) -> Iterator[tuple]:
+    """``chunk, first row, last row, batch, words per text, numbers, distinct words`` of partition, words, raw texts, .."""
+    count = 0
+    for b in batches:
+        lists = word_lists(b.column(1), b.column(2), path)
+        n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat, at = lists.flatten(), np.concatenate(([0], np.cumsum(n)))
+        for i, j in chunks(n, size):
+            chunk = (b.column(0)[0].as_py() << 32) + count
+            count += 1
+            coded = flat.slice(at[i], at[j] - at[i]).dictionary_encode()
+            if not isinstance(coded, pa.DictionaryArray):
+                coded = coded.combine_chunks()
+            yield chunk, i, j, b, n[i:j], coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
 
 
-def encode_words(counts: DataFrame, path: str) -> DataFrame:
-    """``word, n, ids``: every distinct word encoded once."""
+def id_type(path: str) -> str:
+    """The narrowest type that holds every id."""
+    return "<u2" if tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
+def encode_words(words: DataFrame, path: str) -> DataFrame:
+    """``chunk, numbers, sizes, ids`` of ``word, chunk, number`` rows: every distinct word is encoded once.
+
+    Numbers are packed as steps from one to the next, in order.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tokenizer(path)
-        for b in batches:
-            got = t.encode_batch_fast(b.column(0).to_pylist(), add_special_tokens=False)
+        t, kind = tokenizer(path), id_type(path)
+        last, last_ids = None, b""
+        for b in batches:  # sorted: equal words lie side by side, the first may go on from the batch before
+            coded = b.column(0).dictionary_encode()
+            distinct = coded.dictionary.to_pylist()
+            new = distinct[1:] if distinct and distinct[0] == last else distinct
+            got = [np.array(e.ids, kind).tobytes() for e in t.encode_batch_fast(new, add_special_tokens=False)]
+            ids = got if len(new) == len(distinct) else [last_ids, *got]
+            if distinct:
+                last, last_ids = distinct[-1], ids[-1]
+            width = np.dtype(kind).itemsize
+            table = Ragged(np.frombuffer(b"".join(ids), kind), np.array([len(x) // width for x in ids], np.int64))
+            chunk, number = b.column(1).to_numpy(), b.column(2).to_numpy().astype(np.int64)
+            order = np.lexsort((number, chunk))
+            chunk, number = chunk[order], number[order]
+            flat, n = table.take(coded.indices.to_numpy()[order])
+            cuts = np.flatnonzero(np.diff(chunk, prepend=-1))
+            ends = np.concatenate(([0], np.cumsum(n)))
+            rows = [(int(chunk[i]), pack(np.diff(number[i:j], prepend=0)).tobytes(), pack(n[i:j]).tobytes(),
+                     flat[ends[i]:ends[j]].tobytes()) for i, j in zip(cuts, [*cuts[1:], len(chunk)], strict=True)]
+            cols = zip(*rows, strict=True) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array([np.array(e.ids, "<u4").tobytes() for e in got], pa.binary())],
-                ["word", "n", "ids"])
+                [pa.array(list(c), k) for c, k in zip(cols, [pa.int64(), *[pa.binary()] * 3], strict=True)],
+                ["chunk", "numbers", "sizes", "ids"])
 
-    return counts.mapInArrow(run, "word string, n long, ids binary")
+    return words.repartition("word").sortWithinPartitions("word").mapInArrow(
+        run, "chunk long, numbers binary, sizes binary, ids binary")
 
 
 class Ragged:
@@ -188,112 +237,83 @@ def decode(ids: np.ndarray, table: Ragged) -> bytes:
     return table.take(ids.astype(np.int64))[0].tobytes().decode("utf-8", "replace").encode()
 
 
-def head_of(table: DataFrame, head: int) -> tuple[pa.Array, Ragged]:
-    """The most frequent short words in order, and their ids from row 1 on (row 0: none)."""
-    short = table.where(F.octet_length("word") <= HEAD_BYTES)
-    top = short.orderBy(F.desc("n"), "word").limit(head).select("word", "ids").toArrow()
-    ids = top.column("ids").combine_chunks()
-    n = pc.binary_length(ids).to_numpy(zero_copy_only=False) // 4 if len(ids) else np.zeros(0, np.int64)
-    flat = np.frombuffer(b"".join(ids.to_pylist()), "<u4").copy()
-    return top.column("word").combine_chunks(), Ragged(flat, np.concatenate(([0], n)))
+def encode(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
+    """``doc_id, ids`` (array of ints) of every row of ``docs``."""
+    return _encoded(docs, path, lambda ids: (ids.tolist(),), "ids array<int>", [pa.list_(pa.int32())], chunk)
 
 
-def encode(docs: DataFrame, path: str, head: int = HEAD) -> DataFrame:
-    """``key, doc_id, ids`` (array of ints) of every row of ``docs``; see ``encoded``."""
-    rows, _ = _encoded(docs, path, head, lambda ids: (ids.tolist(),), "ids array<int>",
-                       [pa.list_(pa.int32())])
-    return rows
-
-
-def digests(docs: DataFrame, path: str, head: int = HEAD) -> DataFrame:
+def digests(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row of ``docs``."""
 
     def summary(ids: np.ndarray) -> tuple:
         return (len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
                 hashlib.sha256(decode(ids, pieces(path))).hexdigest())
 
-    rows, key = _encoded(docs, path, head, summary, "n_tokens long, ids_sha256 string, decoded_sha256 string",
-                         [pa.int64(), pa.string(), pa.string()])
-    return rows.drop("key")
+    return _encoded(docs, path, summary, "n_tokens long, ids_sha256 string, decoded_sha256 string",
+                    [pa.int64(), pa.string(), pa.string()], chunk)
+
 
+def _chunk_table(parts: list[tuple[bytes, bytes, bytes]], kind: str) -> Ragged:
+    """The ids of a chunk's words by number."""
+    number = np.concatenate([np.zeros(0, np.int64), *(np.cumsum(unpack(p[0])) for p in parts)])
+    table = Ragged(np.frombuffer(b"".join(p[2] for p in parts), kind), unpack(b"".join(p[1] for p in parts)))
+    at = np.full(len(number), -1)
+    if len(number) and number.max() < len(number):
+        at[number] = np.arange(len(number))
+    if (at < 0).any():
+        raise RuntimeError("a chunk's words came back incomplete: its texts were not read in the same order twice")
+    return Ragged(*table.take(at))
 
-def _encoded(docs: DataFrame, path: str, head: int, result, schema: str, kinds: list) -> tuple[DataFrame, str]:
+
+def _encoded(docs: DataFrame, path: str, result, schema: str, kinds: list, size: int) -> DataFrame:
     """Apply ``result`` to every document's ids; one output row per document."""
-    docs, key = keyed(docs.select("doc_id", "text"))
-    table = stored(encode_words(word_counts(docs, path), path), "bpe-words")
-    known, ids_of = head_of(table, head)
-    shared = docs.sparkSession.sparkContext.broadcast((known, ids_of))  # bounded by head * HEAD_BYTES
-    types = dict(docs.dtypes)
-    texts = cut(docs, F.col(key).alias("key"), F.col("doc_id").alias("doc_id"))
-    out = f"key {types[key]}, doc_id {types['doc_id']}, {schema}"
-    names = ["key", "doc_id", *(x.split()[0] for x in schema.split(", "))]
-
-    def ranks(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-        """Number of words by row, the words' ranks from 1 on (0: not in the head), the words."""
-        lists = word_lists(b.column(2), b.column(3), path)
-        flat = lists.flatten()
-        if not len(flat):
-            return np.zeros(len(b), np.int64), np.zeros(0, np.int64), flat
-        coded = flat.dictionary_encode()
-        rank = pc.index_in(coded.dictionary, value_set=shared.value[0]).fill_null(-1).to_numpy(zero_copy_only=False) + 1
-        n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        return n, rank[coded.indices.to_numpy(zero_copy_only=False)].astype(np.int64), flat
-
-    def rows_of(key_col, doc_col, made: list[tuple]) -> pa.RecordBatch:
-        cols = zip(*made, strict=True) if made else [[] for _ in kinds]
-        return pa.RecordBatch.from_arrays(
-            [key_col, doc_col, *(pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True))], names)
-
-    if table.count() <= len(known):
-        def direct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                n, rank, _ = ranks(b)
-                ends = np.cumsum(n)
-                made = [result(shared.value[1].take(rank[e - k:e])[0]) for k, e in zip(n, ends, strict=True)]
-                yield rows_of(b.column(0), b.column(1), made)
-
-        return texts.mapInArrow(direct, out), key
-
-    def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n, rank, flat = ranks(b)
-            at = np.flatnonzero(rank == 0)
-            row = np.repeat(np.arange(len(b)), n)[at]
+    docs = replayable(docs.select("doc_id", "text"))
+    kind = dict(docs.dtypes)["doc_id"]
+    texts = cut(docs, F.spark_partition_id().alias("part"))
+    with_ids = cut(docs, F.spark_partition_id().alias("part"), F.col("doc_id").alias("doc_id")).select(
+        "part", "w", "raw", "doc_id")
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, _, _, _, _, _, distinct in numbered(batches, path, size):
+            m = len(distinct)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(row)), pa.array((at - (np.cumsum(n) - n)[row]).astype(np.int32)),
-                 flat.take(pa.array(at))], ["key", "pos", "word"])
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n, rank, _ = ranks(b)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pack_rows(rank, n)],
-                                             ["key", "doc_id", "code"])
-
-    # Words outside the head: (key, pos, word) -> ids -> per document, in order.
-    rare = table.select("word", "ids")
-    by_doc = (texts.mapInArrow(tails, f"key {types[key]}, pos int, word string").join(rare, "word")
-              .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("got"))
-              .select(F.col("key").alias("tkey"), F.col("got.ids").alias("tail")))
-    codes = texts.mapInArrow(packed, f"key {types[key]}, doc_id {types['doc_id']}, code binary")
-    whole = codes.join(by_doc, F.col("key") == F.col("tkey"), "left").select("key", "doc_id", "code", "tail")
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head_ids = shared.value[1]
-        for b in batches:
+                [distinct, pa.array(np.full(m, chunk, np.int64)), pa.array(np.arange(m, dtype=np.int32))],
+                ["word", "chunk", "number"])
+
+    def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, i, j, b, n, numbers, _ in numbered(batches, path, size):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(j - i, chunk, np.int64)), b.column(3).slice(i, j - i),
+                 pack_rows(numbers.astype(np.int64), n)], ["chunk", "doc_id", "code"])
+
+    none = F.lit(None).cast("binary")
+    ids = encode_words(texts.mapInArrow(words, "word string, chunk long, number int"), path).select(
+        "chunk", F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("doc_id"), none.alias("code"),
+        "numbers", "sizes", "ids")
+    numbers = with_ids.mapInArrow(codes, f"chunk long, doc_id {kind}, code binary").select(
+        "chunk", F.lit(1).alias("kind"), "doc_id", "code", none.alias("numbers"), none.alias("sizes"), none.alias("ids"))
+    names = ["doc_id", *(x.split()[0] for x in schema.split(", "))]
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, parts, table, width = None, [], None, id_type(path)
+        for b in batches:  # by chunk: first its words' ids, then its texts
             made = []
-            for code, tail in zip(b.column(2), b.column(3), strict=True):
-                rank = unpack(code.as_py())
-                got = tail.as_py() or []
-                flat, n = head_ids.take(rank)
-                here = rank == 0
-                if got:
-                    n[here] = [len(x) // 4 for x in got]
-                    ids = np.empty(n.sum(), np.uint32)
-                    late = np.repeat(here, n)
-                    ids[late] = np.frombuffer(b"".join(got), "<u4")
-                    ids[~late] = flat
-                    flat = ids
-                made.append(result(flat))
-            yield rows_of(b.column(0), b.column(1), made)
-
-    return whole.mapInArrow(merge, out), key
+            which = b.column(0).to_numpy()
+            is_text = b.column(1).to_numpy() == 1
+            code, number, size, found = (b.column(k) for k in (3, 4, 5, 6))
+            for i in range(len(b)):
+                if which[i] != chunk:
+                    chunk, parts, table = which[i], [], None
+                if not is_text[i]:
+                    parts.append((number[i].as_py(), size[i].as_py(), found[i].as_py()))
+                    continue
+                if table is None:
+                    table, parts = _chunk_table(parts, width), []
+                made.append(result(table.take(unpack(code[i].as_py()))[0]))
+            cols = zip(*made, strict=True) if made else [[] for _ in kinds]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(2).filter(pa.array(is_text)),
+                 *(pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True))], names)
+
+    both = ids.unionByName(numbers).repartition("chunk").sortWithinPartitions("chunk", "kind")
+    return both.mapInArrow(join, f"doc_id {kind}, {schema}")

@@ -24,10 +24,10 @@ def brute(pairs):
     return out
 
 
-@pytest.mark.parametrize("head", [0, 200, bpe.HEAD])
-def test_matches_the_library(spark, head):
+@pytest.mark.parametrize("chunk", [1, 5000, bpe.CHUNK])
+def test_matches_the_library(spark, chunk):
     pairs = ODD + HARD + [(r["doc_id"] + 2000, r["text"]) for r in rows("documents")]
-    got = bpe.digests(documents(spark, pairs, clashes=True), tokenizer_path(), head).collect()
+    got = bpe.digests(documents(spark, pairs, clashes=True), tokenizer_path(), chunk).collect()
     assert Counter(tuple(r) for r in got) == brute(pairs)
 
 
@@ -36,7 +36,7 @@ def test_ids_and_round_trip(spark):
     t = Tokenizer.from_file(tokenizer_path())
     table = bpe.pieces(tokenizer_path())
     text = dict(pairs)
-    for r in bpe.encode(documents(spark, pairs), tokenizer_path(), 100).collect():
+    for r in bpe.encode(documents(spark, pairs), tokenizer_path()).collect():
         assert r["ids"] == t.encode(text[r["doc_id"]], add_special_tokens=False).ids
         assert bpe.decode(np.array(r["ids"], np.uint32), table).decode() == text[r["doc_id"]]
 
