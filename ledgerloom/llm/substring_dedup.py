@@ -26,8 +26,8 @@ where the rows lie, those of the others joined back. Texts with many equal copie
 are resolved before by their digest, from broadcast winners.
 
 Verify. Where one key has several spans (around edits), the first
-rows of each span are compared window by window: by two independent 64-bit
-hashes of the window's words. Documents that need this are stored
+rows of each span are compared window by window: by two 64-bit hashes of the
+window's words, each from word names of its own, as key and span are. Documents that need this are stored
 with their state; no other text is shuffled a second time.
 
 Results for odd input: null texts have no words; texts of fewer than WINDOW
@@ -56,8 +56,9 @@ MARGIN = 2
 CHUNK = 1 << 20
 FAR = 1 << 40
 
-# Odd multipliers of the polynomial hashes.
-BYTE_BASE, KEY_BASE, SPAN_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
+# Odd multipliers of the hashes of word sequences.
+KEY_BASE, SPAN_BASE = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # the first k bytes of eight
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -89,16 +90,33 @@ class Sums:
                    + (stops - starts).astype(np.uint64))
 
 
-def word_names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Name of every word, and the number of words of every text."""
+def word_names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two independent names of every word, and the number of words of every text.
+
+    A name mixes eight bytes of the word at a time into 64 bits; unlike a sum of powers, no pattern
+    of letters makes two words cancel out. The size is mixed in first.
+    """
     raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     white = (raw == 32) | ((raw >= 9) & (raw <= 13))
     edge = np.diff(np.concatenate(([1], white.astype(np.int8))))
     starts, stops = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    names = Sums(raw.astype(np.uint64) + np.uint64(1), BYTE_BASE).of(starts, stops)
+    size = stops - starts
+    padded = np.concatenate((raw, np.zeros(8, np.uint8)))
+    first, second = mix(size, 11), mix(size, 12)
+    rows, at = np.arange(len(starts)), 0
+    while len(rows):
+        here = starts[rows] + at
+        x = np.zeros(len(rows), np.uint64)
+        for k in range(8):
+            x |= padded[here + k].astype(np.uint64) << np.uint64(8 * k)
+        x &= _FIRST[np.minimum(size[rows] - at, 8)]
+        first[rows] = mix(first[rows] ^ x, 13)
+        second[rows] = mix(second[rows] + mix(x, 14), 15)
+        at += 8
+        rows = rows[size[rows] > at]
     ends = np.cumsum([len(t) + 1 for t in texts])
     upto = np.searchsorted(starts, ends)
-    return names, np.diff(np.concatenate(([0], upto)))
+    return first, second, np.diff(np.concatenate(([0], upto)))
 
 
 def symbols(names: np.ndarray, doc: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, ...]:
@@ -149,15 +167,18 @@ class Parsed:
     """Word hashes of a few texts, and their windows by anchor."""
 
     def __init__(self, texts: list[bytes]):
-        self.names, self.counts = word_names(texts)
+        self.names, second, self.counts = word_names(texts)
         self.firsts = np.cumsum(self.counts) - self.counts
         self.doc = np.repeat(np.arange(len(texts)), self.counts)
-        self.by_key, self.by_span = Sums(self.names, KEY_BASE), Sums(mix(self.names, 5), SPAN_BASE)
+        self.by_key, self.by_span = Sums(self.names, KEY_BASE), Sums(second, SPAN_BASE)
 
     def anchors(self) -> tuple[np.ndarray, ...]:
         """``doc, key, span, at, n`` of every group of windows that share an anchor."""
         n = len(self.names)
-        ends = (self.firsts + self.counts)[self.doc] if n else np.zeros(0, np.int64)
+        if not n:
+            none = np.zeros(0, np.int64)
+            return none, none.astype(np.uint64), none.astype(np.uint64), none, none
+        ends = (self.firsts + self.counts)[self.doc]
         fits = np.arange(n) + WINDOW <= ends  # words that start a window
         name, lo, hi, c0, c1 = symbols(self.names, self.doc)
         a0, a1 = np.minimum(c0, lo - MARGIN), np.maximum(c1, hi + MARGIN)
@@ -289,16 +310,16 @@ def frequent_keys(rows: DataFrame, k: int) -> DataFrame:
 
 def reveal(rows: DataFrame, counters: int) -> DataFrame:
     """Rows that matter: ``key, id, at, n, sure`` (covered, or to compare by window)."""
-    frequent = checkpointed(frequent_keys(rows, counters))
-    some = not frequent.isEmpty()
-    rest = rows.join(F.broadcast(frequent), "akey", "left_anti") if some else rows
+    frequent = [r["akey"] for r in frequent_keys(rows, counters).collect()]  # at most ``counters`` numbers
+    some, is_hot = bool(frequent), F.col("akey").isin(frequent)
+    rest = rows.where(~is_hot) if some else rows
     one, many = W.partitionBy("akey"), W.partitionBy("akey", "span")
     rest = (rest.repartition("akey").withColumn("lo", F.min("id").over(one)).withColumn("hi", F.max("id").over(one))
             .where("lo < hi").withColumn("s0", F.min("span").over(one)).withColumn("s1", F.max("span").over(one))
             .withColumn("first", F.min("id").over(many)))
     both = rest.select("key", "id", "at", "n", "first", "s0", "s1")
     if some:
-        hot = stored(rows.join(F.broadcast(frequent), "akey", "left_semi"), "substring-hot")
+        hot = stored(rows.where(is_hot), "substring-hot")
         by_span = stored(hot.groupBy("akey", "span").agg(
             F.min("id").alias("first"), F.max("id").alias("top"), F.count(F.lit(1)).alias("rows")), "substring-spans")
         by_key = by_span.groupBy("akey").agg(F.min("first").alias("lo"), F.max("top").alias("hi"),

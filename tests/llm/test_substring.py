@@ -89,3 +89,15 @@ def test_equal_windows_have_equal_anchors():
 
 def test_empty(spark):
     assert substring_dedup.dedup(documents(spark, [])).count() == 0
+
+
+def test_words_that_sums_of_powers_confuse(spark):
+    """Words of two letters in Thue-Morse order and its complement, and very long words, are words of their own."""
+    for size in (1024, 4096, 100_000):
+        bits = [bin(i).count("1") & 1 for i in range(size)]
+        words = ["".join("ab"[b ^ flip] for b in bits) for flip in (0, 1)]
+        rest = " ".join(f"w{i}" for i in range(12))
+        got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.dedup(documents(spark, [
+            (1, f"{words[0]} {rest}"), (2, f"{words[1]} {rest}"), (3, f"{rest} {words[1][:-1]}"),
+            (4, f"{words[0]} {rest}")])).collect()}
+        assert got == {1: 0, 2: 0, 3: 0, 4: 13}, size
