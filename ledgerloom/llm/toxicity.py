@@ -2,14 +2,15 @@
 
 Fit (a bounded sample of labelled rows, ``EXAMPLES`` by a hash of their id):
 terms are words, word prefixes, and prefixes with the octave of
-their density in the text; those associated with the label by a
-chi-squared test over the sample (at least ``MIN_CHI2``, the strongest
-``TERMS`` of them) form the vocabulary. Every example becomes a unit TF-IDF
-vector over it; equal vectors become one entry with its number of examples
-and of toxic ones.
-
-Index: entries in blocks of ``BLOCK``; each term has, for each block, its
-postings and its largest weight. A query sums those maxima into an upper bound
+their density in the text. All those associated with the label beyond chance
+form the vocabulary: a term's G-squared over the sample exceeds 2 ln m, with m
+the terms in enough rows to reach that at all, so the bar follows the number of
+tests at every sample size and no count of terms is fixed. Every example becomes
+a unit TF-IDF vector over it; equal vectors become one entry with its number of
+examples and of toxic ones.
+
+Index: entries in blocks of ``BLOCK``; each term has, for each block that it
+occurs in, its postings and its largest weight, so its size is that of the entries. A query sums those maxima into an upper bound
 per block and visits blocks in falling order of bound until the bound is below
 the K-th best cosine found, so the K nearest entries are exact.
 
@@ -37,16 +38,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import fresh, stored
 
 #: Labelled rows that the index is fitted on, at most about so many.
 EXAMPLES = 20_000
-TERMS = 1_024
-MIN_CHI2 = 40.0
-MIN_ROWS = 5
 NEAREST = 16
 BLOCK = 64
 THRESHOLD = 0.3
@@ -97,7 +95,36 @@ def sample(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Data
                              (F.col("toxic") > 0).cast("int").alias("toxic")), "toxic-sample")
 
 
-def vocabulary(rows: DataFrame, terms: int = TERMS, min_chi2: float = MIN_CHI2) -> dict[str, float]:
+def g_squared(p: Column, q: Column, p_all: int, q_all: int) -> Column:
+    """Likelihood-ratio statistic of a term in p of p_all positive and q of q_all negative rows."""
+    n = float(p_all + q_all)
+
+    def part(seen: Column, of: Column, side: int) -> Column:
+        return F.when(seen > 0, seen * F.log(seen * n / (of * side))).otherwise(0.0)
+
+    has, lacks = p + q, F.lit(n) - p - q
+    return 2 * (part(p, has, p_all) + part(q, has, q_all) + part(p_all - p, lacks, p_all)
+                + part(q_all - q, lacks, q_all))
+
+
+def least_rows(seen: DataFrame, p_all: int, q_all: int) -> tuple[int, float]:
+    """Rows from which a term can pass the bar, and the bar: 2 ln of the number of such terms.
+
+    ``seen`` (term, p, q). Only as many rows as the sample has counts, at most ``EXAMPLES``, reach the driver.
+    """
+    counts = seen.groupBy((F.col("p") + F.col("q")).alias("c")).agg(F.count(F.lit(1)).alias("terms"))
+    c, p_most, q_most = F.col("c").cast("double"), F.least("c", F.lit(p_all)), F.least("c", F.lit(q_all))
+    most = F.greatest(g_squared(p_most, c - p_most, p_all, q_all), g_squared(c - q_most, q_most, p_all, q_all))
+    rows = counts.select("c", "terms", most.alias("most")).orderBy("c").collect()
+    left = sum(r["terms"] for r in rows)
+    for r in rows:
+        if r["most"] > 2 * math.log(left):
+            return r["c"], 2 * math.log(left)
+        left -= r["terms"]
+    return 0, math.inf
+
+
+def vocabulary(rows: DataFrame) -> dict[str, float]:
     """Terms associated with the label, and their inverse document frequency."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,12 +152,11 @@ def vocabulary(rows: DataFrame, terms: int = TERMS, min_chi2: float = MIN_CHI2)
         return {}
     seen = (rows.select("text", "toxic").mapInArrow(run, "term string, p long, q long")
             .groupBy("term").agg(F.sum("p").alias("p"), F.sum("q").alias("q")))
-    p, q, n = F.col("p").cast("double"), F.col("q").cast("double"), float(both["n"])
-    rest = F.lit(n) - p - q
-    chi2 = n * (p * (q_all - q) - q * (p_all - p)) ** 2 / ((p + q) * F.greatest(rest, F.lit(1.0)) * p_all * q_all)
-    top = (seen.where(F.col("p") + F.col("q") >= MIN_ROWS).withColumn("chi2", chi2)
-           .where(F.col("chi2") >= min_chi2).orderBy(F.desc("chi2"), "term").limit(terms))
-    return {r["term"]: math.log((1 + n) / (1 + r["p"] + r["q"])) + 1 for r in top.collect()}
+    seen = stored(seen, "toxic-terms")
+    least, bar = least_rows(seen, p_all, q_all)
+    g = g_squared(F.col("p").cast("double"), F.col("q").cast("double"), p_all, q_all)
+    found = seen.where((F.col("p") + F.col("q") >= least) & (g > bar)).collect()  # terms of the sample
+    return {r["term"]: math.log((1 + both["n"]) / (1 + r["p"] + r["q"])) + 1 for r in found}
 
 
 Vector = tuple[np.ndarray, np.ndarray]  # term numbers in order, weights
@@ -178,7 +204,7 @@ class Model:
     lengths: np.ndarray
     n: np.ndarray
     toxic: np.ndarray
-    example: np.ndarray
+    example: list
     base: float = 0.0
     empty: float = 0.0
     steps: tuple[list[float], list[float]] = ((), ())
@@ -188,6 +214,11 @@ class Model:
         return value[max(0, bisect.bisect_right(at, vote) - 1)] if at else vote
 
 
+def runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1, .. of each run, end to end."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 class BlockMaxIndex:
     """Postings of the entries by block and term, and each term's largest weight by block."""
 
@@ -197,9 +228,7 @@ class BlockMaxIndex:
         entry = np.repeat(np.arange(len(lengths)), lengths)
         order = np.lexsort((entry, terms, entry // block))
         terms, self.weights, entry = terms[order], weights[order], entry[order]
-        blocks = -(-len(lengths) // block)
-        self.peak = np.zeros((n_terms, blocks))
-        np.maximum.at(self.peak, (terms, entry // block), self.weights)
+        self.blocks = -(-len(lengths) // block)
         self.at = entry % block
         # One list of postings for each block and term that meet, in order of block * n_terms + term.
         cell = (entry // block).astype(np.int64) * n_terms + terms
@@ -207,11 +236,22 @@ class BlockMaxIndex:
         self.cells, self.starts = cell[first], first
         self.sizes = np.diff(np.concatenate((first, [len(cell)])))
         self.n_terms = n_terms
+        # The lists' largest weights, by term: those of term t are numbers first_of[t] to first_of[t + 1].
+        by_term = np.argsort(terms[first], kind="stable")
+        self.peak = (np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0))[by_term]
+        self.peak_block = (entry[first] // block)[by_term]
+        self.first_of = np.searchsorted(terms[first][by_term], np.arange(n_terms + 1))
+
+    def bounds(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """For each block an upper bound of the cosines of its entries."""
+        size = self.first_of[terms + 1] - self.first_of[terms]
+        at = runs(self.first_of[terms], size)
+        return np.bincount(self.peak_block[at], self.peak[at] * np.repeat(weights, size), self.blocks)
 
     def nearest(self, vec: Vector, k: int) -> list[tuple[float, int]]:
         """The k entries of largest cosine above 0, as ``(cosine, entry)``; ties by entry."""
         terms, weights = vec
-        bound = weights @ self.peak[terms]
+        bound = self.bounds(terms, weights)
         best: list[tuple[float, int]] = []
         for b in np.argsort(-bound, kind="stable").tolist():
             if bound[b] <= 0 or len(best) >= k and bound[b] < -best[-1][0] - 1e-8:
@@ -229,7 +269,7 @@ class BlockMaxIndex:
         has = np.flatnonzero(self.cells[np.minimum(i, len(self.cells) - 1)] == want)
         i = i[has]
         size = self.sizes[i]
-        at = np.repeat(self.starts[i] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        at = runs(self.starts[i], size)
         return np.bincount(self.at[at], self.weights[at] * np.repeat(weights[has], size), self.block)
 
 
@@ -280,7 +320,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     terms, weights = (got.column(c).combine_chunks() for c in ("terms", "weights"))
     model = Model(idf, terms.flatten().to_numpy(zero_copy_only=False), weights.flatten().to_numpy(zero_copy_only=False),
                   pc.list_value_length(terms).to_numpy(zero_copy_only=False).astype(np.int64),
-                  *(got.column(c).to_numpy() for c in ("n", "toxic", "example")))
+                  *(got.column(c).to_numpy() for c in ("n", "toxic")), got.column("example").to_pylist())
     if not all_["n"]:
         return model
     model.base = all_["toxic"] / all_["n"]
@@ -320,16 +360,16 @@ def scores(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
         model, score = shared.value, scorer(shared.value)
         for b in batches:
             got = [score(t.as_py() or "") for t in b.column(1)]
-            evidence = [[{"example": int(model.example[e]), "cosine": s} for s, e in near[:3]] for _, near in got]
+            evidence = [[{"example": model.example[e], "cosine": s} for s, e in near[:3]] for _, near in got]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([s for s, _ in got], pa.float64()),
                  pa.array([int(s >= threshold) for s, _ in got], pa.int32()),
-                 pa.array(evidence, pa.list_(pa.struct([("example", pa.int64()), ("cosine", pa.float64())])))],
+                 pa.array(evidence, pa.list_(pa.struct([("example", b.column(0).type), ("cosine", pa.float64())])))],
                 ["doc_id", "score", "predicted", "evidence"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text")).mapInArrow(
-        run, f"doc_id {kind}, score double, predicted int, evidence array<struct<example: long, cosine: double>>")
+        run, f"doc_id {kind}, score double, predicted int, evidence array<struct<example: {kind}, cosine: double>>")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -42,6 +43,41 @@ def test_held_out_rows_are_scored_well_and_not_learned_from(spark):
     assert all(r["predicted"] == int(r["score"] >= 0.3) and 0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_vocabulary_is_every_term_beyond_chance(spark):
+    """Against a brute-force version, at three sample sizes; none is empty or cut at a number."""
+    for n in (60, 300, 900):
+        pairs, labels = corpus(n, seed=n)
+        rows = [(t, y) for (_, t), (_, _, y) in zip(pairs, labels, strict=True)]
+        p_all, q_all = sum(y for _, y in rows), sum(1 - y for _, y in rows)
+        seen = {}
+        for t, y in rows:
+            for term in set(toxicity.term_set(t)):
+                seen.setdefault(term, [0, 0])[1 - y] += 1
+
+        def g(p, q, p_all=p_all, q_all=q_all):
+            table = [(p, p + q, p_all), (q, p + q, q_all), (p_all - p, p_all + q_all - p - q, p_all),
+                     (q_all - q, p_all + q_all - p - q, q_all)]
+            return 2 * sum(k * math.log(k * (p_all + q_all) / (of * side)) for k, of, side in table if k)
+
+        for least in range(1, n + 1):
+            m = sum(p + q >= least for p, q in seen.values())
+            most = max(g(min(least, p_all), max(0, least - p_all)), g(max(0, least - q_all), min(least, q_all)))
+            if m and most > 2 * math.log(m):
+                break
+        want = {t for t, (p, q) in seen.items() if p + q >= least and g(p, q) > 2 * math.log(m)}
+        got = toxicity.vocabulary(spark.createDataFrame(rows, "text string, toxic int"))
+        assert set(got) == want and want & {"^vile", "^scum", "^tras"}
+        assert all(math.isclose(w, math.log((1 + n) / (1 + sum(seen[t]))) + 1) for t, w in got.items())
+
+
+def test_string_ids(spark):
+    pairs, labels = corpus(300)
+    docs = spark.createDataFrame([(f"d{i}", t) for i, t in pairs], "doc_id string, text string")
+    lab = spark.createDataFrame([(f"d{i}", y) for i, _, y in labels], "doc_id string, toxic int")
+    rows = toxicity.score_documents(docs, lab).collect()
+    assert len(rows) == 300 and any(e["example"].startswith("d") for r in rows for e in r["evidence"])
+
+
 def test_index_returns_the_nearest_exactly():
     rng = np.random.default_rng(2)
     entries = []
