@@ -249,28 +249,42 @@ class BlockMaxIndex:
         return np.bincount(self.peak_block[at], self.peak[at] * np.repeat(weights, size), self.blocks)
 
     def nearest(self, vec: Vector, k: int) -> list[tuple[float, int]]:
-        """The k entries of largest cosine above 0, as ``(cosine, entry)``; ties by entry."""
+        """The k entries of largest cosine above 0, as ``(cosine, entry)``; ties by entry.
+
+        Blocks are visited in falling order of bound, 1, 2, 4, .. of them at a time.
+        """
         terms, weights = vec
         bound = self.bounds(terms, weights)
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(best) >= k and bound[b] < -best[-1][0] - 1e-8:
-                break
-            score = self.scores(b, terms, weights).round(9)
-            hit = np.flatnonzero(score)
-            best += zip((-score[hit]).tolist(), (b * self.block + hit).tolist(), strict=True)
-            best = sorted(best)[:k]
-        return [(-s, e) for s, e in best]
-
-    def scores(self, b: int, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Cosines of a block's entries, from the lists of the query's terms."""
-        want = b * self.n_terms + terms.astype(np.int64)
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        score, entry, size = np.zeros(0), np.zeros(0, int), 1
+        while len(order):
+            now, order, size = order[:size], order[size:], 2 * size
+            new = self.scores(now, terms, weights).round(9)
+            hit = np.flatnonzero(new)
+            score = np.concatenate((score, new[hit]))
+            entry = np.concatenate((entry, now[hit // self.block] * self.block + hit % self.block))
+            if len(score) > k:
+                near = score >= -np.partition(-score, k - 1)[k - 1]
+                score, entry = score[near], entry[near]
+                best = np.lexsort((entry, -score))[:k]
+                score, entry = score[best], entry[best]
+            if len(score) == k:
+                order = order[bound[order] >= score.min() - 1e-8]
+        best = np.lexsort((entry, -score))
+        return list(zip(score[best].tolist(), entry[best].tolist(), strict=True))
+
+    def scores(self, blocks: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Cosines of the entries of some blocks, end to end, from the lists of the query's terms."""
+        want = (blocks[:, None] * self.n_terms + terms.astype(np.int64)).ravel()
         i = np.searchsorted(self.cells, want)
         has = np.flatnonzero(self.cells[np.minimum(i, len(self.cells) - 1)] == want)
         i = i[has]
         size = self.sizes[i]
         at = runs(self.starts[i], size)
-        return np.bincount(self.at[at], self.weights[at] * np.repeat(weights[has], size), self.block)
+        row = np.repeat(has // len(terms) * self.block, size) + self.at[at]
+        return np.bincount(row, self.weights[at] * np.repeat(weights[has % len(terms)], size),
+                           len(blocks) * self.block)
 
 
 def vote(found: list[tuple[float, int]], model: Model, label: int | None = None) -> float:
@@ -316,7 +330,11 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     all_ = made.agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).first()
     none = made.where(F.size("terms") == 0).agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).first()
     some = made.where(F.size("terms") > 0)
-    got = some.toArrow().sort_by("example").combine_chunks()  # at most EXAMPLES entries
+    got = some.toArrow().combine_chunks()  # at most EXAMPLES entries
+    # Entries in order of their terms: those that share terms share blocks, which keeps the bounds near.
+    order = sorted(range(len(got)), key=list(zip(*(got.column(c).to_pylist() for c in ("terms", "weights")),
+                                                 strict=True)).__getitem__)
+    got = got.take(pa.array(order, pa.int64())).combine_chunks()
     terms, weights = (got.column(c).combine_chunks() for c in ("terms", "weights"))
     model = Model(idf, terms.flatten().to_numpy(zero_copy_only=False), weights.flatten().to_numpy(zero_copy_only=False),
                   pc.list_value_length(terms).to_numpy(zero_copy_only=False).astype(np.int64),
