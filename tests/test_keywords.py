@@ -222,3 +222,27 @@ def test_folded(spark, monkeypatch, limit):
     assert not any(b for _, b in got.values())
     with pytest.raises(ValueError, match="not folded"):
         keyword_join.tag_folded(df, kw, {"List_1": "regex"})
+
+
+def test_growing_frames_are_not_broadcast(spark, monkeypatch):
+    """Files hide the size of their rows: only the bounded beginnings of literals are broadcast, whatever the threshold."""
+    monkeypatch.setattr(keyword_join, "COMPILE_MAX", 0)
+    df = spark.createDataFrame([(t,) for t in TEXTS], "Comment string")
+    kw = spark.createDataFrame([("ring", "small ring"), ("b c", "a%b")], "List_1 string, List_2 string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        for out in (tag(df, kw, {"List_1": "contains", "List_2": "not_any"}),
+                    keyword_join.match_counts(df, kw, "contains"), fixtures.operations(spark, SF001)):
+            joins = [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastHashJoin" in x]
+            assert all("start#" in x or "head#" in x for x in joins), joins
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pieces_come_once_and_only_where_a_word_may_start(spark):
+    """Words that share all but their end meet a comment only where they occur in it."""
+    words = spark.range(3000).selectExpr("concat('договор ', id) AS literal")
+    comments = spark.createDataFrame([(0, "договор 12, договор 12"), (1, "нет"), (2, "")], "i long, c string")
+    got = sorted(tuple(r) for r in keyword_join._pieces(comments, words).join(words, F.col("piece") == F.col("literal")).select(
+        "i", "piece").collect())
+    assert got == [(0, "договор 1"), (0, "договор 12")]
