@@ -225,3 +225,18 @@ def test_preview_and_clean_keys(spark, sf001_tables):
 
     validate(sf001_tables)                      # fixture keys are unique: no error
     assert preview(sf001_tables.operations).count() == 20
+
+
+def test_wholetext_files_are_bounded(spark, tmp_path, monkeypatch):
+    """Files do not grow with the table, and every line is kept, empty ones at the end of a file too."""
+    from ledgerloom import fixtures, queries
+
+    comments = ["a", None, "", "b", "", None, "b"]
+    monkeypatch.setattr(fixtures, "operations", lambda *_: spark.createDataFrame(
+        [(c,) for c in comments], "Comment string").coalesce(1))
+    monkeypatch.setattr(queries, "WHOLE_LINES", 2)
+    path = str(tmp_path / "lines")
+    monkeypatch.setattr(queries, "scratch_path", lambda *_: path)
+    got = {r["line"]: r["n"] for r in queries.src_wholetext(spark, "").collect()}
+    assert got == {"a": 1, "": 4, "b": 2}
+    assert spark.read.text(path, wholetext=True).count() == 4
