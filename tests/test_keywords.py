@@ -246,3 +246,20 @@ def test_pieces_come_once_and_only_where_a_word_may_start(spark):
     got = sorted(tuple(r) for r in keyword_join._pieces(comments, words).join(words, F.col("piece") == F.col("literal")).select(
         "i", "piece").collect())
     assert got == [(0, "договор 1"), (0, "договор 12")]
+
+
+@pytest.mark.parametrize("mode", ["contains", "token", "regex"])
+def test_match_rows_of_few_words_need_no_join(spark, monkeypatch, mode):
+    """The same rows with and without the join; copies, NULL comments, repeated and empty words, an empty dictionary."""
+    monkeypatch.setattr(keyword_join, "HOT", 10)
+    df = spark.createDataFrame([(i % 5, c) for i, c in enumerate(TEXTS * 2 + [" ring,x "] * 40 + [None] * 3)], "id long, Comment string")
+    kw = spark.createDataFrame([("ring", "ring"), ("", None), ("ring", "b c"), (" ", "a.b")], "List_1 string, List_2 string")
+    for words in (kw, kw.limit(0)):
+        got = []
+        for most in (-1, 256):
+            monkeypatch.setattr(keyword_join, "DIRECT", most)
+            out = keyword_join.match_rows(df, words, mode, trim_comment=True, trim_words=True)
+            got.append(sorted((tuple(r) for r in out.collect()), key=str))
+        assert got[0] == got[1]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
