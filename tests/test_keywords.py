@@ -242,10 +242,10 @@ def test_growing_frames_are_not_broadcast(spark, monkeypatch):
 def test_pieces_come_once_and_only_where_a_word_may_start(spark):
     """Words that share all but their end meet a comment only where they occur in it."""
     words = spark.range(3000).selectExpr("concat('договор ', id) AS literal")
-    comments = spark.createDataFrame([(0, "договор 12, договор 12"), (1, "нет"), (2, "")], "i long, c string")
+    comments = spark.createDataFrame([(0, "договор 12, договор 12"), (1, "нет"), (2, ""), (3, "договор 7")], "i long, c string")
     got = sorted(tuple(r) for r in keyword_join._pieces(comments, words).join(words, F.col("piece") == F.col("literal")).select(
         "i", "piece").collect())
-    assert got == [(0, "договор 1"), (0, "договор 12")]
+    assert got == [(0, "договор 1"), (0, "договор 12"), (3, "договор 7")]
 
 
 @pytest.mark.parametrize("mode", ["contains", "token", "regex"])
