@@ -7,6 +7,7 @@ from contextlib import redirect_stdout
 import pytest
 
 from conftest import SF001
+from ledgerloom import fixtures
 from ledgerloom.queries import QUERIES
 
 
@@ -96,3 +97,13 @@ def test_counterparty_meets_sums_only(spark, name):
 def test_sql_chain_sends_no_matched_comment(spark):
     keys = _shuffle_keys(_plan(QUERIES["sql_text_payments"](spark, SF001)))
     assert "AccountDB, AccountCR, DateOp, amt, Comment" not in keys
+
+
+def test_ingest_deals_out_rows_without_their_texts(spark):
+    """The shuffle by date carries names and numbers; comments and amounts are made from them after it."""
+    dealt = fixtures.operations(spark, SF001, by_date=True)
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "RebalancePartitions" in line)
+    assert "AS Comment" in "".join(plan[:at]) and "AS Comment" not in "".join(plan[at:])
+    rows = fixtures.operations(spark, SF001)
+    assert rows.exceptAll(dealt).count() == 0 and dealt.exceptAll(rows).count() == 0
