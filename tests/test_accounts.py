@@ -1,0 +1,53 @@
+"""Attributes of both accounts meet an operation before its legs are made."""
+
+from decimal import Decimal
+
+import pytest
+
+from ledger_builder import DAY, DEFAULT_ACCOUNTS, DEFAULT_CLIENTS, ledger, op
+
+from ledgerloom.operators import account_mart, payments_mart
+
+OPS = [op("A", "B", "100,00"), op("P", "A", "7,00"), op("Z", "A", "1,00")]
+
+
+def _logical(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("dialect", ["frame", "sql", "sql_v1"])
+def test_no_row_of_the_mart_looks_up_its_account(spark, dialect):
+    """Nothing is joined to the sums by (account, date) where every account has one row."""
+    lines = _logical(payments_mart(ledger(spark, OPS), dialect)).splitlines()
+    sums = next(i for i, line in enumerate(lines) if "Aggregate" in line)
+    assert not any("Join" in line for line in lines[:sums])
+
+
+@pytest.mark.parametrize("dialect", ["frame", "sql", "sql_v1"])
+def test_accounts_with_several_rows(spark, dialect):
+    """A leg counts once for every row of its counterparty and stands in the mart once for every row of its account."""
+    day = DEFAULT_ACCOUNTS[0][3]
+    accounts = [*DEFAULT_ACCOUNTS, ("A", "40817000000000009", "C9", day), DEFAULT_ACCOUNTS[1], (None, "1", "C1", day)]
+    mart = payments_mart(ledger(spark, OPS, accounts=accounts), dialect)
+    rows = sorted((r.AccountId, r.ClientId, r.PaymentAmt, r.EnrollmentAmt, r.FLAmt) for r in mart.collect()
+                  if r.AccountId in ("A", "B"))
+    none = None if dialect == "sql_v1" else Decimal(0)
+    a, b = (Decimal(200), Decimal(8), Decimal(200)), (none, Decimal(200), none)
+    assert rows == [("A", "C1", *a), ("A", "C9", *a), ("B", "C2", *b), ("B", "C2", *b)]
+    assert {r.CutoffDt for r in mart.collect()} == {DAY}
+
+
+@pytest.mark.parametrize("dialect", ["frame", "sql"])
+def test_account_joins_carry_one_total(spark, dialect):
+    t = ledger(spark, OPS)
+    pay = spark.createDataFrame(payments_mart(t, dialect).collect(), payments_mart(t, dialect).schema)
+    lines = _logical(account_mart(pay, t, dialect)).splitlines()
+    joined = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert not any("PaymentAmt" in line for line in lines[:joined + 1])
+
+
+def test_clients_with_several_rows(spark):
+    """A counterparty counts once for every row of its client."""
+    t = ledger(spark, OPS, clients=[*DEFAULT_CLIENTS, ("C2", "Beta", "Ю", "LLC", DEFAULT_CLIENTS[0][4])])
+    found = {r.AccountId: r for r in payments_mart(t, "frame").collect()}
+    assert (found["A"].PaymentAmt, found["A"].FLAmt) == (Decimal(200), Decimal(100))
