@@ -1,7 +1,9 @@
 """Sources, sinks, ingest and the streaming ingest."""
 
+import csv
 import datetime as dt
 import glob
+import gzip
 import os
 
 import pytest
@@ -72,6 +74,18 @@ def test_sorted_csv_is_globally_ordered(spark):
     assert values == sorted(values) and len(values) == 200
 
 
+def test_sorted_csv_packed(spark, tmp_path):
+    """Packed part files hold the same lines in the same order."""
+    df = spark.range(500).select((F.col("id") * 7919 % 500).cast("string").alias("AccountId"), F.lit("a,b").alias("v"))
+    path = str(tmp_path / "packed")
+    write_sorted_csv(df.repartition(5), path, "AccountId", compression="gzip")
+    parts = sorted(p for p in os.listdir(path) if p.startswith("part-"))
+    assert parts and all(p.endswith(".csv.gz") for p in parts)
+    lines = [row for p in parts for row in csv.reader(gzip.open(f"{path}/{p}", "rt")) if row != ["AccountId", "v"]]
+    assert lines == [[str(i), "a,b"] for i in range(500)]
+
+
+
 def test_ingest_and_chain(spark):
     land = scratch_path(spark, "landing")
     ops = fixtures.operations(spark, SF001)
