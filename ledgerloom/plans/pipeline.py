@@ -79,8 +79,8 @@ def build_and_write(spark: SparkSession, tables: LedgerTables, out_dir: str,
     base = out_dir.rstrip("/")
     paths = {k: f"{base}/corporate_{k}" for k in ("payments", "account", "info")}
 
-    pay = payments_mart(tables, d)
-    write_partitioned(pay, paths["payments"], "CutoffDt", dynamic_overwrite=dynamic_overwrite)
+    pay = payments_mart(tables, d, by_date=True)
+    write_partitioned(pay, paths["payments"], "CutoffDt", dynamic_overwrite=dynamic_overwrite, dealt=True)
     # A reload reads back only its own dates: the other partitions are neither read nor rebuilt.
     dates = _dates(tables) if dynamic_overwrite else None
     pay = _read_back(spark, pay, paths["payments"], dates)

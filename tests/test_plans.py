@@ -8,6 +8,7 @@ import pytest
 
 from conftest import SF001
 from ledgerloom import fixtures
+from ledgerloom.operators import payments_mart
 from ledgerloom.queries import QUERIES
 
 
@@ -107,3 +108,21 @@ def test_ingest_deals_out_rows_without_their_texts(spark):
     assert "AS Comment" in "".join(plan[:at]) and "AS Comment" not in "".join(plan[at:])
     rows = fixtures.operations(spark, SF001)
     assert rows.exceptAll(dealt).count() == 0 and dealt.exceptAll(rows).count() == 0
+
+
+@pytest.mark.parametrize("dialect", ["frame", "sql", "sql_v1"])
+def test_mart_is_dealt_out_before_its_decimals(spark, sf001_tables, dialect):
+    """The shuffle by date carries sums; the mart's decimals are made after it, and its rows are the same."""
+    dealt = payments_mart(sf001_tables, dialect, by_date=True)
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "RebalancePartitions" in line)
+    assert "AS PaymentAmt" in "".join(plan[:at])
+    assert "decimal(38,2)) AS PaymentAmt" not in "".join(plan[at:])
+    rows = payments_mart(sf001_tables, dialect)
+    assert rows.exceptAll(dealt).count() == 0 and dealt.exceptAll(rows).count() == 0
+
+
+def test_dealt_mart_with_repeated_accounts(spark, sf001_tables):
+    t = sf001_tables.with_(accounts=sf001_tables.accounts.unionAll(sf001_tables.accounts.where("AccountId < 9")))
+    rows, dealt = payments_mart(t, "frame"), payments_mart(t, "frame", by_date=True)
+    assert rows.exceptAll(dealt).count() == 0 and dealt.exceptAll(rows).count() == 0
