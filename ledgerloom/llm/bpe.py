@@ -40,6 +40,8 @@ from ledgerloom.llm.common import stored
 
 #: Words of texts that are numbered together; a longer text is a chunk of its own.
 CHUNK = 1 << 22
+#: Numbers that are packed at a time: a chunk's as a whole would need 50 bytes each on the way.
+SLICE = 1 << 16
 
 # Fixed: Unicode white space.
 SPACE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -185,22 +187,32 @@ class Ragged:
 
 def pack(x: np.ndarray) -> np.ndarray:
     """Numbers as bytes, seven bits each, the last of a number below 128."""
-    x = x.astype(np.int64)
-    n = 1 + (x >= 1 << 7) + (x >= 1 << 14) + (x >= 1 << 21)
-    end = np.cumsum(n)
-    out = np.zeros(int(end[-1]) if len(end) else 0, np.uint8)
-    for k in range(4):  # k-th byte from a number's end
-        has = n > k
-        out[end[has] - 1 - k] = (x[has] >> (7 * k)) & 127 | (128 if k else 0)
-    return out
+    return _packed(x, np.zeros(0, np.int64))[0]
+
+
+def _packed(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``pack`` and the bytes before each of the ascending positions ``at``, by ``SLICE`` numbers at a time."""
+    out, before, done = [np.zeros(0, np.uint8)], np.zeros(len(at), np.int64), 0
+    for a in range(0, len(x), SLICE):
+        part = x[a:a + SLICE].astype(np.int64)
+        n = 1 + (part >= 1 << 7) + (part >= 1 << 14) + (part >= 1 << 21)
+        end = np.cumsum(n)
+        raw = np.zeros(int(end[-1]), np.uint8)
+        for k in range(4):  # k-th byte from a number's end
+            has = n > k
+            raw[end[has] - 1 - k] = (part[has] >> (7 * k)) & 127 | (128 if k else 0)
+        i, j = np.searchsorted(at, (a + 1, a + len(part) + 1))
+        before[i:j] = done + end[at[i:j] - a - 1]
+        done += len(raw)
+        out.append(raw)
+    return np.concatenate(out), before
 
 
 def pack_rows(x: np.ndarray, n: np.ndarray) -> pa.Array:
     """``pack`` of consecutive groups of n numbers, one binary value each."""
-    size = 1 + (x >= 1 << 7) + (x >= 1 << 14) + (x >= 1 << 21)
-    ends = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(n)))]
+    raw, ends = _packed(x, np.concatenate(([0], np.cumsum(n))))
     return pa.Array.from_buffers(pa.binary(), len(n), [
-        None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(pack(x).tobytes())])
+        None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(raw)])
 
 
 def unpack(raw: bytes) -> np.ndarray:
@@ -284,7 +296,7 @@ def _encoded(docs: DataFrame, path: str, result, schema: str, kinds: list, size:
         for chunk, i, j, b, n, numbers, _ in numbered(batches, path, size):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(j - i, chunk, np.int64)), b.column(3).slice(i, j - i),
-                 pack_rows(numbers.astype(np.int64), n)], ["chunk", "doc_id", "code"])
+                 pack_rows(numbers, n)], ["chunk", "doc_id", "code"])
 
     none = F.lit(None).cast("binary")
     ids = encode_words(texts.mapInArrow(words, "word string, chunk long, number int"), path).select(
