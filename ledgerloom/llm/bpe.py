@@ -1,7 +1,7 @@
 """BPE encoding and decoding over a distinct-word table.
 
-1. Spark splits every whole text into the byte-level BPE's words (native
-   regular expression). Each task numbers the distinct words of a chunk of texts
+1. Spark marks the ends of the byte-level BPE's words in every whole text (native
+   regular expression); the words are read off the marked texts' bytes, without a list of them. Each task numbers the distinct words of a chunk of texts
    (an Arrow batch, cut at ``CHUNK`` words) and sends each once as (word, chunk, number).
 2. These rows are shuffled and sorted by word, so each distinct word of the whole table
    meets one task, which encodes it once and sends its ids back to every (chunk, number).
@@ -49,21 +49,24 @@ SPACE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N}]+|["
            + SPACE + r"]+(?![^" + SPACE + r"])|[" + SPACE + r"]+")
 SPECIAL = "<|endoftext|>"
+#: Follows each word of a text on its way to the tasks, one byte; texts that hold it go another way.
+END = "\x01"
 
 
 def words(text: str | Column) -> Column:
-    """The words of a text, in order; a special token is a word of its own.
+    """The words of a text, in order and each followed by ``END``; a special token is a word of its own.
 
-    Null for a text with characters newer than the Java runtime's Unicode
-    tables: those are split by the library itself (``word_lists``).
+    Null for a text that holds ``END`` itself or characters newer than the Java runtime's Unicode
+    tables: those are split by the library itself (``own_words``).
     """
     text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-    cut = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-    parts = F.transform(F.split(text, r"<\|endoftext\|>", -1), lambda s, i: F.concat(
-        F.when(i > 0, F.array(F.lit(SPECIAL))).otherwise(F.array().cast("array<string>")),
-        F.regexp_extract_all(s, F.lit(PATTERN), F.lit(0))))
-    return (F.when(text.rlike(r"\p{Cn}"), F.lit(None))
-            .when(text.contains(SPECIAL), F.flatten(parts)).otherwise(cut))
+
+    def cut(s: Column) -> Column:  # the pattern leaves no character out
+        return F.regexp_replace(s, F.lit(PATTERN), F.lit("$0" + END))
+
+    parts = F.transform(F.split(text, r"<\|endoftext\|>", -1), cut)
+    return (F.when(text.rlike(r"\p{Cn}") | text.contains(END), F.lit(None))
+            .when(text.contains(SPECIAL), F.array_join(parts, SPECIAL + END)).otherwise(cut(text)))
 
 
 def cut(docs: DataFrame, *columns: Column) -> DataFrame:
@@ -72,20 +75,45 @@ def cut(docs: DataFrame, *columns: Column) -> DataFrame:
     return docs.select(*columns, w.alias("w"), F.when(w.isNull(), F.col("text")).alias("raw"))
 
 
-def word_lists(lists: pa.Array, raw: pa.Array, path: str) -> pa.Array:
-    """Fill in the null word lists from the raw texts, by the library's own splitter."""
-    if not lists.null_count:
-        return lists
-    split = tokenizer(path).pre_tokenizer.pre_tokenize_str
-
-    def own(text: str) -> list[str]:
-        out = []
-        for i, part in enumerate(text.split(SPECIAL)):
-            out += [SPECIAL] * (i > 0) + [part[a:b] for _, (a, b) in split(part)]
-        return out
-
-    return pa.array([own(r.as_py()) if x.as_py() is None else x.as_py()
-                     for x, r in zip(lists, raw, strict=True)], lists.type)
+def own_words(text: str, path: str) -> list[str]:
+    """A text's words by the library's own splitter, each followed by ``END``."""
+    out = []
+    for i, part in enumerate(text.split(SPECIAL)):
+        out += [SPECIAL + END] * (i > 0)
+        out += [part[a:b] + END for _, (a, b) in tokenizer(path).pre_tokenizer.pre_tokenize_str(part)]
+    return out
+
+
+def word_ends(col: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts end to end, on the column's own bytes, and the number of words of each text."""
+    _, at, raw = col.buffers()
+    wide = np.int64 if pa.types.is_large_string(col.type) else np.int32
+    at = np.frombuffer(at, wide)[col.offset:col.offset + len(col) + 1]
+    if at[0] == at[-1]:
+        return pa.array([], pa.string()), np.zeros(len(col), np.int64)
+    data = np.frombuffer(raw, np.uint8)[:at[-1]]
+    slices = range(int(at[0]), len(data), SLICE)
+    ends = np.empty(1 + sum(np.count_nonzero(data[a:a + SLICE] == ord(END)) for a in slices), np.int32)
+    ends[0], done = at[0], 1
+    for a in slices:
+        found = np.flatnonzero(data[a:a + SLICE] == ord(END))
+        ends[done:done + len(found)] = found + a + 1
+        done += len(found)
+    flat = pa.Array.from_buffers(pa.string(), len(ends) - 1, [None, pa.py_buffer(ends), raw])
+    return flat, np.diff(np.searchsorted(ends, at))
+
+
+def word_lists(col: pa.Array, raw: pa.Array, path: str) -> tuple[pa.Array, np.ndarray]:
+    """``word_ends``, null texts filled in from the raw ones."""
+    flat, n = word_ends(col)
+    if not col.null_count:
+        return flat, n
+    parts, done, ends = [], 0, np.cumsum(n)
+    for i in np.flatnonzero(col.is_null().to_numpy(zero_copy_only=False)):
+        own = own_words(raw[int(i)].as_py(), path)
+        parts += [flat.slice(done, ends[i] - done), pa.array(own, flat.type)]
+        done, n[i] = ends[i], len(own)
+    return pa.concat_arrays([*parts, flat.slice(done)]), n
 
 
 @lru_cache(maxsize=2)
@@ -118,16 +146,18 @@ def numbered(batches: Iterator[pa.RecordBatch], path: str, size: int) -> Iterato
     """``chunk, first row, last row, batch, words per text, numbers, distinct words`` of partition, words, raw texts, .."""
     count = 0
     for b in batches:
-        lists = word_lists(b.column(1), b.column(2), path)
-        n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        flat, at = lists.flatten(), np.concatenate(([0], np.cumsum(n)))
+        if not len(b):
+            continue
+        flat, n = word_lists(b.column(1), b.column(2), path)
+        at = np.concatenate(([0], np.cumsum(n)))
         for i, j in chunks(n, size):
             chunk = (b.column(0)[0].as_py() << 32) + count
             count += 1
             coded = flat.slice(at[i], at[j] - at[i]).dictionary_encode()
             if not isinstance(coded, pa.DictionaryArray):
                 coded = coded.combine_chunks()
-            yield chunk, i, j, b, n[i:j], coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+            yield chunk, i, j, b, n[i:j], coded.indices.to_numpy(zero_copy_only=False), pc.utf8_slice_codeunits(
+                coded.dictionary, 0, -1)
 
 
 def id_type(path: str) -> str:

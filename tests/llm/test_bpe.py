@@ -87,3 +87,15 @@ def test_packing_a_chunk_needs_little_memory():
         assert bpe.unpack(got[i].as_py()).tolist() == x[ends[i] - sizes[i]:ends[i]].tolist()
     assert bpe.unpack(bpe.pack(x).tobytes()).tolist() == x.tolist()
     assert b"".join(got.to_pylist()) == bpe.pack(x).tobytes()
+
+
+def test_words_travel_on_the_text_itself(spark):
+    """As lists, the words took twice the text's bytes in every buffer on the way to a task."""
+    odd = ["\x01", "a\x01b \x01", "\x01<|endoftext|>\x01", "x<|endoftext|>", "", None, "$0 \\ $1", "it's\n\n x"]
+    pairs = HARD + [(i, t) for i, t in enumerate(odd * 3)] + [(i, None) for i in range(50, 53)]
+    docs = documents(spark, pairs).coalesce(1)
+    assert dict(bpe.cut(docs).dtypes)["w"] == "string"
+    for chunk in (1, 7, bpe.CHUNK):
+        assert Counter(tuple(r) for r in bpe.digests(docs, tokenizer_path(), chunk).collect()) == brute(pairs)
+    empty = documents(spark, [(1, None), (2, "")]).coalesce(1)
+    assert Counter(tuple(r) for r in bpe.digests(empty, tokenizer_path()).collect()) == brute([(1, None), (2, "")])
