@@ -1,0 +1,29 @@
+"""What a query leaves on the disks."""
+
+import time
+
+from pyspark.sql import functions as F
+
+from ledgerloom.session import FREE_SHUFFLES, stored
+from ledgerloom.sinks.writers import write_flat, write_partitioned, write_sorted_csv
+
+
+def _shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {x for x in files.mkString("\n").split("\n") if "shuffle_" in x and x.endswith(".data")}
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    sums = spark.range(2000).groupBy((F.col("id") % 50).alias("k")).agg(F.sum("id").alias("n"))
+    setting, before = spark.conf.get(FREE_SHUFFLES), _shuffle_files(spark)
+    back = stored(sums, "sums")
+    write_partitioned(sums, str(tmp_path / "by_k"), "k")
+    write_flat(sums, str(tmp_path / "flat"))
+    write_sorted_csv(sums, str(tmp_path / "csv"), "k")
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(FREE_SHUFFLES) == setting
+    assert back.count() == sums.count() == 50
