@@ -263,3 +263,63 @@ def test_match_rows_of_few_words_need_no_join(spark, monkeypatch, mode):
         assert got[0] == got[1]
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_final_literal():
+    from ledgerloom.functions.regex_literals import final
+
+    known = {"договор 333$": "договор 333", "r[io]d, (?:a|б) 12$": " 12", "ab+$": "b", "(ab)$": "ab", "a$$": "a"}
+    assert {x: final(x) for x in known} == known
+    none = ["a$|b", "a|b$", "(a$)", "(?m)a$", "(?m:a)b$", "ab*$", "a$?", r"a\$", "[$]", "a$b", "$", "ab", "(", "(?:a|b)$"]
+    assert [final(x) for x in none] == [None] * len(none)
+
+
+def test_final_literal_is_sought_at_the_end_alone(spark):
+    """Of a comment with a number at its end one piece is tried, not one for each length of a number."""
+    words = spark.createDataFrame([("List_1", f"договор {n}$") for n in (1, 12, 123, 1234)], "list string, word string")
+    words = keyword_join._known_words(words, "regex")
+    chosen = keyword_join._chosen(words, "regex").select("literal", "final")
+    comments = spark.createDataFrame([(0, "договор 1234"), (1, "договор 12 и договор 1\r\n")], "i long, c string")
+    found = sorted((r.i, r.piece) for r in keyword_join._pieces(comments, chosen).collect() if r.piece.endswith(
+        ("1", "12", "123", "1234")))
+    assert found == [(0, "договор 1234"), (1, "договор 1")]
+
+
+def test_final_literals_find_what_the_expression_finds(spark, monkeypatch):
+    texts = ["a 12", "a 12\n", "a 12\r\n", "a 12 ", "a 12 12", "12", "a 12x", "a 12\n\n", "a 1", "12 a 12", "", None, "x 12\r"]
+    words = ["12$", " 12$", "a 1$", "a .* 12$", "a 12", "(?m)12$", "12\\n$", "x (?:1|2)2$", "2+$", "(12|13)$"]
+    df = spark.createDataFrame([(t, w) for t in texts for w in range(2)], "Comment string, n int")
+    dictionary = spark.createDataFrame([(w, words[-1 - k]) for k, w in enumerate(words)], "List_1 string, List_2 string")
+
+    def tagged():
+        rows = [tag(df, dictionary.where(F.col("List_1") == w), {"List_1": "regex"}).collect() for w in words]
+        return [sorted(((r.Comment or "", r.n, r.hit_List_1) for r in x)) for x in rows]
+
+    compiled = tagged()
+    monkeypatch.setattr(keyword_join, "COMPILE_MAX", 0)
+    assert tagged() == compiled
+
+
+@pytest.mark.parametrize("mode", ["token", "contains", "regex"])
+def test_stored_words_are_the_words(spark, mode):
+    """What is not stored again is made again: bodies and literals are those of the words as read."""
+    rows = [("List_1", w) for w in WORDS if mode != "regex" or w not in ("\\",)]
+    words = spark.createDataFrame(rows, "list string, word string")
+    made, kept = keyword_join._literals(words, mode), keyword_join._known_words(words, mode)
+    key = lambda r: (r.word, str(r))
+    assert sorted(made.collect(), key=key) == sorted(kept.collect(), key=key)
+    stored_rows = spark.read.parquet(kept.inputFiles()[0].rsplit("/", 1)[0])
+    assert stored_rows.where("word = 'small ring' AND body IS NULL AND literals IS NULL").count() == 1
+
+
+@pytest.mark.parametrize("trim", [False, True])
+def test_a_comment_goes_through_the_join_once(spark, monkeypatch, trim):
+    """The rows are dealt out by the (trimmed) comment without a second copy of it."""
+    monkeypatch.setattr(keyword_join, "COMPILE_MAX", 0)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "n int, Comment string")
+    out = tag(df, spark.createDataFrame([("ring", "b c")], "List_1 string, List_2 string"),
+              {"List_1": "contains", "List_2": "not_any"}, trim_comment=trim)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Comment#\d+ AS _c#|trim\(Comment#\d+, None\) AS _c#", plan)
+    assert {(r.n, r.hit_List_1, r.hit_List_2) for r in out.collect()} == {
+        (i, t is not None and "ring" in t, t is not None and "b c" not in t) for i, t in enumerate(TEXTS)}
