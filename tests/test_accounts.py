@@ -51,3 +51,21 @@ def test_clients_with_several_rows(spark):
     t = ledger(spark, OPS, clients=[*DEFAULT_CLIENTS, ("C2", "Beta", "Ю", "LLC", DEFAULT_CLIENTS[0][4])])
     found = {r.AccountId: r for r in payments_mart(t, "frame").collect()}
     assert (found["A"].PaymentAmt, found["A"].FLAmt) == (Decimal(200), Decimal(100))
+
+
+def test_v1_mart_is_exact_and_sends_rates_for_products(spark):
+    """Copies, equal and zero products at other rates, bad and missing amounts; no product goes through a shuffle."""
+    day = DEFAULT_ACCOUNTS[0][3]
+    rates = [("RUB", "1", day), ("R2", "1,00", day), ("USD", "3,33", day), ("BIG", "99999999,99", day)]
+    ops = [op("A", "B", "10,01"), op("A", "B", "10,01"), op("A", "B", "10,01", currency="R2", comment="вин"),
+           op("A", "B", "0"), op("A", "B", "0", currency="USD"), op("A", "B", "10,01", currency="USD"),
+           op("B", "A", "x"), op("B", "P", "5,00", currency="none"), op("P", "A", "99999999,99", currency="BIG")]
+    mart = payments_mart(ledger(spark, ops, rates=rates), "sql_v1")
+    found = {r.AccountId: r for r in mart.collect()}
+    # 3 x 10.01 and 10.01 x 3.33 = 33.3333, summed before they are rounded; vehicles count a product once.
+    assert (found["A"].PaymentAmt, found["A"].CarsAmt) == (Decimal("63.36"), Decimal("43.34"))
+    assert found["A"].EnrollmentAmt == Decimal("9999999998000000.00") and found["B"].PaymentAmt is None
+    assert found["B"].EnrollmentAmt == Decimal("63.36") and found["P"].EnrollmentAmt is None
+    keys = [line.split("]")[0] for line in _logical(mart).splitlines() if "Aggregate [" in line]
+    by_amount = [k for k in keys if "Amount#" in k]
+    assert len(by_amount) == 2 and all("Rate#" in k and "res#" not in k for k in by_amount)
