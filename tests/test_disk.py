@@ -4,6 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from ledgerloom.plans import sql_chain
 from ledgerloom.session import FREE_SHUFFLES, stored
 from ledgerloom.sinks.writers import write_flat, write_partitioned, write_sorted_csv
 
@@ -27,3 +28,21 @@ def test_writes_leave_no_shuffle_files(spark, tmp_path):
     assert not left
     assert spark.conf.get(FREE_SHUFFLES) == setting
     assert back.count() == sums.count() == 50
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sql_payments_deal_operations_out_once(spark, sf001_tables, monkeypatch):
+    """One shuffle by both accounts and the date serves two groupings, unless a pair of accounts is hot; same rows."""
+    monkeypatch.setattr(sql_chain, "BUCKETS", 16)
+    dealt = sql_chain.run_sql_marts(spark, sf001_tables)["payments"]
+    assert "REPARTITION_BY_COL" in _plan(dealt) and "amt#" not in "".join(
+        line.split("hashpartitioning(")[1].split(")")[0] for line in _plan(dealt).splitlines() if "hashpartitioning(" in line)
+    hot = sf001_tables.operations.withColumns({"AccountDB": F.lit("1"), "AccountCR": F.lit("2"), "DateOp": F.lit("1996-01-01").cast("date")})
+    assert not sql_chain._even(hot, sql_chain.DEAL_KEYS)
+    monkeypatch.setattr(sql_chain, "SHARE", 0)
+    alone = sql_chain.run_sql_marts(spark, sf001_tables)["payments"]
+    assert "REPARTITION_BY_COL" not in _plan(alone)
+    assert dealt.exceptAll(alone).count() == 0 and alone.exceptAll(dealt).count() == 0
